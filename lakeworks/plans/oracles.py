@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lakeworks.functions.temporal import TIME_OF_DAY
 from lakeworks.plans.catalog import NO_ACCESSORY
+from lakeworks.plans.filetrips import FILE_ROWS
 from lakeworks.plans.standins import TRAIL_POINTS, YEAR_CODES, ZONES
 
 # --- shared fragments -------------------------------------------------------
@@ -262,7 +263,6 @@ ORACLES: dict[str, str] = {
     "max_case_tally":
         "SELECT max(CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS tally "
         "FROM orders",
-    "incremental_load": with_parts("SELECT * FROM enh", *ENHANCED),
     # geography
     "nation_list": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "region_list": "SELECT r_regionkey, r_name FROM region",
@@ -396,4 +396,20 @@ ORACLES: dict[str, str] = {
     "udf_sum3":
         "SELECT p_partkey, CAST(CAST(p_partkey AS DECIMAL(18,4)) + p_size + CAST(p_retailprice AS DECIMAL(18,4)) "
         "AS DOUBLE) AS total FROM part",
+    # files
+    "two_header_rows": "SELECT p_partkey AS fruit_id, p_name AS fruit_name FROM part",
+    "caret_records": "SELECT 'C' || c_custkey AS product_code, c_mktsegment AS has_matching FROM customer",
+    "quoted_carriage_returns": "SELECT s_suppkey AS key, s_name || '|x' AS name FROM supplier",
+    "bad_records":
+        "SELECT event_id AS id, event_id || ',n/a' AS bad_record FROM events WHERE event_type = 'error'",
+    "file_rows":
+        f"SELECT l_orderkey // {FILE_ROWS} AS block, count(*) AS n_rows, count(*) AS last_row, count(*) AS n_numbers "
+        "FROM lineitem GROUP BY block",
+    "files_and_rows":
+        f"SELECT count(DISTINCT o_orderkey // {FILE_ROWS}) AS n_files, count(*) AS n_rows, true AS has_content "
+        "FROM orders",
+    "json_arrays":
+        "SELECT c_custkey, c_name, true AS json_null, "
+        f"row_number() OVER (PARTITION BY c_custkey // {FILE_ROWS} ORDER BY c_custkey) AS file_row FROM customer",
+    "incremental_load": with_parts("SELECT * FROM enh", *ENHANCED),
 }

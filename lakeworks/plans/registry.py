@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions import geo, network, sql_functions, temporal, text, variants
 from lakeworks.operators import aggregates, decode, joins, sessions, storage, tables
-from lakeworks.plans import catalog, gamelogs, geography, library, places, standins, trails, weather
+from lakeworks.plans import (
+    catalog,
+    filetrips,
+    gamelogs,
+    geography,
+    library,
+    places,
+    standins,
+    trails,
+    weather,
+)
 from lakeworks.plans.standins import Tables
 from lakeworks.schemas import struct
 from lakeworks.session import scratch_path
@@ -448,6 +458,14 @@ QUERIES: dict[str, Query] = {
     "unique_check": lambda t: aggregates.duplicate_keys(t.orders, ["o_custkey"]),
     "number_rows": number_rows,
     "udf_sum3": udf_sum3,
+    "two_header_rows": filetrips.two_header_rows,
+    "caret_records": filetrips.caret_records,
+    "quoted_carriage_returns": filetrips.quoted_carriage_returns,
+    "bad_records": filetrips.bad_records,
+    "file_rows": filetrips.file_rows,
+    "files_and_rows": filetrips.files_and_rows,
+    "json_arrays": filetrips.json_arrays,
+    "incremental_load": filetrips.incremental_load,
 }
 
 

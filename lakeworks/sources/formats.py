@@ -88,9 +88,19 @@ def read_delimited(
             .option("columnNameOfCorruptRecord", BAD_RECORD)
             .csv(path)
         )
-        return found.filter(F.col(BAD_RECORD).isNotNull())
-    mode = "FAILFAST" if on_error == "abort" else "PERMISSIVE"
-    return reader.schema(wanted).option("mode", mode).csv(path)
+        return _all_fields_read(found).filter(F.col(BAD_RECORD).isNotNull())
+    if on_error == "abort":
+        return _all_fields_read(reader.schema(wanted).option("mode", "FAILFAST").csv(path))
+    return reader.schema(wanted).csv(path)
+
+
+def _all_fields_read(df: DataFrame) -> DataFrame:
+    """Keep every column in the scan, whichever a caller goes on to use.
+
+    Column pruning would leave fields unparsed, and a record is bad because of
+    any of its fields.  The condition holds for every row.
+    """
+    return df.filter(F.hash(*df.columns) >= F.lit(-(2**31)))
 
 
 def _as_struct(schema: str | T.StructType) -> T.StructType:
