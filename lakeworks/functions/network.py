@@ -5,28 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Four decimal groups of 0-255 without sign or blanks.
-IPV4_PATTERN = r"^((25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(\.(?!$)|$)){4}$"
-
 #: Addresses sharing their first 16 bits share a join key.
 PREFIX_BITS = 16
 
 
-def ip_to_int(ip: Column | str) -> Column:
-    """Dotted quad to its 32-bit value as a bigint; anything else is NULL."""
-    text = F.col(ip) if isinstance(ip, str) else ip
-    value = F.aggregate(
-        F.split(text, "[.]"),
-        F.lit(0).cast("bigint"),
-        lambda acc, part: acc * 256 + part.try_cast("bigint"),
-    )
-    return F.when(text.rlike(IPV4_PATTERN), value)
+def _parsed(ip: str) -> tuple[str, str]:
+    """SQL texts: whether ``ip`` is well formed, and its value if it is.
+
+    Well formed are four numbers of 0-255 that, written out again, give the same text.
+    """
+    octets = [f"try_cast(split_part({ip}, '.', {i}) AS INT)" for i in (1, 2, 3, 4)]
+    in_range = " AND ".join(f"{o} BETWEEN 0 AND 255" for o in octets)
+    again = f"concat_ws('.', {', '.join(octets)}) = {ip}"
+    a, b, c, d = octets
+    value = f"CAST({a} AS BIGINT) * 16777216 + {b} * 65536 + {c} * 256 + {d}"
+    return f"{in_range} AND {again}", value
+
+
+def ip_to_int(ip: str) -> Column:
+    """Dotted quad in a column to its 32-bit value as a bigint; anything else is NULL."""
+    valid, value = _parsed(ip)
+    return F.expr(f"CASE WHEN {valid} THEN {value} END")
 
 
-def ip_host(ip: Column | str) -> Column:
+def ip_host(ip: str) -> Column:
     """The address itself when it is well formed."""
-    text = F.col(ip) if isinstance(ip, str) else ip
-    return F.when(text.rlike(IPV4_PATTERN), text)
+    return F.expr(f"CASE WHEN {_parsed(ip)[0]} THEN {ip} END")
 
 
 def join_key(ip_int: Column | str, bits: int = PREFIX_BITS) -> Column:

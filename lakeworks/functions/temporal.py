@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeworks.sources.tables import literal_rows
+
 # Name of each hour of the day.
 TIME_OF_DAY = (
     (0, "Late at night"),
@@ -40,7 +42,7 @@ TIME_OF_DAY = (
 
 def time_of_day_lookup(spark: SparkSession) -> DataFrame:
     """The 24-row lookup ``(hour, tod_name)`` as literal rows."""
-    return spark.createDataFrame(list(TIME_OF_DAY), "hour int, tod_name string")
+    return literal_rows(spark, TIME_OF_DAY, hour="int", tod_name="string")
 
 
 def to_local(ts: Column, zone: Column, source: str = "UTC") -> Column:
@@ -48,22 +50,23 @@ def to_local(ts: Column, zone: Column, source: str = "UTC") -> Column:
     return F.convert_timezone(F.lit(source), zone, ts)
 
 
-def minutes_between(start: Column, end: Column) -> Column:
-    """Minute boundaries crossed from ``start`` to ``end``.
+def minutes_between(start: str, end: str) -> Column:
+    """Minute boundaries crossed from column ``start`` to column ``end``.
 
     10:00:59 to 10:01:00 is 1, unlike elapsed whole minutes.
     """
-    days = F.datediff(F.to_date(end), F.to_date(start))
-    hours = F.hour(end) - F.hour(start)
-    minutes = F.minute(end) - F.minute(start)
-    return days.cast("bigint") * 1440 + hours * 60 + minutes
+    return F.expr(
+        f"CAST(datediff({end}, {start}) AS BIGINT) * 1440"
+        f" + (hour({end}) - hour({start})) * 60 + minute({end}) - minute({start})"
+    )
 
 
-def second_index(ts: Column) -> Column:
-    """Whole seconds since 1970-01-01 of a wall-clock time, never decreasing in ``ts``."""
-    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
-    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return days.cast("bigint") * 86400 + seconds
+def second_index(ts: str) -> Column:
+    """Whole seconds since 1970-01-01 of a wall-clock column, never decreasing in ``ts``."""
+    return F.expr(
+        f"CAST(datediff({ts}, DATE'1970-01-01') AS BIGINT) * 86400"
+        f" + hour({ts}) * 3600 + minute({ts}) * 60 + second({ts})"
+    )
 
 
 def load_second() -> Column:

@@ -88,7 +88,11 @@ def range_join(
     exactly one bucket, the one of the point, so overlapping and very wide
     ranges need no special case and no pair repeats.
     """
-    keyed = points.withColumn("_point", point).withColumn("_bucket", F.shiftright("_point", bits))
+    # NULL becomes -1, which no range holds; a nullable key would be computed
+    # once more for the IS NOT NULL filter Spark derives from it
+    keyed = points.withColumn("_point", F.coalesce(point, F.lit(-1))).withColumn(
+        "_bucket", F.shiftright("_point", bits)
+    )
     buckets = with_range_buckets(ranges, start, end, "_bucket", bits)
     joined = keyed.join(sized_lookup(buckets), "_bucket").filter(
         F.col("_point").between(F.col(start), F.col(end))
@@ -112,7 +116,7 @@ def keyed_ip_join(
     logs: DataFrame, keyed_locations: DataFrame, ip: str = "ip_address", bits: int = PREFIX_BITS
 ) -> DataFrame:
     """Range join on a location table that carries a ``join_key`` column."""
-    value = ip_to_int(ip)
+    value = F.coalesce(ip_to_int(ip), F.lit(-1))  # as in range_join
     keyed = logs.withColumn("_ip_int", value).withColumn("join_key", join_key("_ip_int", bits))
     return (
         keyed.join(sized_lookup(keyed_locations), "join_key")

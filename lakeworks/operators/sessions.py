@@ -30,9 +30,9 @@ def with_logout(
     paired, so the gap after a logout counts like a session.
     """
     paired = with_next(
-        events, [gamer], at, {"logout": at}, second_index(F.col(at)), group_rows=group_rows
+        events, [gamer], at, {"logout": at}, second_index(at), group_rows=group_rows
     )
-    gap = minutes_between(F.col(at), F.col("logout"))
+    gap = minutes_between(at, "logout")
     return paired.withColumn("game_session_length", F.coalesce(gap, F.lit(0)))
 
 

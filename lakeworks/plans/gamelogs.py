@@ -68,7 +68,9 @@ def enhance(logs: DataFrame, keyed_locations: DataFrame) -> DataFrame:
     """
     located = keyed_ip_join(logs, keyed_locations)
     local = to_local(F.col("datetime_iso8601"), F.col("timezone"))
-    timed = located.withColumn("game_event_ltz", local).withColumn("hour", F.hour("game_event_ltz"))
+    # hour -1 is in no lookup; see range_join for why the key is not nullable
+    hour = F.coalesce(F.hour("game_event_ltz"), F.lit(-1))
+    timed = located.withColumn("game_event_ltz", local).withColumn("hour", hour)
     named = lookup_join(timed, time_of_day_lookup(logs.sparkSession), "hour")
     return named.select(
         "ip_address",

@@ -22,7 +22,7 @@ from lakeworks.plans import (
 )
 from lakeworks.plans.standins import Tables
 from lakeworks.schemas import struct
-from lakeworks.session import scratch_path
+from lakeworks.session import cut_lineage, scratch_path
 from lakeworks.sources.tables import literal_rows, project_cast
 
 Query = Callable[[Tables], DataFrame]
@@ -35,6 +35,11 @@ def enhanced(t: Tables) -> DataFrame:
     return gamelogs.enhance(standins.logs(t), standins.keyed_locations(t))
 
 
+def stored_events(t: Tables) -> DataFrame:
+    """The enriched columns sessions need, written once and scanned several times."""
+    return cut_lineage(enhanced(t).select("gamer_name", "game_event_ltz", "tod_name"), "enhanced")
+
+
 # game logs -----------------------------------------------------------------
 
 
@@ -43,7 +48,7 @@ def ip_to_int(t: Tables) -> DataFrame:
 
 
 def ip_lookup_one(t: Tables) -> DataFrame:
-    wanted = network.ip_to_int(F.lit("10.3.8.0"))
+    wanted = network.ip_to_int("'10.3.8.0'")
     found = standins.locations(t).filter(wanted.between(F.col("start_ip_int"), F.col("end_ip_int")))
     return found.select(
         "start_ip", "end_ip", "start_ip_int", "end_ip_int", "city", "region", "country", "timezone"
@@ -106,7 +111,7 @@ def insert_select(t: Tables) -> DataFrame:
     literal = (
         '{"datetime_iso8601":"2025-01-01 00:00:00.000","user_event":"fake event","user_login":"fake user"}'
     )
-    added = literal_rows(t.spark, [(literal,)], "log string")
+    added = literal_rows(t.spark, [(literal,)], log="string")
     return parsed(landed.unionByName(added.select(variants.parse("log").alias("raw_log"))))
 
 
@@ -398,9 +403,9 @@ QUERIES: dict[str, Query] = {
     "ip_lookup_one": ip_lookup_one,
     "ip_range_join": ip_range_join,
     "ip_range_join_keyed": ip_range_join_keyed,
-    "session_lengths": lambda t: sessions.session_lengths(enhanced(t)),
-    "session_heatgrid": lambda t: sessions.session_grid(enhanced(t)),
-    "session_heatgrid_rows": lambda t: sessions.session_grid_rows(enhanced(t)),
+    "session_lengths": lambda t: sessions.session_lengths(stored_events(t)),
+    "session_heatgrid": lambda t: sessions.session_grid(stored_events(t)),
+    "session_heatgrid_rows": lambda t: sessions.session_grid_rows(stored_events(t)),
     "login_logout_rollup": lambda t: gamelogs.login_and_logout(enhanced(t)),
     "time_of_day_lookup": time_of_day_lookup,
     "listagg_by_group": listagg_by_group,

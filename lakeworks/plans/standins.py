@@ -31,7 +31,7 @@ TRAIL_POINTS = 500
 
 
 class Tables:
-    """The supplied tables of one folder, read on first use of each."""
+    """The supplied tables of one folder, each opened once."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -40,7 +40,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return shared_table(self.spark, self.folder, name)
+        table = shared_table(self.spark, self.folder, name)
+        setattr(self, name, table)
+        return table
 
 
 # game logs -----------------------------------------------------------------
@@ -48,52 +50,30 @@ class Tables:
 
 def logs(t: Tables) -> DataFrame:
     """Events as game logs with an address made from their ids."""
-    address = F.concat(
-        F.lit("10."),
-        (F.col("user_id") % 25).cast("string"),
-        F.lit("."),
-        (F.col("event_id") % 256).cast("string"),
-        F.lit("."),
-        (F.col("user_id") % 250).cast("string"),
-    )
-    return t.events.select(
-        address.alias("ip_address"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_login"),
-        F.col("event_type").alias("user_event"),
-        F.col("ts").alias("datetime_iso8601"),
+    return t.events.selectExpr(
+        "concat('10.', user_id % 25, '.', event_id % 256, '.', user_id % 250) AS ip_address",
+        "concat('user_', user_id) AS user_login",
+        "event_type AS user_event",
+        "ts AS datetime_iso8601",
     )
 
 
 def locations(t: Tables) -> DataFrame:
-    """Address ranges per nation, plus one range across two prefixes per nation 3."""
-    zone = F.lit(None).cast("string")
-    for key, name in ZONES.items():
-        zone = F.when(F.col("n_regionkey") == key, F.lit(name)).otherwise(zone)
-    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("n_name").alias("country"), F.col("r_name").alias("region"), zone.alias("timezone")
+    """Address ranges per nation, plus one range across two prefixes."""
+    zone = " ".join(f"WHEN {key} THEN '{name}'" for key, name in ZONES.items())
+    nations = t.nation.selectExpr(
+        "n_nationkey AS k",
+        "concat('City ', n_name) AS city",
+        "concat('Region ', n_regionkey) AS region",
+        "n_name AS country",
+        f"CASE n_regionkey {zone} END AS timezone",
     )
-
-    def ranges(rows: DataFrame, first: list, last: list) -> DataFrame:
-        return rows.select(
-            F.concat(*first).alias("start_ip"),
-            F.concat(*last).alias("end_ip"),
-            F.concat(F.lit("City "), F.col("country")).alias("city"),
-            "region",
-            "country",
-            "timezone",
-        )
-
-    key = F.col("n_nationkey").cast("string")
-    next_key = (F.col("n_nationkey") + 1).cast("string")
-    plain = ranges(
-        nations.filter(F.col("n_nationkey") % 5 != 4),
-        [F.lit("10."), key, F.lit(".0.0")],
-        [F.lit("10."), key, F.lit(".199.255")],
+    place = ["city", "region", "country", "timezone"]
+    plain = nations.filter("k % 5 <> 4").selectExpr(
+        "concat('10.', k, '.0.0') AS start_ip", "concat('10.', k, '.199.255') AS end_ip", *place
     )
-    wide = ranges(
-        nations.filter(F.col("n_nationkey") == 3),
-        [F.lit("10."), key, F.lit(".200.0")],
-        [F.lit("10."), next_key, F.lit(".99.255")],
+    wide = nations.filter("k = 3").selectExpr(
+        "concat('10.', k, '.200.0') AS start_ip", "concat('10.', k + 1, '.99.255') AS end_ip", *place
     )
     return plain.unionByName(wide).select(
         "*", ip_to_int("start_ip").alias("start_ip_int"), ip_to_int("end_ip").alias("end_ip_int")
@@ -130,20 +110,16 @@ def forecast(t: Tables) -> DataFrame:
 
 def vehicles(t: Tables) -> DataFrame:
     """Parts as stock with a 17-character vehicle number."""
-    number = F.concat(
-        F.lit("W"),
-        F.lpad(F.substring("p_brand", 7, 2), 2, "0"),
-        F.rpad(F.upper(F.substring("p_type", 1, 5)), 5, "X"),
-        F.lit("0"),
-        F.substr(F.lit(YEAR_CODES), F.col("p_size") % 30 + 1, F.lit(1)),
-        F.substr(F.lit("ABCDE"), (F.col("p_partkey") % 5 + 1).cast("int"), F.lit(1)),
-        F.lpad((F.col("p_partkey") % 1000000).cast("string"), 6, "0"),
+    number = (
+        "concat('W', lpad(substr(p_brand, 7, 2), 2, '0'), rpad(upper(substr(p_type, 1, 5)), 5, 'X'), '0', "
+        f"substr('{YEAR_CODES}', p_size % 30 + 1, 1), "
+        "substr('ABCDE', CAST(p_partkey % 5 + 1 AS INT), 1), "
+        "lpad(CAST(p_partkey % 1000000 AS STRING), 6, '0'))"
     )
-    words = F.split("p_name", " ")
-    return t.part.select(
-        number.alias("vin"),
-        F.get(words, F.lit(0)).alias("exterior"),
-        F.get(words, F.lit(1)).alias("interior"),
+    return t.part.selectExpr(
+        f"{number} AS vin",
+        "split_part(p_name, ' ', 1) AS exterior",
+        "split_part(p_name, ' ', 2) AS interior",
         "p_brand",
         "p_type",
         "p_size",
@@ -152,40 +128,43 @@ def vehicles(t: Tables) -> DataFrame:
 
 def vehicle_lookups(t: Tables) -> Lookups:
     """The five decode tables, from the codes that occur."""
-    stock = vehicles(t)
-    brand = F.substring("vin", 2, 2).cast("int")
-    brands = stock.select(F.substring("vin", 1, 3).alias("wmi"), brand.alias("manuf_id")).distinct()
-    manufacturers = brands.filter(F.col("manuf_id") % 7 != 0).select(
-        "wmi",
-        "manuf_id",
-        F.concat(F.lit("Maker "), F.col("manuf_id")).alias("manuf_name"),
-        F.concat(F.lit("Country "), F.col("manuf_id") % 4).alias("country"),
-        F.when(F.col("manuf_id") % 2 == 0, "Passenger Car").otherwise("Truck").alias("vehicle_type"),
+    codes = vehicles(t).selectExpr(
+        "substr(vin, 1, 3) AS wmi",
+        "CAST(substr(vin, 2, 2) AS INT) AS manuf_id",
+        "CAST(substr(vin, 2, 2) AS INT) % 5 AS make_id",
+        "substr(vin, 4, 5) AS vds",
+        "substr(vin, 10, 1) AS model_year_code",
+        "substr(vin, 11, 1) AS plant_code",
     )
-    make = F.col("manuf_id") % 5
-    makes = brands.select(
-        "manuf_id", F.concat(F.lit("Make "), make).alias("make_name"), make.alias("make_id")
+    manufacturers = codes.select("wmi", "manuf_id").distinct().filter("manuf_id % 7 <> 0").selectExpr(
+        "*",
+        "concat('Maker ', manuf_id) AS manuf_name",
+        "concat('Country ', manuf_id % 4) AS country",
+        "CASE WHEN manuf_id % 2 = 0 THEN 'Passenger Car' ELSE 'Truck' END AS vehicle_type",
+    )
+    makes = codes.select("manuf_id", "make_id").distinct().selectExpr(
+        "manuf_id", "concat('Make ', make_id) AS make_name", "make_id"
     )
     plants = (
-        stock.select((brand % 5).alias("make_id"), F.substring("vin", 11, 1).alias("plant_code"))
+        codes.select("make_id", "plant_code")
         .distinct()
-        .filter(~((F.col("make_id") == 2) & (F.col("plant_code") == "C")))
-        .withColumn("plant_name", F.concat(F.lit("Plant "), F.col("plant_code"), F.lit("-"), F.col("make_id")))
+        .filter("NOT (make_id = 2 AND plant_code = 'C')")
+        .selectExpr("*", "concat('Plant ', plant_code, '-', make_id) AS plant_name")
     )
-    code = F.substring("vin", 10, 1)
-    years = stock.select(code.alias("model_year_code")).distinct().select(
-        "model_year_code",
-        (F.instr(F.lit(YEAR_CODES), F.col("model_year_code")) + 1979).cast("string").alias("model_year_name"),
+    years = codes.select("model_year_code").distinct().selectExpr(
+        "*", f"CAST(instr('{YEAR_CODES}', model_year_code) + 1979 AS STRING) AS model_year_name"
     )
-    pairs = stock.select((brand % 5).alias("make_id"), F.substring("vin", 4, 5).alias("vds")).distinct()
-    both = F.concat(F.col("vds"), F.lit("-"), F.col("make_id"))
-    details = ["desc1", "desc2", "desc3", "desc4", "desc5", "body_style", "engine", "drive_type",
-               "transmission", "mpg"]
-    models = pairs.filter(~((F.col("make_id") == 1) & (F.col("vds") == "PROMO"))).select(
-        "make_id",
-        "vds",
-        F.concat(F.lit("Model "), both).alias("model_name"),
-        *[F.concat(F.lit(f"{d} "), both).alias(d) for d in details],
+    details = ("desc1", "desc2", "desc3", "desc4", "desc5", "body_style", "engine", "drive_type",
+               "transmission", "mpg")
+    models = (
+        codes.select("make_id", "vds")
+        .distinct()
+        .filter("NOT (make_id = 1 AND vds = 'PROMO')")
+        .selectExpr(
+            "*",
+            "concat('Model ', vds, '-', make_id) AS model_name",
+            *[f"concat('{d} ', vds, '-', make_id) AS {d}" for d in details],
+        )
     )
     return Lookups(manufacturers, makes, plants, years, models)
 
@@ -206,52 +185,45 @@ def lot_stock(t: Tables) -> DataFrame:
 # catalogue -----------------------------------------------------------------
 
 
-def _file_name():
-    return F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), F.lit(".png"))
+FILE_NAME = "concat(replace(p_name, ' ', '_'), '.png')"
 
 
 def image_files(t: Tables) -> DataFrame:
     """One file per part name."""
-    names = t.part.select("p_name").distinct().select(_file_name().alias("relative_path"))
-    return names.withColumn("file_url", F.concat(F.lit("/images/"), F.col("relative_path")))
+    names = t.part.selectExpr(f"{FILE_NAME} AS relative_path").distinct()
+    return names.selectExpr("relative_path", "concat('/images/', relative_path) AS file_url")
 
 
 def suits(t: Tables) -> DataFrame:
-    return t.part.select(
-        F.col("p_brand").alias("color_or_style"),
-        _file_name().alias("file_name"),
-        F.col("p_retailprice").alias("price"),
+    return t.part.selectExpr(
+        "p_brand AS color_or_style", f"{FILE_NAME} AS file_name", "p_retailprice AS price"
     )
 
 
 def suit_sizes(t: Tables) -> DataFrame:
-    return t.part.select(F.lpad(F.col("p_size").cast("string"), 2, "0").alias("sizes_available")).distinct()
+    return t.part.selectExpr("lpad(CAST(p_size AS STRING), 2, '0') AS sizes_available").distinct()
 
 
 def _brand_codes(t: Tables, up_to: int) -> DataFrame:
-    brands = t.part.select("p_brand", F.substring("p_brand", 7, 2).cast("int").alias("k")).distinct()
-    return brands.filter(F.col("k") <= up_to).withColumn(
-        "code", F.concat(F.lit("SWT_"), F.col("k").cast("string"))
-    )
+    brands = t.part.selectExpr("p_brand", "CAST(substr(p_brand, 7, 2) AS INT) AS k").distinct()
+    return brands.filter(f"k <= {up_to}").selectExpr("*", "concat('SWT_', k) AS code")
 
 
 def upsell_mapping(t: Tables) -> DataFrame:
-    return _brand_codes(t, 18).select(
-        F.col("p_brand").alias("sweatsuit_color_or_style"), F.col("code").alias("upsell_product_code")
+    return _brand_codes(t, 18).selectExpr(
+        "p_brand AS sweatsuit_color_or_style", "code AS upsell_product_code"
     )
 
 
 def coordination(t: Tables) -> DataFrame:
-    return _brand_codes(t, 15).select(
-        F.col("code").alias("product_code"), F.col("p_brand").alias("has_matching_sweatsuit")
-    )
+    return _brand_codes(t, 15).selectExpr("code AS product_code", "p_brand AS has_matching_sweatsuit")
 
 
 def accessory_lines(t: Tables) -> DataFrame:
-    return _brand_codes(t, 12).select(
-        F.col("code").alias("product_code"),
-        F.concat(F.lit("Headband "), F.col("k").cast("string")).alias("headband_description"),
-        F.concat(F.lit("Wristband "), F.col("k").cast("string")).alias("wristband_description"),
+    return _brand_codes(t, 12).selectExpr(
+        "code AS product_code",
+        "concat('Headband ', k) AS headband_description",
+        "concat('Wristband ', k) AS wristband_description",
     )
 
 

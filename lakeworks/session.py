@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call sites in error messages cost several driver round trips per expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

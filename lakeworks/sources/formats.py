@@ -121,7 +121,8 @@ def _read_skipping(
     options = {k: v for k, v in fmt.options().items() if k != "lineSep"}
     options["mode"] = "FAILFAST" if on_error == "abort" else "PERMISSIVE"
     parsed = F.from_csv("value", wanted.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    return body.select(parsed.alias("r")).select("r.*")
+    rows = body.select(parsed.alias("r")).select("r.*")
+    return _all_fields_read(rows) if on_error == "abort" else rows
 
 
 def read_lines(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name).select("*", F.col("_metadata.file_name").alias("my_filename"))
 
 
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Rows written out in the program."""
-    return spark.createDataFrame(rows, schema)
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], **columns: str) -> DataFrame:
+    """Rows written out in the program, as literals inside the plan."""
+    text = json.dumps([dict(zip(columns, row)) for row in rows])
+    fields = ", ".join(f"{name}: {kind}" for name, kind in columns.items())
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{fields}>>")))

@@ -99,7 +99,7 @@ def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataF
         [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
     )
     if not exists(spark, target):
-        return spark.createDataFrame([], full)
+        return spark.createDataFrame([], full).limit(0)
     return spark.read.schema(full).parquet(target)
 
 
