@@ -7,21 +7,26 @@ from pyspark.sql import functions as F
 
 
 def read_json_array(
-    spark: SparkSession, path: str | list[str], as_name: str = "raw", numbered: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    as_name: str = "raw",
+    numbered: bool = False,
+    on_error: str = "abort",
 ) -> DataFrame:
     """One variant per element of each file's outer array, JSON nulls kept.
 
-    A file holding one object gives one row.  With ``numbered`` the columns
-    ``file_name`` and the 1-based ``file_row`` come along.  A file is one
-    document and is parsed by one task.
+    Files of single objects or of one object per line work as well.  With
+    ``numbered`` the columns ``file_name`` and the 1-based ``file_row`` come
+    along.  A file is parsed by one task; ``on_error="skip"`` leaves out files
+    that are not JSON, ``"abort"`` fails the job.
     """
-    docs = read_json_document(spark, path, "_doc")
-    if numbered:
-        docs = docs.select("_doc", F.col("_metadata.file_name").alias("file_name"))
-        return docs.select("file_name", F.posexplode(elements(F.col("_doc"))).alias("_pos", as_name)).select(
-            "file_name", (F.col("_pos") + 1).cast("bigint").alias("file_row"), as_name
-        )
-    return docs.select(F.explode(elements(F.col("_doc"))).alias(as_name))
+    texts = spark.read.text(path, wholetext=True)
+    each = F.posexplode(file_values(F.col("value"), on_error)).alias("_pos", as_name)
+    if not numbered:
+        return texts.select(each).drop("_pos")
+    return texts.select(F.col("_metadata.file_name").alias("file_name"), each).select(
+        "file_name", (F.col("_pos") + 1).cast("bigint").alias("file_row"), as_name
+    )
 
 
 def read_json_document(
@@ -43,11 +48,16 @@ def elements(document: Column) -> Column:
     return F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
 
 
-def parse_file_text(text: Column) -> Column:
-    """Array of variants from the text of a whole file: a JSON array, an object, or lines."""
-    document = F.try_parse_json(text)
-    lines = F.filter(
-        F.transform(F.split(text, r"\r?\n"), lambda line: F.try_parse_json(line)),
-        lambda value: value.isNotNull(),
-    )
-    return F.when(document.isNotNull(), elements(document)).otherwise(lines)
+def file_values(text: Column, on_error: str = "skip") -> Column:
+    """Array of variants from the text of a whole file.
+
+    The file may hold an array, an object, or several of them on lines of their
+    own.  The JSON parser stops after the first value of a text, so the values
+    are made into one array first: a closing and an opening bracket with only a
+    line break between them occur nowhere inside valid JSON.
+    """
+    listed = F.regexp_replace(text, r"([}\]])\s*\n\s*([{\[])", "$1,$2")
+    whole = F.concat(F.lit("["), listed, F.lit("]"))
+    parsed = F.parse_json(whole) if on_error == "abort" else F.try_parse_json(whole)
+    documents = F.try_variant_get(parsed, "$", "array<variant>")
+    return F.flatten(F.transform(documents, elements))

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from lakeworks.functions.variants import get_key
 from lakeworks.operators.tables import rows_to_insert
 from lakeworks.schemas import struct
-from lakeworks.sources.documents import parse_file_text
+from lakeworks.sources.documents import file_values
 from lakeworks.sources.files import provenance
 
 #: Schema of the landing table.
@@ -37,9 +37,9 @@ RUN, BATCH = "_run", "_batch"
 
 
 def log_rows(files: DataFrame) -> DataFrame:
-    """Landing rows from whole-file texts (batch or stream)."""
+    """Landing rows from whole-file texts (batch or stream); files that are not JSON are skipped."""
     docs = files.select(F.col("_metadata.file_name").alias("_name"), "value")
-    rows = docs.select("_name", F.posexplode(parse_file_text(F.col("value"))).alias("_pos", "_raw"))
+    rows = docs.select("_name", F.posexplode(file_values(F.col("value"))).alias("_pos", "_raw"))
     return rows.select(
         *provenance(F.col("_name"), F.col("_pos") + 1),
         get_key("_raw", "datetime_iso8601", "timestamp_ntz").alias("datetime_iso8601"),
@@ -70,12 +70,11 @@ def ingest_files(
     ``purge`` deletes a source file once its rows are in the table.
     """
     reader = (
-        spark.readStream.option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch)
+        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .option("cleanSource", "delete" if purge else "off")
     )
     writer = (
-        log_rows(reader.text(source))
+        log_rows(reader.text(source, wholetext=True))
         .writeStream.format("parquet")
         .option("path", landing)
         .option("checkpointLocation", checkpoint)
