@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.functions.text import cut
@@ -73,6 +73,26 @@ def decode(df: DataFrame, lookups: Lookups, vin: str = "vin") -> DataFrame:
     return lookup_join(joined, models, ["vds", "make_id"]).select("vin", *DECODED)
 
 
+def register_decode(spark: SparkSession, lookups: Lookups, name: str = "parse_and_enhance_vin") -> None:
+    """``SELECT * FROM name('...')`` for SQL text in this session, also lateral over a table."""
+    for field in fields(lookups):
+        getattr(lookups, field.name).createOrReplaceTempView(f"{name}_{field.name}")
+    codes = ", ".join(
+        f"substr({name}.this_vin, {start}, {length}) AS {column}"
+        for column, (start, length) in CODE_POSITIONS.items()
+    )
+    chosen = ", ".join("model_year_name" if c == "model_year" else c for c in DECODED)
+    # the codes come first, so that a lateral call over a table stays a chain of hash joins
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(this_vin STRING) "
+        f"RETURNS TABLE (vin STRING, {', '.join(f'{c} STRING' for c in DECODED)}) "
+        f"RETURN SELECT vin, {chosen} FROM (SELECT {name}.this_vin AS vin, {codes}) "
+        f"JOIN {name}_manufacturers USING (wmi) JOIN {name}_makes USING (manuf_id) "
+        f"JOIN {name}_plants USING (make_id, plant_code) JOIN {name}_years USING (model_year_code) "
+        f"JOIN {name}_models USING (make_id, vds)"
+    )
+
+
 def decode_one(df: DataFrame, lookups: Lookups, vin: str) -> DataFrame:
     """Stock columns and decoded columns of one vehicle number."""
     wanted = df.filter(F.col("vin") == F.lit(vin))

@@ -16,6 +16,11 @@ def planned_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def explodes(df: DataFrame) -> bool:
+    """True if the plan makes several rows of one, which the estimate does not see."""
+    return "Generate " in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def row_bytes(df: DataFrame) -> int:
     """Width of one row by Spark's default sizes of its types."""
     return int(df._jdf.schema().defaultSize()) + 16
@@ -28,20 +33,22 @@ def auto_broadcast_bytes(df: DataFrame) -> int:
 
 
 def sized_lookup(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``lookup`` with a broadcast hint only when its size is known to fit.
+    """``lookup``, to be broadcast only when its size is known to fit.
 
     Three outcomes.  Spark's estimate is below its own limit: left alone, Spark
-    broadcasts it.  Estimate is larger (typical for lookups derived from a big
-    table): rows are counted, and the hint is set if they fit.  Otherwise no
-    hint: Spark joins by shuffle and adaptive execution splits skewed
-    partitions, so a key holding a third of the facts is spread over tasks.
+    broadcasts it.  The estimate is larger (typical for lookups derived from a
+    big table) or blind to an explode: rows are counted, and the hint is set if
+    they fit.  Otherwise the join is done by shuffle and adaptive execution
+    splits skewed partitions, so a key holding a third of the facts is spread
+    over tasks.
     """
-    if planned_bytes(lookup) <= auto_broadcast_bytes(lookup):
+    blind = explodes(lookup)
+    if not blind and planned_bytes(lookup) <= auto_broadcast_bytes(lookup):
         return lookup
     limit = max_bytes // row_bytes(lookup)
     if lookup.limit(limit + 1).count() <= limit:
         return F.broadcast(lookup)
-    return lookup
+    return lookup.hint("merge") if blind else lookup
 
 
 def lookup_join(
@@ -125,9 +132,7 @@ def keyed_ip_join(
     )
 
 
-def every_combination(
-    left: DataFrame, right: DataFrame, spread: int = 64, salt_on: list[str] | None = None
-) -> DataFrame:
+def every_combination(left: DataFrame, right: DataFrame, spread: int = 64) -> DataFrame:
     """Each left row with each right row.
 
     Planned as an equality join: left rows are dealt over ``spread`` salts and
@@ -135,6 +140,9 @@ def every_combination(
     of the left side, and neither side has to fit in memory.
     """
     salts = F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*(salt_on or left.columns)), F.lit(spread)))
+    # the partition number keeps equal rows from all meeting in one salt
+    dealt = left.withColumn(
+        "_salt", F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(spread))
+    )
     repeated = right.withColumn("_salt", F.explode(salts))
     return dealt.join(sized_lookup(repeated), "_salt").drop("_salt")

@@ -22,7 +22,7 @@ FILE_ROWS = 20_000
 
 
 def _write_files(rows: DataFrame, key: str, record: Column, between: str, head: str, tail: str) -> str:
-    """One file per block of ``FILE_ROWS`` keys: head, records, tail; returns the file glob."""
+    """One file per block of ``FILE_ROWS`` unique keys: head, records, tail; returns the file glob."""
     path = scratch_path(rows.sparkSession, "files")
     block = F.floor(F.col(key) / FILE_ROWS).alias("block")
     items = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), record.alias("r"))))
@@ -72,8 +72,8 @@ def bad_records(t: Tables) -> DataFrame:
 
 def file_rows(t: Tables) -> DataFrame:
     """Per file: rows found, highest row number and distinct row numbers."""
-    record = F.col("l_orderkey").cast("string")
-    path = _write_files(t.lineitem, "l_orderkey", record, "\n", "", "")
+    record = F.col("event_id").cast("string")
+    path = _write_files(t.events, "event_id", record, "\n", "", "")
     numbered = files.with_row_numbers(formats.read_lines(t.spark, path))
     block = F.floor(F.col("value").cast("bigint") / FILE_ROWS)
     return numbered.groupBy(block.alias("block"), "file_name").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeworks.functions.temporal import time_of_day_lookup, to_local
 from lakeworks.functions.variants import path
 from lakeworks.operators import aggregates, tables
-from lakeworks.operators.joins import keyed_ip_join, lookup_join
+from lakeworks.operators.joins import keyed_ip_join
 from lakeworks.schemas import struct
 
 #: Target keys of the merge and the columns of an enriched row they equal.
@@ -71,7 +71,8 @@ def enhance(logs: DataFrame, keyed_locations: DataFrame) -> DataFrame:
     # hour -1 is in no lookup; see range_join for why the key is not nullable
     hour = F.coalesce(F.hour("game_event_ltz"), F.lit(-1))
     timed = located.withColumn("game_event_ltz", local).withColumn("hour", hour)
-    named = lookup_join(timed, time_of_day_lookup(logs.sparkSession), "hour")
+    hours = F.broadcast(time_of_day_lookup(logs.sparkSession))  # 24 rows, always
+    named = timed.join(hours, "hour")
     return named.select(
         "ip_address",
         F.col("user_login").alias("gamer_name"),

@@ -32,8 +32,10 @@ def with_hashtags(posts: DataFrame, post: str = "raw_status") -> DataFrame:
 
 
 def creation_dates(posts: DataFrame, post: str = "raw_status") -> DataFrame:
-    day = path(post, "created_at", "date")
-    return posts.select(day.alias("created_on")).orderBy("created_on")
+    """Creation dates in order; sorting by id as well lets the sort cut a busy day apart."""
+    day = path(post, "created_at", "date").alias("created_on")
+    dated = posts.select(day, path(post, "id", "bigint").alias("_id"))
+    return dated.orderBy("created_on", "_id").drop("_id")
 
 
 def hashtags_normalized(posts: DataFrame, post: str = "raw_status") -> DataFrame:

@@ -403,8 +403,8 @@ ORACLES: dict[str, str] = {
     "bad_records":
         "SELECT event_id AS id, event_id || ',n/a' AS bad_record FROM events WHERE event_type = 'error'",
     "file_rows":
-        f"SELECT l_orderkey // {FILE_ROWS} AS block, count(*) AS n_rows, count(*) AS last_row, count(*) AS n_numbers "
-        "FROM lineitem GROUP BY block",
+        f"SELECT event_id // {FILE_ROWS} AS block, count(*) AS n_rows, count(*) AS last_row, count(*) AS n_numbers "
+        "FROM events GROUP BY block",
     "files_and_rows":
         f"SELECT count(DISTINCT o_orderkey // {FILE_ROWS}) AS n_files, count(*) AS n_rows, true AS has_content "
         "FROM orders",

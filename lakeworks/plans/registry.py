@@ -69,8 +69,8 @@ def ip_range_join_keyed(t: Tables) -> DataFrame:
 
 
 def _event_hours(t: Tables) -> DataFrame:
-    lookup = temporal.time_of_day_lookup(t.spark)
-    return joins.lookup_join(t.events.select(F.hour("ts").alias("hour")), lookup, "hour")
+    lookup = F.broadcast(temporal.time_of_day_lookup(t.spark))  # 24 rows, always
+    return t.events.select(F.hour("ts").alias("hour")).join(lookup, "hour")
 
 
 def time_of_day_lookup(t: Tables) -> DataFrame:

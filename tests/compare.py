@@ -45,7 +45,7 @@ def rows(table) -> tuple[list[str], list[str], Counter]:
 def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if both agree in names, types and rows, else what differs."""
     got_names, got_types, got = rows(df.toArrow())
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     want_names, want_types, want = rows(want)
     if got_names != want_names:
         return f"columns {got_names} vs {want_names}"

@@ -68,6 +68,16 @@ def test_enrich_equals_one_update_per_number(spark, lookups):
     assert at_once.filter("manuf_name is not null").count() == 3
 
 
+def test_sql_table_function(spark, lookups):
+    decode.register_decode(spark, lookups, "decode_vin")
+    by_sql = spark.sql("SELECT * FROM decode_vin(:vin)", args={"vin": KNOWN})
+    assert by_sql.collect() == decode.decode(spark.createDataFrame([(KNOWN,)], "vin string"), lookups).collect()
+    stock(spark).createOrReplaceTempView("stock_rows")
+    joined = spark.sql("SELECT s.exterior, f.make_name FROM stock_rows s, LATERAL decode_vin(s.vin) f")
+    assert sorted(tuple(r) for r in joined.collect()) == [("blue", "Make 9"), ("grey", "Make 9"), ("red", "Make 7")]
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_decode_one(spark, lookups):
     got = decode.decode_one(stock(spark), lookups, SECOND).select("vin", "exterior", "make_name").collect()
     assert sorted(tuple(r) for r in got) == [(SECOND, "blue", "Make 9"), (SECOND, "grey", "Make 9")]

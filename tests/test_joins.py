@@ -75,6 +75,14 @@ def test_lookup_is_broadcast_only_when_it_fits(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_exploding_lookup_is_counted_not_estimated(spark):
+    wide = spark.range(1).select(F.lit(0).cast("bigint").alias("lo"), F.lit(2**32 - 1).alias("hi"))
+    buckets = joins.with_range_buckets(wide, "lo", "hi", "b")
+    points = spark.range(10).withColumnRenamed("id", "b")
+    assert "BroadcastHashJoin" in plan(points.join(joins.sized_lookup(buckets), "b"))
+    assert "SortMergeJoin" in plan(points.join(joins.sized_lookup(buckets, max_bytes=1 << 20), "b"))
+
+
 def test_hot_key_is_split_when_the_lookup_is_too_big(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
