@@ -12,14 +12,15 @@ PREFIX_BITS = 16
 def _parsed(ip: str) -> tuple[str, str]:
     """SQL texts: whether ``ip`` is well formed, and its value if it is.
 
-    Well formed are four numbers of 0-255 that, written out again, give the same text.
+    An address is well formed if its value, written as a dotted quad again,
+    gives the same text.  That rules out leading zeros, signs, blanks, numbers
+    above 255 and missing or surplus parts at once.
     """
-    octets = [f"try_cast(split_part({ip}, '.', {i}) AS INT)" for i in (1, 2, 3, 4)]
-    in_range = " AND ".join(f"{o} BETWEEN 0 AND 255" for o in octets)
-    again = f"concat_ws('.', {', '.join(octets)}) = {ip}"
-    a, b, c, d = octets
+    a, b, c, d = (f"try_cast(split_part({ip}, '.', {i}) AS INT)" for i in (1, 2, 3, 4))
     value = f"CAST({a} AS BIGINT) * 16777216 + {b} * 65536 + {c} * 256 + {d}"
-    return f"{in_range} AND {again}", value
+    bytes_ = (f"(({value}) div {weight} % 256)" for weight in (16777216, 65536, 256, 1))
+    again = " || '.' || ".join(bytes_)
+    return f"{again} = {ip} AND {value} >= 0", value
 
 
 def ip_to_int(ip: str) -> Column:

@@ -24,6 +24,12 @@ def one(spark, column):
         ("1.2.3.04", None),
         (" 1.2.3.4", None),
         ("1.2.3.+4", None),
+        ("0.0.0.-1", None),
+        ("1.256.0.0", None),
+        ("1.0.256.0", None),
+        ("999.1.1.1", None),
+        ("1..2.3", None),
+        ("1.2.3.4.", None),
         ("a.b.c.d", None),
         ("", None),
         (None, None),
