@@ -71,16 +71,16 @@ def bad_records(t: Tables) -> DataFrame:
 
 
 def file_rows(t: Tables) -> DataFrame:
-    """Per file: rows found, highest row number and distinct row numbers."""
+    """Per file, known by its block of keys: rows, highest row number, distinct row numbers."""
     record = F.col("event_id").cast("string")
     path = _write_files(t.events, "event_id", record, "\n", "", "")
     numbered = files.with_row_numbers(formats.read_lines(t.spark, path))
     block = F.floor(F.col("value").cast("bigint") / FILE_ROWS)
-    return numbered.groupBy(block.alias("block"), "file_name").agg(
+    return numbered.groupBy(block.alias("block")).agg(
         F.count("*").alias("n_rows"),
         F.max("file_row").alias("last_row"),
         F.count_distinct("file_row").alias("n_numbers"),
-    ).drop("file_name")
+    )
 
 
 def files_and_rows(t: Tables) -> DataFrame:
@@ -88,9 +88,7 @@ def files_and_rows(t: Tables) -> DataFrame:
     path = _write_files(t.orders, "o_orderkey", F.col("o_orderkey").cast("string"), "\n", "", "")
     listed = files.list_files(t.spark, path.removesuffix("/*"), "part-*")
     counted = files.rows_per_file(formats.read_lines(t.spark, path))
-    name = F.substring_index("relative_path", "/", -1)
-    joined = listed.join(counted, name == F.col("file_name"))
-    return joined.agg(
+    return listed.join(counted, "file_url").agg(
         F.count("*").alias("n_files"),
         F.sum("n_rows").alias("n_rows"),
         (F.sum("size") > 0).alias("has_content"),

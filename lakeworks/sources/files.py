@@ -24,17 +24,19 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     )
     return listing.select(
         F.substring("path", len(root) + 2, 1 << 20).alias("relative_path"),
-        F.col("path").alias("file_url"),
+        F.col("_metadata.file_path").alias("file_url"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
     )
 
 
 def rows_per_file(df: DataFrame, as_name: str = "n_rows") -> DataFrame:
-    """Row count of every file behind a file-based DataFrame."""
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
-        F.count("*").alias(as_name)
-    )
+    """Row count of every file behind a file-based DataFrame.
+
+    Files are told apart by their URL; names may repeat across folders.
+    """
+    url, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    return df.groupBy(url.alias("file_url"), name.alias("file_name")).agg(F.count("*").alias(as_name))
 
 
 def with_file_name(df: DataFrame, as_name: str = "file_name") -> DataFrame:

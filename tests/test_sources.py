@@ -131,8 +131,12 @@ def test_row_numbers_across_file_pieces(spark, tmp_path):
         assert got.count() == 4900
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    counted = {tuple(r) for r in files.rows_per_file(formats.read_lines(spark, str(tmp_path / "n"))).collect()}
-    assert counted == {("a.txt", 4000), ("b.txt", 900)}
+    put(tmp_path, "n/deep/a.txt", "1\n")
+    lines = spark.read.option("recursiveFileLookup", True).text(str(tmp_path / "n"))
+    counted = sorted((r["file_name"], r["n_rows"]) for r in files.rows_per_file(lines).collect())
+    assert counted == [("a.txt", 1), ("a.txt", 4000), ("b.txt", 900)]
+    listed = files.list_files(spark, str(tmp_path / "n")).join(files.rows_per_file(lines), "file_url")
+    assert {r["relative_path"]: r["n_rows"] for r in listed.collect()}["deep/a.txt"] == 1
 
 
 def test_file_listing(spark, tmp_path):
