@@ -249,7 +249,7 @@ ORACLES: dict[str, str] = {
         "SELECT CASE WHEN game_event_utc < TIMESTAMP '2024-01-15' THEN 'kept' ELSE ip_address END AS ip_address, "
         "* EXCLUDE (ip_address) FROM enh", *ENHANCED),
     "merge_update": with_parts(
-        "SELECT CASE WHEN game_event_name = 'click' THEN 'Hey I updated matching rows!' ELSE ip_address END "
+        "SELECT CASE WHEN game_event_name = 'click' THEN 'set by merge' ELSE ip_address END "
         "AS ip_address, * EXCLUDE (ip_address) FROM enh", *ENHANCED),
     "delete_where": with_parts(
         "SELECT * FROM enh WHERE NOT (gamer_name = 'user_7')", *ENHANCED),

@@ -90,7 +90,7 @@ def merge_insert(t: Tables) -> DataFrame:
 def merge_update(t: Tables) -> DataFrame:
     clicks = standins.logs(t).filter(F.col("user_event") == "click")
     return gamelogs.mark_known(
-        enhanced(t), clicks, ip_address=F.lit("Hey I updated matching rows!")
+        enhanced(t), clicks, ip_address=F.lit("set by merge")
     )
 
 

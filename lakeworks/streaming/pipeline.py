@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from lakeworks.functions.variants import get_key
+from lakeworks.operators.joins import BROADCAST_BYTES, row_bytes
 from lakeworks.operators.tables import rows_to_insert
 from lakeworks.schemas import struct
 from lakeworks.sources.documents import file_values
@@ -117,16 +118,23 @@ def insert_batch(
     target, so a batch tried again after a failure gives the same rows.
     ``prune_by`` names a target key of sortable type, such as the event time:
     only target rows between the batch's lowest and highest value can match, so
-    the scan skips the row groups of all other times.
+    the scan skips the row groups of all other times.  If the batch is counted
+    small, its keys filter the target where it is read, and a large target is
+    not shuffled for a small batch.
     """
     spark = rows.sparkSession
     present = read_target(spark, target, schema).filter(
         ~((F.col(RUN) == run) & (F.col(BATCH) == batch))
     )
+    keys = rows.select(*[F.col(s).alias(t) for t, s in on.items()])
+    bounds = F.min(prune_by or F.lit(None)).alias("low"), F.max(prune_by or F.lit(None)).alias("high")
+    batch_is = keys.agg(F.count("*").alias("n"), *bounds).first()
     if prune_by:
-        source_key = F.col(on[prune_by])
-        low, high = rows.agg(F.min(source_key), F.max(source_key)).first()
-        present = present.filter(F.col(prune_by).between(F.lit(low), F.lit(high)))
+        present = present.filter(
+            F.col(prune_by).between(F.lit(batch_is["low"]), F.lit(batch_is["high"]))
+        )
+    if batch_is["n"] * row_bytes(keys) <= BROADCAST_BYTES:
+        present = present.join(F.broadcast(keys), list(on), "left_semi")
     new = rows_to_insert(present, rows, on).select(*schema.fieldNames())
     new.write.mode("overwrite").parquet(f"{target}/{RUN}={run}/{BATCH}={batch}")
 
@@ -149,7 +157,11 @@ def merge_changes(
     def handle(batch_rows: DataFrame, batch: int) -> None:
         # the query id lives in the checkpoint: same after a restart, new with a new checkpoint
         run = batch_rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        insert_batch(enrich(batch_rows), target, schema, on, run, batch, prune_by)
+        enriched = enrich(batch_rows).persist()
+        try:
+            insert_batch(enriched, target, schema, on, run, batch, prune_by)
+        finally:
+            enriched.unpersist()
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return start(writer, every)

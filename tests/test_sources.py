@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from lakeworks.operators import storage
 from lakeworks.plans import geography, library, trails
 from lakeworks.schemas import struct
 from lakeworks.sources import documents, files, formats, tables
@@ -158,6 +159,20 @@ def test_parquet_tables(spark, tmp_path):
     assert files.with_file_name(spark.read.parquet(path)).select("file_name").distinct().count() == 1
 
 
+def test_named_files_and_stored_distances(spark, tmp_path):
+    paths = [put(tmp_path, f"w/{n}.csv", f"id\n{n}\n") for n in (1, 2, 3)]
+    df = formats.read_delimited(spark, paths[:2], formats.COMMA, struct(id="int"))
+    assert sorted(rows(df)) == [(1,), (2,)]
+    raw = spark.createDataFrame([(1, "t", -105.0, 39.123456789)], "sequence_1 int, trail_name string, latitude double, longitude double")
+    table = str(tmp_path / "stored")
+    storage.publish(trails.with_distance(trails.trail_points(raw), -105.0, 39.12345679, "metres"), table)
+    row = storage.read(spark, table).first()
+    assert (row["coord_pair"], round(row["metres"], 6)) == ("-105.00000000 39.12345679", 0)
+    points = trails.trail_points(raw)
+    assert trails.points_wkt(points).first()["trail_point"] == "POINT(-105.00000000 39.12345679)"
+    assert tuple(trails.trail_lengths(points).first()) == ("t", 0.0, 1)
+
+
 def test_currency_view(spark):
     df = spark.createDataFrame([("AD", "EUR", 1)], "country_char_code string, currency_char_code string, x int")
     assert rows(geography.simple_currency(df)) == [("AD", "EUR")]
