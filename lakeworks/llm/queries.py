@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import language
+from lakeworks.llm import language, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +29,13 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op7_language_id": op7_language_id,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
