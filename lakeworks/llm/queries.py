@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import language, packing
+from lakeworks.llm import fuzzy, language, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op2_fuzzy_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy.against_edits(table(spark, folder, "documents"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = fold(3) == 1
@@ -34,6 +38,7 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
