@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import fuzzy, language, packing
+from lakeworks.llm import fuzzy, language, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,13 @@ def op2_fuzzy_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzy.against_edits(table(spark, folder, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels.filter(fold(5) != 0))
+    found = quality.score(docs.select("doc_id", "text", (fold(5) == 0).alias("held_out")), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = fold(3) == 1
@@ -39,6 +46,7 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
+    "op4_quality_classifier": op4_quality_classifier,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
