@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import fuzzy, language, packing, quality
+from lakeworks.llm import fuzzy, language, packing, quality, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = fold(3) == 1
@@ -47,6 +51,7 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_template_decontamination": op6_template_decontamination,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
