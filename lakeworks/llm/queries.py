@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import fuzzy, language, packing, quality, templates
+from lakeworks.llm import fuzzy, language, packing, quality, secret_scan, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(table(spark, folder, "documents"))
+
+
 def op6_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return templates.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -51,9 +55,12 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_secret_scan": op5_secret_scan,
     "op6_template_decontamination": op6_template_decontamination,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_secret_scan": secret_scan.report_sql(),
+}
