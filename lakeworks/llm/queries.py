@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import fuzzy, language, packing, quality, secret_scan, templates
+from lakeworks.llm import chat, fuzzy, language, packing, quality, secret_scan, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,10 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repaired(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
     "op4_quality_classifier": op4_quality_classifier,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op6_template_decontamination": op6_template_decontamination,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_chat_format": op9_chat_format,
 }
 
 ORACLES: dict[str, str] = {
