@@ -31,8 +31,8 @@ from lakeworks.session import cut_lineage
 
 CAPACITY = 1024
 CLOSING_ID = 2
-#: Rows of one length that one task ranks at a time.
-RANK_ROWS = 100_000
+#: Rows of one length that are ranked together, and the most groups a length is dealt into.
+RANK_ROWS, RANK_GROUPS = 1000, 10_000
 #: Distinct space-separated chunks whose ids a worker remembers.
 MEMO = 400_000
 
@@ -189,7 +189,7 @@ def ranked(items: DataFrame, order: list[str], rows_per_group: int = RANK_ROWS)
     alone and moved by the counts of the groups before them.
     """
     largest = items.groupBy("length").count().agg(F.max("count")).first()[0] or 0
-    groups = max(1, -(-largest // rows_per_group)) * 4 if largest > rows_per_group // 8 else 1
+    groups = min(max(1, largest // rows_per_group), RANK_GROUPS)
     dealt = items.withColumn("_group", F.pmod(F.xxhash64(*order), F.lit(groups)).cast("int"))
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import chat, fuzzy, language, packing, quality, secret_scan, templates
+from lakeworks.llm import chat, fuzzy, language, minhash, packing, quality, secret_scan, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op2_fuzzy_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzy.against_edits(table(spark, folder, "documents"))
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = quality.fit(docs, labels.filter(fold(5) != 0))
@@ -58,6 +63,7 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
+    "op3_minhash": op3_minhash,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_secret_scan": op5_secret_scan,
     "op6_template_decontamination": op6_template_decontamination,
