@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import chat, fuzzy, language, minhash, packing, quality, secret_scan, templates
+from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, quality, secret_scan, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_exact_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_substrings.repeated_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_fuzzy_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzy.against_edits(table(spark, folder, "documents"))
 
@@ -62,6 +67,7 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_exact_substrings": op1_exact_substrings,
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
     "op3_minhash": op3_minhash,
     "op4_quality_classifier": op4_quality_classifier,
