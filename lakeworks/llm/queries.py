@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, quality, secret_scan, templates
+from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, quality, secret_scan, substrings, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.repaired(table(spark, folder, "conversations"))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.earlier_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_substrings": op1_exact_substrings,
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_chat_format": op9_chat_format,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
