@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from lakeworks.llm.arrays import prefix_sums, spans_hash, symbols
 
@@ -119,12 +120,12 @@ def likeness(a: str, b: str) -> float:
     return best
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fingerprint_column(texts: pd.Series) -> pd.Series:
     return texts.map(fingerprint)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def likeness_column(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([likeness(x, y) for x, y in zip(a, b)], dtype="float64")
 
