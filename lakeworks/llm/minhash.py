@@ -39,8 +39,8 @@ BANDS, ROWS = 40, 5
 SLACK = 0.18
 #: Text a worker turns into sets at a time, and nodes whose ids may be broadcast.
 SLICE_BYTES, BROADCAST_NODES = 1 << 20, 1_000_000
-#: Centres of a bucket after the first round.
-CENTRES = 8
+#: Centres of a bucket in a round after the first.
+CENTRES = 256
 
 
 def shingle_sets(column: pa.Array, n_words: int) -> Iterator[np.ndarray]:
@@ -167,7 +167,7 @@ def _confirmed(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int
 
 
 def _centres(pending: DataFrame, first: bool) -> DataFrame:
-    """The centres of each bucket that still has several components: (band, centre, centre_component).
+    """The centres of each bucket that still has several components: band, centre, its component and size.
 
     Only partial aggregations touch the buckets, however large.
     """
@@ -178,16 +178,45 @@ def _centres(pending: DataFrame, first: bool) -> DataFrame:
         .filter("n_components > 1")
     )
     if first:
-        least = pending.groupBy("band").agg(F.min("node").alias("centre"))
-        return largest.join(least, "band").select("band", "centre", F.col("centre").alias("centre_component"))
+        least = pending.groupBy("band").agg(F.min(F.struct("node", "n")).alias("chosen"))
+        return largest.join(least, "band").select(
+            "band",
+            F.col("chosen.node").alias("centre"),
+            F.col("chosen.node").alias("centre_component"),
+            F.col("chosen.n").alias("centre_n"),
+        )
     slot = F.pmod(F.xxhash64("node"), F.lit(CENTRES))
     return (
         pending.join(largest, "band")
         .filter(F.col("component") != -F.col("top.col2"))
         .groupBy("band", slot.alias("slot"))
-        .agg(F.min(F.struct("component", "node")).alias("chosen"))
-        .select("band", F.col("chosen.node").alias("centre"), F.col("chosen.component").alias("centre_component"))
+        .agg(F.min(F.struct("component", "node", "n")).alias("chosen"))
+        .select(
+            "band",
+            F.col("chosen.node").alias("centre"),
+            F.col("chosen.component").alias("centre_component"),
+            F.col("chosen.n").alias("centre_n"),
+        )
+    )
+
+
+def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) after more links; only the new links are walked, between known components."""
+    if found is None:
+        return cut_lineage(components(links), "components")
+    known = found.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
+    lifted = links
+    for end in ("a", "b"):
+        lifted = lifted.join(known, F.col(end) == F.col("_node"), "left").withColumn(end, F.coalesce("_label", end))
+        lifted = lifted.drop("_node", "_label")
+    joined = cut_lineage(components(lifted), "merged").withColumnsRenamed({"node": "_old", "component": "_new"})
+    moved = found.join(joined, F.col("component") == F.col("_old"), "left").select(
+        "node", F.coalesce("_new", "component").alias("component")
+    )
+    fresh = joined.join(found, F.col("_old") == F.col("node"), "left_anti").select(
+        F.col("_old").alias("node"), F.col("_new").alias("component")
     )
+    return cut_lineage(moved.unionByName(fresh), "components")
 
 
 def near_duplicates(
@@ -204,7 +233,7 @@ def near_duplicates(
     linkable = signed.filter("node is not null and doc_id is not null")
     reps = linkable.groupBy("node").agg(F.min("doc_id").alias("rep"))
     entries = linkable.join(reps.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"]).select(
-        "node", F.explode("bands").alias("band")
+        "node", F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band")
     )
     shared = entries.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     pending = cut_lineage(
@@ -218,35 +247,32 @@ def near_duplicates(
         "marks",
     )
     sets = cut_lineage(_sets_of(docs, key, text, live, n_words), "sets")
-    links = tested = found = None
+    tested = found = None
     first = True
     while True:
         centres = cut_lineage(_centres(pending, first), "centres")
         if centres.isEmpty():
             break
+        compatible = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
         pairs = (
             pending.join(centres, "band")
-            .filter("component != centre_component")
+            .filter((F.col("component") != F.col("centre_component")) & compatible)
             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs, "pairs")
-        confirmed = cut_lineage(_confirmed(pairs, marks, sets, percent, bands, rows), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = confirmed if links is None else links.unionByName(confirmed)
-        found = components(links)
-        left = pending.join(
-            centres.select("band", F.col("centre").alias("node")), ["band", "node"], "left_anti"
-        ).drop("component")
-        labels = found.withColumnRenamed("node", "_node")
-        pending = cut_lineage(
-            left.join(labels, F.col("node") == F.col("_node"), "left").select(
-                "band", "node", F.coalesce("component", "node").alias("component")
-            ),
-            "buckets",
-        )
+        confirmed = cut_lineage(_confirmed(pairs, marks, sets, percent, bands, rows), "links")
+        pending = pending.join(centres.select("band", F.col("centre").alias("node")), ["band", "node"], "left_anti")
+        if not confirmed.isEmpty():
+            found = _merged(found, confirmed)
+            labels = found.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
+            pending = pending.join(labels, F.col("node") == F.col("_node"), "left").select(
+                "band", "node", "n", F.coalesce("_label", "node").alias("component")
+            )
+        pending = cut_lineage(pending, "buckets")
         first = False
     if found is None:
         named = reps.select("node", F.col("rep").alias("component_id"))
