@@ -49,15 +49,42 @@ def elements(document: Column) -> Column:
 
 
 def file_values(text: Column, on_error: str = "skip") -> Column:
-    """Array of variants from the text of a whole file.
+    """Array of variants from the text of a whole file; NULL if it is not JSON.
 
     The file may hold an array, an object, or several of them on lines of their
-    own.  The JSON parser stops after the first value of a text, so the values
-    are made into one array first: a closing and an opening bracket with only a
-    line break between them occur nowhere inside valid JSON.
+    own.  The JSON parser stops after the first value of a text, so several
+    values are made into one array first: a closing and an opening bracket with
+    only a line break between them occur nowhere inside valid JSON.  A file of
+    one array is parsed element by element, so the size limit of a variant holds
+    for an element and not for the file.
     """
+    options = {"mode": "FAILFAST" if on_error == "abort" else "PERMISSIVE"}
     listed = F.regexp_replace(text, r"([}\]])\s*\n\s*([{\[])", "$1,$2")
     whole = F.concat(F.lit("["), listed, F.lit("]"))
-    parsed = F.parse_json(whole) if on_error == "abort" else F.try_parse_json(whole)
-    documents = F.try_variant_get(parsed, "$", "array<variant>")
-    return F.flatten(F.transform(documents, elements))
+    documents = F.from_json(whole, "array<variant>", options)
+    one_array = (F.length(listed) == F.length(text)) & F.ltrim(text).startswith("[")
+    return F.when(one_array, F.from_json(text, "array<variant>", options)).otherwise(
+        F.flatten(F.transform(documents, elements))
+    )
+
+
+def rejected_files(files: DataFrame) -> DataFrame:
+    """Files of whole-file texts (batch or stream) that are not JSON: file_name, file_path, text.
+
+    A blank file holds no value and is not rejected.
+    """
+    return files.select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"), "value"
+    ).filter(file_values(F.col("value")).isNull() & (F.trim("value") != "")).withColumnRenamed("value", "text")
+
+
+def split_json_lines(lines: DataFrame, as_name: str = "raw") -> tuple[DataFrame, DataFrame]:
+    """Lines of text files as variants, and the lines that are not JSON.
+
+    Both carry ``file_name``.  Files are read in pieces and a bad line costs
+    only itself.
+    """
+    named = lines.select(F.col("_metadata.file_name").alias("file_name"), F.trim("value").alias("line")).filter("line != ''")
+    parsed = named.withColumn(as_name, F.try_parse_json("line"))
+    good = parsed.filter(F.col(as_name).isNotNull()).select("file_name", as_name)
+    return good, parsed.filter(F.col(as_name).isNull()).select("file_name", "line")

@@ -17,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from lakeworks.functions.variants import get_key
-from lakeworks.operators.joins import BROADCAST_BYTES, row_bytes
+from lakeworks.operators.joins import BROADCAST_BYTES, measured_bytes
 from lakeworks.operators.tables import rows_to_insert
 from lakeworks.schemas import struct
-from lakeworks.sources.documents import file_values
+from lakeworks.sources.documents import file_values, rejected_files
 from lakeworks.sources.files import provenance
 
 #: Schema of the landing table.
@@ -34,11 +34,11 @@ LANDING = struct(
     ip_address="string",
 )
 
-RUN, BATCH = "_run", "_batch"
+DAY, RUN, BATCH = "_day", "_run", "_batch"
 
 
 def log_rows(files: DataFrame) -> DataFrame:
-    """Landing rows from whole-file texts (batch or stream); files that are not JSON are skipped."""
+    """Landing rows from whole-file texts (batch or stream); files that are not JSON give none, see ``rejects``."""
     docs = files.select(F.col("_metadata.file_name").alias("_name"), "value")
     rows = docs.select("_name", F.posexplode(file_values(F.col("value"))).alias("_pos", "_raw"))
     return rows.select(
@@ -68,12 +68,14 @@ def ingest_files(
 ) -> StreamingQuery:
     """Append rows of new files to the landing table, each file once.
 
-    ``purge`` deletes a source file once its rows are in the table.
+    ``purge`` moves a file out of the source once it was read, to
+    :func:`archive_of` the checkpoint; :func:`purge_archive` then deletes the
+    files that were JSON.  A file that was not is kept there and listed by
+    :func:`rejects`.
     """
-    reader = (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-        .option("cleanSource", "delete" if purge else "off")
-    )
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    if purge:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_of(checkpoint))
     writer = (
         log_rows(reader.text(source, wholetext=True))
         .writeStream.format("parquet")
@@ -83,9 +85,41 @@ def ingest_files(
     return start(writer, every)
 
 
-def changes(spark: SparkSession, landing: str, schema: T.StructType = LANDING) -> DataFrame:
-    """Stream of rows added to a landing table since its checkpoint."""
-    return spark.readStream.schema(schema).parquet(landing)
+def archive_of(checkpoint: str) -> str:
+    """Where files go that were read with ``purge``."""
+    return f"{checkpoint.rstrip('/')}-read-files"
+
+
+def rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Files below a source or archive folder that are not JSON, with their text."""
+    return rejected_files(spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True))
+
+
+def purge_archive(spark: SparkSession, checkpoint: str) -> int:
+    """Delete the archived files that were JSON; the number deleted.  Rejected files stay."""
+    archive = archive_of(checkpoint)
+    if not exists(spark, archive):
+        return 0
+    texts = spark.read.option("recursiveFileLookup", True).text(archive, wholetext=True)
+    path = F.col("_metadata.file_path").alias("path")
+    deleted = 0
+    for row in texts.select(path, file_values(F.col("value")).isNotNull().alias("read")).filter("read").toLocalIterator():
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["path"]))
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, False)
+        deleted += 1
+    return deleted
+
+
+def changes(
+    spark: SparkSession, landing: str, schema: T.StructType = LANDING, files_per_batch: int = 1000
+) -> DataFrame:
+    """Stream of rows added to a landing table since its checkpoint, ``files_per_batch`` files at a time.
+
+    How the rows are cut into batches matters for repeats: rows with one key are
+    all inserted if they come in the same batch, and only the first batch's are
+    if they come in several.
+    """
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -93,14 +127,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """All inserted rows, with the run and batch that wrote them."""
-    full = T.StructType(
-        [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
-    )
-    if not exists(spark, target):
+#: Folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def read_target(
+    spark: SparkSession, target: str, schema: T.StructType, days: list[str] | None = None
+) -> DataFrame:
+    """Inserted rows, with the day, run and batch of their folder.
+
+    With ``days`` only their folders and that of rows without a day are listed
+    and read.
+    """
+    added = [T.StructField(DAY, T.DateType()), T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+    full = T.StructType([*schema.fields, *added])
+    paths = [target] if days is None else [f"{target}/{DAY}={day}" for day in [*days, NO_DAY]]
+    paths = [path for path in paths if exists(spark, path)]
+    if not paths:
         return spark.createDataFrame([], full).limit(0)
-    return spark.read.schema(full).parquet(target)
+    return spark.read.schema(full).option("basePath", target).parquet(*paths)
 
 
 def insert_batch(
@@ -112,31 +157,38 @@ def insert_batch(
     batch: int,
     prune_by: str | None = None,
 ) -> None:
-    """Insert the rows the target lacks into the folder of this run and batch.
-
-    The folder is overwritten, and its former content is not counted as
-    target, so a batch tried again after a failure gives the same rows.
-    ``prune_by`` names a target key of sortable type, such as the event time:
-    only target rows between the batch's lowest and highest value can match, so
-    the scan skips the row groups of all other times.  If the batch is counted
-    small, its keys filter the target where it is read, and a large target is
-    not shuffled for a small batch.
+    """Insert the rows the target lacks into the folders of their day, this run and batch.
+
+    The batch's folders are overwritten, and their former content is not counted
+    as target, so a batch tried again after a failure gives the same rows.
+    ``prune_by`` names the target key that holds the event time: rows are filed
+    by its day, and as equal keys have equal days, only the folders of the
+    batch's own days are listed and read, however large the target has grown.
+    Within them the scan skips row groups outside the batch's time span.  If the
+    batch is measured small, its keys filter the target where it is read, and a
+    large target is not shuffled for a small batch.
     """
     spark = rows.sparkSession
-    present = read_target(spark, target, schema).filter(
+    keys = rows.select(*[F.col(s).alias(t) for t, s in on.items()])
+    days = None
+    if prune_by:
+        listed = keys.select(F.to_date(prune_by).cast("string").alias("day")).filter("day is not null").distinct()
+        days = sorted(r["day"] for r in listed.collect())
+    present = read_target(spark, target, schema, days).filter(
         ~((F.col(RUN) == run) & (F.col(BATCH) == batch))
     )
-    keys = rows.select(*[F.col(s).alias(t) for t, s in on.items()])
-    bounds = F.min(prune_by or F.lit(None)).alias("low"), F.max(prune_by or F.lit(None)).alias("high")
-    batch_is = keys.agg(F.count("*").alias("n"), *bounds).first()
     if prune_by:
+        batch_is = keys.agg(F.min(prune_by).alias("low"), F.max(prune_by).alias("high")).first()
         present = present.filter(
             F.col(prune_by).between(F.lit(batch_is["low"]), F.lit(batch_is["high"]))
         )
-    if batch_is["n"] * row_bytes(keys) <= BROADCAST_BYTES:
+    if measured_bytes(keys) <= BROADCAST_BYTES:
         present = present.join(F.broadcast(keys), list(on), "left_semi")
     new = rows_to_insert(present, rows, on).select(*schema.fieldNames())
-    new.write.mode("overwrite").parquet(f"{target}/{RUN}={run}/{BATCH}={batch}")
+    day = F.to_date(prune_by) if prune_by else F.lit(None).cast("date")
+    filed = new.withColumns({DAY: day, RUN: F.lit(run), BATCH: F.lit(batch).cast("bigint")})
+    writer = filed.write.partitionBy(DAY, RUN, BATCH).option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(target)
 
 
 def merge_changes(
@@ -174,10 +226,16 @@ def run_chain(*steps: Callable[[], StreamingQuery]) -> None:
 
 
 def catch_up(
-    rows: DataFrame, target: str, schema: T.StructType, on: dict[str, str], label: str
+    rows: DataFrame,
+    target: str,
+    schema: T.StructType,
+    on: dict[str, str],
+    label: str,
+    prune_by: str | None = None,
 ) -> None:
-    """Insert whatever the stream missed, by comparing all rows with the whole target.
+    """Insert whatever the stream missed, by comparing the rows with the target.
 
     ``label`` names this catch-up, such as its date; repeating it replaces it.
+    ``prune_by`` as in :func:`insert_batch`; without it the whole target is read.
     """
-    insert_batch(rows, target, schema, on, f"catchup-{label}", 0)
+    insert_batch(rows, target, schema, on, f"catchup-{label}", 0, prune_by)

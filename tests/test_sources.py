@@ -176,3 +176,24 @@ def test_named_files_and_stored_distances(spark, tmp_path):
 def test_currency_view(spark):
     df = spark.createDataFrame([("AD", "EUR", 1)], "country_char_code string, currency_char_code string, x int")
     assert rows(geography.simple_currency(df)) == [("AD", "EUR")]
+
+
+def test_array_file_above_the_variant_limit_is_read_whole(spark, tmp_path):
+    """140 MB in one array; the limit of 128 MiB holds for an element, not for the file."""
+    path, n = tmp_path / "big.json", 700_000
+    with path.open("w") as out:
+        out.write("[")
+        for k in range(n):
+            out.write(("," if k else "") + f'{{"id":{k},"text":"{"x" * 180}"}}')
+        out.write("]")
+    assert path.stat().st_size > 128 << 20
+    ids = documents.read_json_array(spark, str(path)).select(F.variant_get("raw", "$.id", "bigint").alias("id"))
+    assert tuple(ids.agg(F.count("id"), F.sum("id")).first()) == (n, n * (n - 1) // 2)
+
+
+def test_bad_lines_cost_only_themselves(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text('{"a": 1}\n{"a": \n\n[2]\nnull\n')
+    good, bad = documents.split_json_lines(spark.read.text(str(path)))
+    assert sorted(str(r["raw"]) for r in good.collect()) == ["[2]", "null", '{"a":1}']
+    assert [r["line"] for r in bad.collect()] == ['{"a":']

@@ -163,6 +163,30 @@ def test_interval_trigger_and_purge(lake):
     assert not (lake.folder / "files" / "a.json").exists()
 
 
+def test_rejected_files_are_kept(lake):
+    lake.drop("a.json", [log("ann", 1)])
+    (lake.folder / "files" / "bad.json").write_text('{"user_login": "lost')
+    pipeline.run_chain(lambda: lake.ingest(purge=True))
+    for n in range(4):  # files move to the archive with the batches after theirs
+        lake.drop(f"{n}.json", [log("bob", n + 2)])
+        pipeline.run_chain(lambda: lake.ingest(purge=True))
+    archive = pipeline.archive_of(lake.path("ck1"))
+    kept = pipeline.rejects(lake.spark, archive).unionByName(pipeline.rejects(lake.spark, lake.path("files"))).collect()
+    assert [(r["file_name"], r["text"]) for r in kept] == [("bad.json", '{"user_login": "lost')]
+    assert pipeline.purge_archive(lake.spark, lake.path("ck1")) >= 1
+    left = pipeline.rejects(lake.spark, archive).unionByName(pipeline.rejects(lake.spark, lake.path("files"))).count()
+    assert left == 1 and lake.landing().count() == 5
+
+
+def test_a_batch_reads_only_its_days(lake):
+    lake.drop("a.json", [log("ann", 1)])
+    lake.run()
+    found = pipeline.read_target(lake.spark, lake.path("target"), gamelogs.ENRICHED, ["2024-01-01"])
+    assert found.count() == 1
+    assert pipeline.read_target(lake.spark, lake.path("target"), gamelogs.ENRICHED, ["2024-01-02"]).count() == 0
+    assert {r[0].isoformat() for r in lake.target().select("_day").collect()} == {"2024-01-01"}
+
+
 def test_log_views(spark):
     raw = spark.createDataFrame(
         [('{"agent":"x","user_login":"Kim","datetime_iso8601":"2024-01-01 00:00:00"}',), ('{"ip_address":"1.1.1.1","user_login":"akIMb"}',)],
