@@ -11,26 +11,27 @@ GROUP_ROWS = 4_000_000
 
 def large_groups(
     df: DataFrame, group: list[str], position: Column, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Groups of more than ``group_rows`` rows, with the cut of their position range.
+) -> DataFrame | None:
+    """Groups of more than ``group_rows`` rows, with cuts of their positions; None if there are none.
 
-    Equal stretches of the range, about ``group_rows`` rows each.  The table has
-    at most rows/``group_rows`` entries, which is what makes its broadcast safe.
+    The cuts are approximate quantiles, so slices hold about equally many rows
+    however the positions lie.  The table has at most rows/``group_rows``
+    entries, and about as many cuts in all, which is what makes its broadcast safe.
     """
-    counted = df.select(*group, position.cast("double").alias("_pos")).groupBy(*group)
-    return (
-        counted.agg(
-            F.count("*").alias("_rows"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi")
-        )
-        .filter((F.col("_rows") > group_rows) & (F.col("_hi") > F.col("_lo")))
-        .withColumn("_parts", F.ceil(F.col("_rows") / F.lit(group_rows)))
-        .select(
-            *[F.col(g).alias(f"_g_{g}") for g in group],
-            "_lo",
-            "_parts",
-            ((F.col("_hi") - F.col("_lo")) / F.col("_parts")).alias("_width"),
-        )
-    )
+    named = df.select(*[F.col(g).alias(f"_g_{g}") for g in group], position.cast("double").alias("_pos"))
+    keys = [f"_g_{g}" for g in group]
+    counted = named.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > group_rows)
+    most = counted.agg(F.max("_rows")).first()[0]
+    if most is None:
+        return None
+    parts = -(-most // group_rows)
+    wanted = counted.select(*[F.col(k).alias(f"_w{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_w{k}"))
+    at = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    cuts = F.array_distinct(F.percentile_approx("_pos", at, F.lit(min(20 * parts, 1_000_000))))
+    return named.join(F.broadcast(wanted), same, "left_semi").groupBy(*keys).agg(cuts.alias("_cuts"))
 
 
 def with_slices(
@@ -38,16 +39,16 @@ def with_slices(
 ) -> DataFrame:
     """Add ``_slice``, which never decreases with ``position`` inside a group.
 
-    Rows of groups not in ``large`` get slice 0 (``how="left"``) or drop out
-    (``how="inner"``).
+    Rows without a position come first, in slice 0.  Rows of groups not in
+    ``large`` get slice 0 (``how="left"``) or drop out (``how="inner"``).
     """
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    number = F.floor((position.cast("double") - F.col("_lo")) / F.col("_width"))
+    number = F.size(F.filter("_cuts", lambda cut: cut < position.cast("double")))
+    sliced = F.when(position.isNull() | F.col("_cuts").isNull(), 0).otherwise(number)
     return df.join(F.broadcast(large), same, how).select(
-        *[F.col(c) for c in df.columns],
-        F.coalesce(F.least(number, F.col("_parts") - 1), F.lit(0)).cast("bigint").alias("_slice"),
+        *[F.col(c) for c in df.columns], sliced.cast("bigint").alias("_slice")
     )
 
 
@@ -62,13 +63,17 @@ def with_next(
     """Add columns of the next row of the group in ``order``.
 
     ``values`` maps new column names to existing ones; ``position`` is a numeric
-    form of ``order`` for cutting large groups.  All rows are shuffled once, by
-    group and slice.  Each slice of a large group also receives a copy of the
+    form of ``order`` for cutting large groups, NULL where ``order`` is; such rows
+    come first.  A small job counts the groups first.  All rows are shuffled once,
+    by group and slice.  Each slice of a large group also receives a copy of the
     first row of the following slice, so the last row of a slice finds its
     neighbour without the group ever meeting in one task.
     """
     columns = df.columns
     large = large_groups(df, group, position, group_rows)
+    if large is None:
+        ahead = Window.partitionBy(*group).orderBy(order)
+        return df.select("*", *[F.lead(v).over(ahead).alias(name) for name, v in values.items()])
     row = F.struct(*[F.col(c) for c in [order, *(c for c in columns if c != order)]])
     firsts = (
         with_slices(df, group, position, large, "inner")

@@ -37,6 +37,18 @@ def test_group_with_one_position_is_left_whole(spark):
     assert got.filter("no is null").count() == 1 and got.count() == 50
 
 
+def test_missing_order_values_come_first_at_any_size(spark):
+    rows = [("g", None, n) for n in range(3)] + [("g", n, n) for n in range(40)]
+    rows += [("g", 1000 + n // 30, n) for n in range(60)]  # bursts of equal values
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    found = [
+        sorted(((r["o"], r["no"]) for r in with_next(df, ["g"], "o", {"no": "o"}, F.col("o"), limit).collect()), key=str)
+        for limit in (5, 20, 1000)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert (None, 0) in found[0] and found[0].count((None, None)) == 2
+
+
 def at(minute, second=0):
     return dt.datetime(2024, 1, 1, 8) + dt.timedelta(minutes=minute, seconds=second)
 
