@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeworks.functions.network import PREFIX_BITS, ip_to_int, join_key
 
@@ -21,9 +22,22 @@ def explodes(df: DataFrame) -> bool:
     return "Generate " in df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Width of one row by Spark's default sizes of its types."""
-    return int(df._jdf.schema().defaultSize()) + 16
+def _value_bytes(field: T.StructField) -> Column:
+    """Bytes of one value; nested values by their JSON text."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) * 2 + 32
+    return F.lit(16)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows, from the lengths of their values."""
+    width = F.lit(16)
+    for field in df.schema.fields:
+        width = width + _value_bytes(field)
+    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 
 def auto_broadcast_bytes(df: DataFrame) -> int:
@@ -37,16 +51,15 @@ def sized_lookup(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFra
 
     Three outcomes.  Spark's estimate is below its own limit: left alone, Spark
     broadcasts it.  The estimate is larger (typical for lookups derived from a
-    big table) or blind to an explode: rows are counted, and the hint is set if
-    they fit.  Otherwise the join is done by shuffle and adaptive execution
+    big table) or blind to an explode: the bytes of its values are added up, and
+    the hint is set if they fit.  Otherwise the join is done by shuffle and adaptive execution
     splits skewed partitions, so a key holding a third of the facts is spread
     over tasks.
     """
     blind = explodes(lookup)
     if not blind and planned_bytes(lookup) <= auto_broadcast_bytes(lookup):
         return lookup
-    limit = max_bytes // row_bytes(lookup)
-    if lookup.limit(limit + 1).count() <= limit:
+    if measured_bytes(lookup) <= max_bytes:
         return F.broadcast(lookup)
     return lookup.hint("merge") if blind else lookup
 
@@ -132,13 +145,15 @@ def keyed_ip_join(
     )
 
 
-def every_combination(left: DataFrame, right: DataFrame, spread: int = 64) -> DataFrame:
+def every_combination(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:
     """Each left row with each right row.
 
-    Planned as an equality join: left rows are dealt over ``spread`` salts and
-    the right side is repeated once per salt.  No task sees more than its share
+    Planned as an equality join: left rows are dealt over ``spread`` salts, as
+    many as the session has shuffle partitions, and the right side is repeated
+    once per salt.  No task sees more than its share
     of the left side, and neither side has to fit in memory.
     """
+    spread = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
     # the partition number keeps equal rows from all meeting in one salt
     dealt = left.withColumn(

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeworks.operators.joins import sized_lookup
+
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in the shape of a table: columns matched by name in any case, cast,
@@ -137,11 +139,13 @@ def drop_column(df: DataFrame, name: str) -> DataFrame:
 
 
 def fill_defaults(rows: DataFrame, **defaults: Column) -> DataFrame:
-    """Defaults for columns the new rows leave out or leave NULL."""
-    for name, default in defaults.items():
-        value = F.coalesce(F.col(name), default) if name in rows.columns else default
-        rows = rows.withColumn(name, value)
-    return rows
+    """Defaults for columns the new rows leave out; a NULL that a row states is kept."""
+    return rows.withColumns({name: default for name, default in defaults.items() if name not in rows.columns})
+
+
+def fill_nulls(rows: DataFrame, **values: Column) -> DataFrame:
+    """Values in place of NULLs, for columns that must not have any."""
+    return rows.withColumns({name: F.coalesce(F.col(name), value) for name, value in values.items()})
 
 
 def empty_like(df: DataFrame) -> DataFrame:
@@ -171,9 +175,12 @@ def number_rows(rows: DataFrame, name: str, start: int = 1) -> DataFrame:
     counts = tagged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        "_part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     inside = F.col("_at") - F.shiftleft("_part", 33)
-    return tagged.join(F.broadcast(offsets), "_part").select(
-        (inside + F.col("_offset") + F.lit(start)).cast("bigint").alias(name), *rows.columns
+    # a partition the count has not seen, or seen shorter, means the two runs differ
+    lost = F.raise_error(F.lit("number_rows: the rows changed between counting and numbering"))
+    offset = F.when((F.col("_offset").isNull()) | (inside >= F.col("_n")), lost).otherwise(F.col("_offset"))
+    return tagged.join(sized_lookup(offsets), "_part", "left").select(
+        (inside + offset + F.lit(start)).cast("bigint").alias(name), *rows.columns
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.functions.text import join_or, product_name
-from lakeworks.operators.joins import every_combination, lookup_join
+from lakeworks.operators.joins import lookup_join
 
 # Fixed value: text for products without matching accessories.
 NO_ACCESSORY = "Consider: White, Black or Grey Sweat Accessories"
@@ -22,24 +22,20 @@ def product_list(files: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def catalog(listed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Every listed product in every size."""
-    return every_combination(listed, sizes)
-
-
 def size_lists(listed: DataFrame, sizes: DataFrame) -> DataFrame:
     """Sizes of each product as one text, without building product x size.
 
     The size list is the same for all products, so it is gathered once.  A
     product listed n times would meet every size n times; the text repeats it
-    as often.
+    as often.  Without sizes no product is offered, so there are no rows.  The
+    list has one entry for each size on offer, and a cell must hold it.
     """
     counted = listed.groupBy("color_or_style", "price", "file_name").agg(F.count("*").alias("_n"))
     all_sizes = sizes.agg(F.sort_array(F.collect_list("sizes_available")).alias("s")).scalar()
     repeated = F.flatten(
         F.transform("_sizes", lambda s: F.array_repeat(s, F.col("_n").cast("int")))
     )
-    with_sizes = counted.withColumn("_sizes", all_sizes)
+    with_sizes = counted.withColumn("_sizes", all_sizes).filter(F.size("_sizes") > 0)
     return with_sizes.withColumn("size_list", F.array_join(repeated, " | ")).drop("_n", "_sizes")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.operators import storage
 from lakeworks.operators.joins import with_join_keys
 from lakeworks.plans import gamelogs, standins
 from lakeworks.plans.standins import Tables
@@ -17,8 +18,8 @@ from lakeworks.session import scratch_path
 from lakeworks.sources import documents, files, formats
 from lakeworks.streaming import pipeline
 
-#: Records per written file.
-FILE_ROWS = 20_000
+#: Records per written file; small, so that every trip reads several files.
+FILE_ROWS = 1000
 
 
 def _write_files(rows: DataFrame, key: str, record: Column, between: str, head: str, tail: str) -> str:
@@ -60,6 +61,57 @@ def quoted_carriage_returns(t: Tables) -> DataFrame:
     return formats.read_delimited(t.spark, path, formats.PIPE_CR, struct(key="bigint", name="string"))
 
 
+def comma_file(t: Tables) -> DataFrame:
+    """Comma-separated, one header row, quoted fields that hold the delimiter."""
+    quoted = F.concat(F.lit('"'), F.col("c_name"), F.lit(", x"), F.lit('"'))
+    record = F.concat_ws(",", F.col("c_custkey").cast("string"), quoted)
+    path = _write_files(t.customer, "c_custkey", record, "\n", "id,name\n", "")
+    return formats.read_delimited(t.spark, path, formats.COMMA_QUOTED, struct(id="bigint", name="string"))
+
+
+def tab_file(t: Tables) -> DataFrame:
+    """Tab-separated, trailing blanks trimmed."""
+    record = F.concat_ws("\t", F.col("p_partkey").cast("string"), F.concat("p_name", F.lit("  ")))
+    path = _write_files(t.part, "p_partkey", record, "\n", "id\tname\n", "")
+    return formats.read_delimited(t.spark, path, formats.TAB, struct(id="bigint", name="string"))
+
+
+def semicolon_records(t: Tables) -> DataFrame:
+    """Fields by pipe, records by semicolon."""
+    record = F.concat_ws("|", F.col("s_suppkey").cast("string"), F.col("s_name"))
+    path = _write_files(t.supplier, "s_suppkey", record, ";", "", ";")
+    rows = formats.read_delimited(t.spark, path, formats.PIPE_SEMICOLON, struct(key="bigint", name="string"))
+    return rows.filter("key is not null")
+
+
+def json_lines(t: Tables) -> DataFrame:
+    """JSON lines with broken ones among them: per kind of event, lines read and lines rejected."""
+    whole = F.to_json(F.struct("event_id", "event_type"))
+    record = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("{"), "event_type")).otherwise(whole)
+    path = _write_files(t.events, "event_id", record, "\n", "", "")
+    good, bad = documents.split_json_lines(formats.read_lines(t.spark, path))
+    kinds = good.select(F.variant_get("raw", "$.event_type", "string").alias("event_type"), F.lit(1).alias("good"))
+    broken = bad.select(F.substring("line", 2, 100).alias("event_type"), F.lit(0).alias("good"))
+    return kinds.unionByName(broken).groupBy("event_type").agg(
+        F.sum("good").alias("n_read"), F.sum(1 - F.col("good")).alias("n_rejected")
+    )
+
+
+def append_then_truncate(t: Tables) -> DataFrame:
+    """Row counts of a table after two appends and after it is emptied."""
+    plain, table = scratch_path(t.spark, "appended"), scratch_path(t.spark, "table")
+    for part in (F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 2 == 1):
+        storage.append_files(t.orders.select("o_orderkey").filter(part), plain)
+    appended = t.spark.read.parquet(plain)
+    storage.publish(appended, table)
+    storage.truncate(t.spark, table)
+    emptied = storage.read(t.spark, table)
+    count = F.count("o_orderkey").alias("n_rows")
+    return appended.agg(count).withColumn("step", F.lit("appended")).unionByName(
+        emptied.agg(count).withColumn("step", F.lit("truncated"))
+    )
+
+
 def bad_records(t: Tables) -> DataFrame:
     """Only the records that do not fit, as text."""
     amount = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("user_id").cast("string"))

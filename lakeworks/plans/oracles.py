@@ -399,6 +399,20 @@ ORACLES: dict[str, str] = {
     # files
     "two_header_rows": "SELECT p_partkey AS fruit_id, p_name AS fruit_name FROM part",
     "caret_records": "SELECT 'C' || c_custkey AS product_code, c_mktsegment AS has_matching FROM customer",
+    "comma_file": "SELECT c_custkey AS id, c_name || ', x' AS name FROM customer",
+    "tab_file": "SELECT p_partkey AS id, p_name AS name FROM part",
+    "semicolon_records": "SELECT s_suppkey AS key, s_name AS name FROM supplier",
+    "json_lines":
+        "SELECT event_type, count(*) FILTER (event_id % 10 <> 3) AS n_read, "
+        "count(*) FILTER (event_id % 10 = 3) AS n_rejected FROM events GROUP BY event_type",
+    "append_then_truncate":
+        "SELECT count(*) AS n_rows, 'appended' AS step FROM orders UNION ALL SELECT 0, 'truncated'",
+    "column_defaults":
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus, "
+        "false AS order_filled FROM orders",
+    "next_in_cut_groups":
+        "SELECT event_type, event_id AS at, lead(event_id) OVER (PARTITION BY event_type ORDER BY event_id) AS next_at "
+        "FROM events WHERE event_id % 50 <> 0",
     "quoted_carriage_returns": "SELECT s_suppkey AS key, s_name || '|x' AS name FROM supplier",
     "bad_records":
         "SELECT event_id AS id, event_id || ',n/a' AS bad_record FROM events WHERE event_type = 'error'",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.functions import geo, network, sql_functions, temporal, text, variants
-from lakeworks.operators import aggregates, decode, joins, sessions, storage, tables
+from lakeworks.operators import aggregates, decode, joins, ordering, sessions, storage, tables
 from lakeworks.plans import (
     catalog,
     filetrips,
@@ -284,18 +284,22 @@ def _all_trails(t: Tables) -> DataFrame:
     )
 
 
+def _all_bounds(t: Tables) -> DataFrame:
+    documents = trails.boundaries(trails.trails_from_documents(standins.trail_documents(t)))
+    return documents.drop("my_linestring").unionByName(trails.boundaries_from_points(_points(t)))
+
+
 def union_all_sources(t: Tables) -> DataFrame:
     wkt = geo.to_wkt(geo.from_geojson("geometry"))
     return _all_trails(t).select("feature_name", wkt.alias("wkt"))
 
 
 def trail_bounds(t: Tables) -> DataFrame:
-    bounds = trails.boundaries(_all_trails(t)).drop("my_linestring")
-    return bounds.withColumn("trail_length", F.round("trail_length", 3))
+    return _all_bounds(t).withColumn("trail_length", F.round("trail_length", 3))
 
 
 def bbox_polygon(t: Tables) -> DataFrame:
-    return trails.bounding_polygon(trails.boundaries(_all_trails(t)))
+    return trails.bounding_polygon(_all_bounds(t))
 
 
 def geo_distance(t: Tables) -> DataFrame:
@@ -397,6 +401,21 @@ def udf_sum3(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", total.alias("total"))
 
 
+def column_defaults(t: Tables) -> DataFrame:
+    """A column the rows leave out gets its default; a NULL they state is kept."""
+    stated = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))
+    rows = t.orders.select("o_orderkey", stated.alias("o_orderstatus"))
+    return tables.fill_defaults(rows, o_orderstatus=F.lit("new"), order_filled=F.lit(False))
+
+
+def next_in_cut_groups(t: Tables) -> DataFrame:
+    """Next event of each type, some without a time; every type is cut into many slices."""
+    time = F.when(F.col("event_id") % 50 != 0, F.col("event_id"))
+    rows = t.events.select("event_type", time.alias("at"), "event_id")
+    found = ordering.with_next(rows, ["event_type"], "at", {"next_at": "at"}, F.col("at"), group_rows=300)
+    return found.filter("at is not null").select("event_type", "at", "next_at")
+
+
 QUERIES: dict[str, Query] = {
     "logs_enhanced": enhanced,
     "ip_to_int": ip_to_int,
@@ -465,6 +484,13 @@ QUERIES: dict[str, Query] = {
     "udf_sum3": udf_sum3,
     "two_header_rows": filetrips.two_header_rows,
     "caret_records": filetrips.caret_records,
+    "comma_file": filetrips.comma_file,
+    "tab_file": filetrips.tab_file,
+    "semicolon_records": filetrips.semicolon_records,
+    "json_lines": filetrips.json_lines,
+    "append_then_truncate": filetrips.append_then_truncate,
+    "column_defaults": column_defaults,
+    "next_in_cut_groups": next_in_cut_groups,
     "quoted_carriage_returns": filetrips.quoted_carriage_returns,
     "bad_records": filetrips.bad_records,
     "file_rows": filetrips.file_rows,

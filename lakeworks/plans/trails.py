@@ -100,6 +100,25 @@ def boundaries(trails: DataFrame) -> DataFrame:
     )
 
 
+def boundaries_from_points(points: DataFrame) -> DataFrame:
+    """The same columns but the line, straight from the points: no trail is gathered as a whole."""
+    bounds = points.groupBy("trail_name").agg(
+        F.min("lng").alias("min_eastwest"),
+        F.max("lng").alias("max_eastwest"),
+        F.min("lat").alias("min_northsouth"),
+        F.max("lat").alias("max_northsouth"),
+    )
+    lengths = trail_lengths(points).select(F.col("trail_name").alias("_trail"), "trail_length")
+    return bounds.join(lengths, F.col("trail_name").eqNullSafe(F.col("_trail"))).select(
+        F.col("trail_name").alias("feature_name"),
+        "min_eastwest",
+        "max_eastwest",
+        "min_northsouth",
+        "max_northsouth",
+        "trail_length",
+    )
+
+
 def bounding_polygon(bounds: DataFrame, closed: bool = False) -> DataFrame:
     """Polygon around all trails."""
     edges = bounds.agg(

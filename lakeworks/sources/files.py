@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeworks.functions.temporal import load_second
-from lakeworks.operators.joins import planned_bytes
-
-#: Up to this many file pieces their row counts travel to every executor.
-BROADCAST_PIECES = 500_000
+from lakeworks.operators.joins import sized_lookup
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -65,16 +62,16 @@ def with_row_numbers(df: DataFrame) -> DataFrame:
     offsets = pieces.select(
         "_file",
         "_start",
+        "_first",
+        "_n",
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
-    spark = df.sparkSession
-    piece_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if planned_bytes(df) // piece_bytes + len(df.inputFiles()) <= BROADCAST_PIECES:
-        offsets = F.broadcast(offsets)
-    joined = tagged.join(offsets, ["_file", "_start"])
-    return joined.withColumn("file_row", F.col("_at") + F.col("_shift") + 1).drop(
-        "_file", "_start", "_at", "_shift"
-    )
+    joined = tagged.join(sized_lookup(offsets), ["_file", "_start"], "left")
+    # a row outside the piece that was counted means that the two scans were cut differently
+    known = F.col("_at").between(F.col("_first"), F.col("_first") + F.col("_n") - 1)
+    lost = F.raise_error(F.lit("with_row_numbers: the files were read in other pieces when they were counted"))
+    number = F.when(F.coalesce(known, F.lit(False)), F.col("_at") + F.col("_shift") + 1).otherwise(lost)
+    return joined.withColumn("file_row", number).drop("_file", "_start", "_at", "_shift", "_first", "_n")
 
 
 def provenance(file_name: Column, row_id: Column) -> list[Column]:

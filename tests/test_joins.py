@@ -60,6 +60,14 @@ def test_every_combination_equals_product(spark):
     assert joins.every_combination(left, right.limit(0)).count() == 0
 
 
+def test_wide_text_counts_with_its_real_size(spark):
+    wide = spark.range(100).select(F.col("id").alias("k"), F.expr("repeat('x', 2000)").alias("t"))
+    assert joins.measured_bytes(wide) > 200_000
+    nested = wide.select("k", F.array(F.struct("t")).alias("a"))
+    assert joins.measured_bytes(nested) > 200_000
+    assert joins.measured_bytes(wide.limit(0)) == 0
+
+
 def test_lookup_is_broadcast_only_when_it_fits(spark):
     facts = spark.range(1000).withColumn("k", F.col("id") % 10)
     small = spark.range(10).withColumnRenamed("id", "k").withColumn("n", F.col("k") * 2)
