@@ -46,9 +46,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Scratch paths this process has handed out and not cleared.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never handed out twice."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what was written below the scratch paths handed out so far; the number removed.
+
+    Call it once the results built on them have been written or collected, for
+    DataFrames that still read them fail afterwards.
+    """
+    removed = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:

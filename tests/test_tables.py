@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from lakeworks import session
 from lakeworks.operators import storage, tables
 from lakeworks.plans import orders
 from lakeworks.schemas import struct
@@ -92,6 +95,15 @@ def test_row_keys(spark):
     assert len(set(keys)) == len(keys) and min(keys) == 5
 
 
+def test_scratch_is_cleared_on_request(spark):
+    kept = cut_lineage(spark.range(10))
+    assert kept.count() == 10
+    path = kept.inputFiles()[0]
+    assert session.clear_scratch(spark) >= 1
+    assert not Path(path.removeprefix("file:")).exists()
+    assert session.clear_scratch(spark) == 0
+
+
 def test_orders_and_fruits(spark):
     schema = struct(order_uid="bigint", order_filled="boolean", name_on_order="string", ingredients="string", order_ts="timestamp")
     empty = spark.createDataFrame([], schema)
