@@ -6,8 +6,8 @@ import os
 import re
 
 import pytest
-import test_minhash
-import test_secrets
+from test_minhash import groups
+from test_secrets import spans
 
 import corpus_pipeline
 from lakeworks.llm import language, secret_scan
@@ -45,7 +45,7 @@ def test_language(spark, results):
 
 
 def test_near_duplicates(results):
-    found = test_minhash.groups([(r.doc_id, r.text) for r in results["language_id"]], 5)
+    found = groups([(r.doc_id, r.text) for r in results["language_id"]], 5)
     assert {r.doc_id for r in results["near_dedup"]} == {i for i, (_, least) in found.items() if i == least}
 
 
@@ -67,7 +67,7 @@ def test_secrets(results):
     before = {r.doc_id: r for r in results["decontamination"]}
     assert before.keys() == {r.doc_id for r in results["secret_scan"]}
     for r in results["secret_scan"]:
-        found = test_secrets.spans(before[r.doc_id].text)
+        found = spans(before[r.doc_id].text)
         if not found:
             assert r == before[r.doc_id]
             continue
