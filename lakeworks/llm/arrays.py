@@ -6,6 +6,8 @@ sums, so that any substring's hash costs one subtraction and two multiplications
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,6 +85,26 @@ def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray,
         first = last
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that few texts are Python objects at a time; freed memory goes back at the end.
+
+    Workers outlive their tasks, and what they keep counts against their executor.
+    """
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release:
+        release(0)
+
+
 def space_table() -> np.ndarray:
     """True for the bytes that separate words: blank, tab, and the line and page breaks."""
     table = np.zeros(256, dtype=bool)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from lakeworks.llm.arrays import prefix_sums, spans_hash, symbols
+from lakeworks.llm.arrays import prefix_sums, slices, spans_hash, symbols
 
 WINDOW = 7
 #: Most characters of a signature; the block size is the smallest power of two that allows it.
@@ -143,11 +143,11 @@ def _with_successor(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
-    slices = int(min(max(total // SLICE_BYTES, 1), MOST_SLICES))
+    n_slices = int(min(max(total // SLICE_BYTES, 1), MOST_SLICES))
     cuts = np.zeros(0, dtype=np.int64)
-    if slices > 1:
-        at = F.array(*[F.lit(k / slices) for k in range(1, slices)])
-        found = rows.agg(F.percentile_approx("id", at, F.lit(20 * slices))).first()[0]
+    if n_slices > 1:
+        at = F.array(*[F.lit(k / n_slices) for k in range(1, n_slices)])
+        found = rows.agg(F.percentile_approx("id", at, F.lit(20 * n_slices))).first()[0]
         cuts = np.unique(np.array(found or [], dtype=np.int64))
 
     @F.pandas_udf("int")
@@ -193,7 +193,7 @@ def against_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered = lru_cache(maxsize=2)(fingerprint)  # the next row's text was this row's successor
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {name: [] for name in fields}
             for i, own, following in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 half = len(own) // 2

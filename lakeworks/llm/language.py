@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.arrays import trim
 from lakeworks.llm.compress import compressors, fill, pieces
 
 #: Bounds of the training sample, for each language: texts, characters of each, bytes of the dictionary.
@@ -115,6 +116,7 @@ def detect(
         coders = compressors(held.value.dictionaries, held.value.level)
         for batch in batches:
             yield pd.DataFrame([_judge(t, coders) for t in batch], columns=["lang", "score", "margin"])
+        trim()
 
     judged = docs.withColumn("_language", judge(F.col(text)))
     values = (

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.arrays import WORD_BASE, lower_ascii, mix, prefix_sums, spans_hash, text_slices, word_hashes, words
+from lakeworks.llm.arrays import WORD_BASE, lower_ascii, mix, prefix_sums, slices, spans_hash, text_slices, word_hashes, words
 from lakeworks.llm.components import components
 from lakeworks.session import cut_lineage
 
@@ -90,7 +90,7 @@ def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(bands * rows)
         salt = np.arange(1, bands + 1, dtype=np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [batch.column(0).to_pylist(), [], [], [], []]
             for shingles in shingle_sets(batch.column(1), n_words):
                 out[1].append(len(shingles))
@@ -119,7 +119,7 @@ def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: i
     rows = source.join(wanted, F.col("doc_id") == F.col("_rep")).select("_node", "text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, sets = [], []
             for node, shingles in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n_words)):
                 if len(shingles) and node_of(shingles) == node:  # another row of that id may have another text
@@ -136,14 +136,14 @@ def _confirmed(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int
     least = percent / 100 - SLACK
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             a = np.frombuffer(b"".join(batch.column("sig_a").to_pylist()), np.uint8).reshape(-1, n)
             b = np.frombuffer(b"".join(batch.column("sig_b").to_pylist()), np.uint8).reshape(-1, n)
             keep = pa.array((a == b).mean(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("a", "b")], names=["a", "b"])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeworks.llm.arrays import slices
 from lakeworks.session import cut_lineage
 
 CAPACITY = 1024
@@ -34,7 +35,7 @@ CLOSING_ID = 2
 #: Rows of one length that are ranked together, and the most groups a length is dealt into.
 RANK_ROWS, RANK_GROUPS = 1000, 10_000
 #: Distinct space-separated chunks whose ids a worker remembers.
-MEMO = 400_000
+MEMO = 200_000
 
 
 def _encoder(model: str):
@@ -105,7 +106,7 @@ def pieces(
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(model)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = (encode(t) if t else b"") + end

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.arrays import trim
 from lakeworks.llm.compress import compressors, fill, pieces
 from lakeworks.session import cut_lineage
 
@@ -145,6 +146,7 @@ def score(
             points = np.array([features(t, coders) for t in batch])
             logits = _terms(points[:, 0], points[:, 1]) @ np.array(own.weights)
             yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -30, 30))))
+        trim()
 
     return docs.withColumn(names[0], rate(F.col(text).cast("string"))).withColumn(
         names[1], (F.col(names[0]) >= threshold).cast("int")

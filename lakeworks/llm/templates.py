@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.arrays import WORD_BASE, prefix_sums, spans_hash
+from lakeworks.llm.arrays import WORD_BASE, prefix_sums, slices, spans_hash
 from lakeworks.session import cut_lineage
 
 #: Words of a window, literal words it needs, windows of an alignment that make a match.
@@ -34,7 +34,7 @@ FILTER_WINDOWS = 8_000_000
 #: Benchmark windows with their slots that a join may broadcast.
 BROADCAST_WINDOWS = 200_000
 #: Words a worker remembers.
-MEMO = 500_000
+MEMO = 250_000
 # fixed values: number words and units that count as slots
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
@@ -151,7 +151,7 @@ def template_windows(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[] for _ in names]
             for key, tag, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if not text:
