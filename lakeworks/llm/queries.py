@@ -1,4 +1,4 @@
-"""Registered queries of the operators, and their SQL twins where SQL can say the same."""
+"""Registered queries of the operators; their SQL twins are in :mod:`lakeworks.llm.oracles`."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, quality, secret_scan, substrings, templates
+from lakeworks.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,7 +86,3 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
 }
-
-ORACLES: dict[str, str] = {
-    "op5_secret_scan": secret_scan.report_sql(),
-}
