@@ -34,7 +34,7 @@ FILTER_WINDOWS = 8_000_000
 #: Benchmark windows with their slots that a join may broadcast.
 BROADCAST_WINDOWS = 200_000
 #: Words a worker remembers.
-MEMO = 250_000
+MEMO = 500_000
 # fixed values: number words and units that count as slots
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
@@ -53,17 +53,20 @@ def canonical_form() -> Callable[[str], tuple[str, str, bool]]:
     numbers, units = set(NUMBER_WORDS.split()), set(UNITS.split())
     digits = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*[%°]?")
     edges = re.compile(r"^[^\w$€£+-]+|[^\w%°]+$")
-    title = re.compile(r"[^\W\d_a-z][^\W\d_A-Z]+")
 
     def form(word: str) -> tuple[str, str, bool]:
-        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
-        bare = edges.sub("", word)
+        ends, bare = False, word
+        if not word.isalpha():
+            ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
+            bare = word.rstrip(".,;:!?")
+            if not bare.isalpha():
+                bare = edges.sub("", word)
         low = bare.lower()
-        if digits.fullmatch(bare) or low in numbers:
+        if low in numbers or (not bare.isalpha() and digits.fullmatch(bare)):
             return NUMBER, NUMBER, ends
         if low in units:
             return UNIT, UNIT, ends
-        if title.fullmatch(bare) and not bare.islower():
+        if len(bare) > 1 and bare.isalpha() and bare.istitle():
             return NAME, low, ends
         return low, low, ends
 
@@ -88,7 +91,8 @@ class Templates:
     def _add(self, word: str) -> int:
         mid, start, ends = ("", "", True) if word == self.LINE else self.form(word)
         slots = (NUMBER, NAME, UNIT)
-        self.fresh.append((_text_hash(mid), _text_hash(start), mid in slots, start in slots, ends))
+        h = _text_hash(start)
+        self.fresh.append((h if mid == start else _text_hash(mid), h, mid in slots, start in slots, ends))
         self.index[word] = len(self.index)
         return len(self.index) - 1
 
@@ -101,25 +105,32 @@ class Templates:
         self.fresh = []
 
     def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words, hash of each one's template form, and whether it is a slot."""
+        """Words and line marks, hash of each word's template form, and whether it is a slot."""
         if len(self.index) > MEMO:
             self._reset()
         marked = text.replace(self.LINE, " ").replace("\n", f" {self.LINE} ").split()
-        get, add = self.index.get, self._add
-        ids = np.fromiter(
-            (k if (k := get(w)) is not None else add(w) for w in marked), dtype=np.int64, count=len(marked)
-        )
-        if self.fresh:
+        ids = list(map(self.index.get, marked))
+        if None in ids:
+            # a word that is new may occur again in the same text
+            for place, k in enumerate(ids):
+                if k is None:
+                    known = self.index.get(marked[place])
+                    ids[place] = self._add(marked[place]) if known is None else known
             self._settle()
-        if not len(ids):
+        if not ids:
             return [], np.zeros(0, np.uint64), np.zeros(0, bool)
-        own = self.table[ids]
+        numbers = np.array(ids, dtype=np.int64)
+        own = self.table[numbers]
         first = np.ones(len(ids), dtype=bool)
         first[1:] = own["ends"][:-1]
-        real = ids != self.index.get(self.LINE, -1)
+        real = numbers != self.index.get(self.LINE, -1)
         hashes = np.where(first, own["start"], own["mid"])[real]
         slots = np.where(first, own["slot_start"], own["slot_mid"])[real]
-        return [w for w in marked if w != self.LINE], hashes, slots
+        return marked, hashes, slots
+
+    def words(self, marked: list[str]) -> list[str]:
+        """The words alone."""
+        return [w for w in marked if w != self.LINE]
 
 
 def _text_hash(text: str) -> int:
@@ -156,8 +167,9 @@ def template_windows(
             for key, tag, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if not text:
                     continue
-                listed, hashes, slots = templates(text)
-                own_sizes = [min(sizes[0], len(listed))] if whole else sizes
+                marked, hashes, slots = templates(text)
+                own_sizes = [min(sizes[0], len(hashes))] if whole else sizes
+                listed: list[str] | None = None
                 for size in own_sizes:
                     if size == 0:
                         continue
@@ -175,6 +187,7 @@ def template_windows(
                     out[3].extend([size] * len(at))
                     out[4].extend(at.tolist())
                     filled = np.concatenate(([0], np.cumsum(slots)))
+                    listed = listed or templates.words(marked)
                     for p in at.tolist():
                         any_slot = filled[p + size] > filled[p]
                         values = [listed[q].lower().strip(".,;:!?\"'()") for q in range(p, p + size) if slots[q]]
