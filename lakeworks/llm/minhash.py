@@ -41,6 +41,8 @@ SLACK = 0.18
 SLICE_BYTES, BROADCAST_NODES = 1 << 20, 1_000_000
 #: Centres of a bucket in a round after the first.
 CENTRES = 256
+#: Tests above which a bucket is worked on in packed arrays, members of one such piece, bins of a sketch.
+PACKED_TESTS, PIECE_MEMBERS, BINS = 5000, 1000, 512
 
 
 def shingle_sets(column: pa.Array, n_words: int) -> Iterator[np.ndarray]:
@@ -111,7 +113,11 @@ def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands
 
 
 def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes, from the text of one document each; ``wanted`` is (node, rep)."""
+    """(node, shingles, sketch) of the wanted nodes, from the text of one document each; ``wanted`` is (node, rep).
+
+    A sketch counts the shingles in bins.  The sum of the lesser counts of two
+    sketches is never below what the sets have in common.
+    """
     wanted = wanted.withColumnsRenamed({"node": "_node", "rep": "_rep"})
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
@@ -120,14 +126,60 @@ def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: i
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, sets = [], []
+            names, sets, sketches = [], [], []
             for node, shingles in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n_words)):
                 if len(shingles) and node_of(shingles) == node:  # another row of that id may have another text
                     names.append(node)
                     sets.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"])
+                    bins = np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+                    sketches.append(bins.astype(np.uint16).tobytes())
+            columns = [pa.array(names, pa.int64()), pa.array(sets, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "shingles", "sketch"])
+
+    return rows.mapInArrow(collect, "node long, shingles binary, sketch binary").dropDuplicates(["node"])
+
 
-    return rows.mapInArrow(collect, "node long, shingles binary").dropDuplicates(["node"])
+def _packed_pairs(members: DataFrame, centres: DataFrame, marks: DataFrame, sets: DataFrame, percent: int, n_hashes: int) -> DataFrame:
+    """Pairs (a, b) of members and centres of large buckets that may be alike.
+
+    A bucket's members are dealt into pieces; each meets all centres in one
+    task, as arrays, and only pairs that pass the signature and whose sketches
+    allow enough common shingles become rows.  The sketch never loses a pair.
+    """
+    least = percent / 100 - SLACK
+    payload = marks.join(sets.select("node", "sketch"), "node").select("node", "signature", "sketch")
+    dealt = (
+        members.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+        .join(payload, "node")
+        .select("band", "piece", "node", "n", "component", "signature", "sketch")
+    )
+    everywhere = (
+        centres.withColumn("piece", F.explode(F.sequence(F.lit(0), (F.col("pieces") - 1).cast("int"))))
+        .join(payload, F.col("centre") == F.col("node"))
+        .withColumnsRenamed({"centre_n": "n", "centre_component": "component"})
+        # columns of their own, as both sides come from the same tables
+        .select(*[F.col(c).alias(c) for c in ("band", "piece", "node", "n", "component", "signature", "sketch")])
+    )
+
+    def arrays(table: pa.Table) -> tuple:
+        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, n_hashes)
+        bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
+        return (*(table.column(k).to_numpy() for k in ("node", "n", "component")), signs, bins)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        if left.num_rows and right.num_rows:
+            node, n, component, signs, bins = arrays(left)
+            for other, m, label, sign, bin_ in zip(*arrays(right)):
+                some = np.flatnonzero((component != label) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+                some = some[(signs[some] == sign).mean(axis=1) >= least] if len(some) else some
+                common = np.minimum(bins[some], bin_).sum(axis=1, dtype=np.int64)
+                some = some[100 * common >= percent * (n[some].astype(np.int64) + m - common)]
+                found.append(np.column_stack([np.minimum(node[some], other), np.maximum(node[some], other)]))
+        pairs = np.concatenate(found)
+        return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+
+    return dealt.groupBy("band", "piece").cogroup(everywhere.groupBy("band", "piece")).applyInArrow(compare, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
@@ -254,12 +306,24 @@ def near_duplicates(
         if centres.isEmpty():
             break
         compatible = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
+        tests = pending.groupBy("band").agg(F.count("*").alias("m")).join(
+            centres.groupBy("band").agg(F.count("*").alias("c")), "band"
+        )
+        large = tests.filter((F.col("c") > 1) & (F.col("m") * F.col("c") > PACKED_TESTS)).select(
+            "band", F.ceil(F.col("m") / PIECE_MEMBERS).alias("pieces")
+        )
+        large = cut_lineage(large, "large")
         pairs = (
-            pending.join(centres, "band")
+            pending.join(centres.join(large, "band", "left_anti"), "band")
             .filter((F.col("component") != F.col("centre_component")) & compatible)
             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-            .distinct()
         )
+        if not large.isEmpty():
+            packed = _packed_pairs(
+                pending.join(large, "band"), centres.join(large, "band"), marks, sets, percent, bands * rows
+            )
+            pairs = pairs.unionByName(packed)
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs, "pairs")
