@@ -8,9 +8,11 @@ holds, one value of the item stands for one value of the document.
 
 Defined results: null and empty texts and items have no windows and match
 nothing; items shorter than a window are one window of their own length; windows
-with few literal words are not used, as placeholders alone say nothing; repeated
-rows give one result per document and item; a null item id or document id is
-kept; empty tables give no rows.  Only the id and text columns are read.
+with few literal words are joined on the words themselves, in lower case and
+without punctuation at their edges, as placeholders alone say nothing: they match
+verbatim and need no slots; repeated rows give one result per document and item;
+a null item id or document id is kept; empty tables give no rows.  Only the id
+and text columns are read.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from lakeworks.llm.arrays import WORD_BASE, prefix_sums, slices, spans_hash
 from lakeworks.session import cut_lineage
 
-#: Words of a window, literal words it needs, windows of an alignment that make a match.
+#: Words of a window, literal words it needs to be a template, windows of an alignment that make a match.
 WINDOW, LEAST_LITERALS, LEAST_WINDOWS = 8, 4, 3
 #: Benchmark windows that executors may hold as a filter; above, every window goes into the join.
 FILTER_WINDOWS = 8_000_000
@@ -48,13 +51,28 @@ UNITS = (
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
 
-def canonical_form() -> Callable[[str], tuple[str, str, bool]]:
-    """A function from a word to its template form inside a sentence, at its start, and whether it ends one."""
+#: Told apart from template windows in the hash of a window of real words.
+VERBATIM = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Words(NamedTuple):
+    """Words and line marks of a text; of each word the hash of its template form and of itself, and if it is a slot."""
+
+    marked: list[str]
+    forms: np.ndarray
+    reals: np.ndarray
+    slots: np.ndarray
+    #: Whether it is a slot when no sentence begins with it, wherever it stands.
+    slots_inside: np.ndarray
+
+
+def canonical_form() -> Callable[[str], tuple[str, str, str, bool]]:
+    """A function from a word to its template form inside a sentence, at its start, the bare word, and whether it ends one."""
     numbers, units = set(NUMBER_WORDS.split()), set(UNITS.split())
     digits = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*[%°]?")
     edges = re.compile(r"^[^\w$€£+-]+|[^\w%°]+$")
 
-    def form(word: str) -> tuple[str, str, bool]:
+    def form(word: str) -> tuple[str, str, str, bool]:
         ends, bare = False, word
         if not word.isalpha():
             ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
@@ -63,12 +81,12 @@ def canonical_form() -> Callable[[str], tuple[str, str, bool]]:
                 bare = edges.sub("", word)
         low = bare.lower()
         if low in numbers or (not bare.isalpha() and digits.fullmatch(bare)):
-            return NUMBER, NUMBER, ends
+            return NUMBER, NUMBER, low, ends
         if low in units:
-            return UNIT, UNIT, ends
+            return UNIT, UNIT, low, ends
         if len(bare) > 1 and bare.isalpha() and bare.istitle():
-            return NAME, low, ends
-        return low, low, ends
+            return NAME, low, low, ends
+        return low, low, low, ends
 
     return form
 
@@ -84,15 +102,16 @@ class Templates:
 
     def _reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.fresh: list[tuple[int, int, bool, bool, bool]] = []
-        kind = [("mid", "u8"), ("start", "u8"), ("slot_mid", "?"), ("slot_start", "?"), ("ends", "?")]
+        self.fresh: list[tuple[int, int, int, bool, bool, bool]] = []
+        kind = [("mid", "u8"), ("start", "u8"), ("real", "u8"), ("slot_mid", "?"), ("slot_start", "?"), ("ends", "?")]
         self.table = np.zeros(1 << 16, dtype=kind)
 
     def _add(self, word: str) -> int:
-        mid, start, ends = ("", "", True) if word == self.LINE else self.form(word)
+        mid, start, real, ends = ("", "", "", True) if word == self.LINE else self.form(word)
         slots = (NUMBER, NAME, UNIT)
         h = _text_hash(start)
-        self.fresh.append((h if mid == start else _text_hash(mid), h, mid in slots, start in slots, ends))
+        row = (h if mid == start else _text_hash(mid), h, h if real == start else _text_hash(real))
+        self.fresh.append((*row, mid in slots, start in slots, ends))
         self.index[word] = len(self.index)
         return len(self.index) - 1
 
@@ -104,8 +123,7 @@ class Templates:
         self.table[n - len(self.fresh) : n] = self.fresh
         self.fresh = []
 
-    def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words and line marks, hash of each word's template form, and whether it is a slot."""
+    def __call__(self, text: str) -> Words:
         if len(self.index) > MEMO:
             self._reset()
         marked = text.replace(self.LINE, " ").replace("\n", f" {self.LINE} ").split()
@@ -118,15 +136,16 @@ class Templates:
                     ids[place] = self._add(marked[place]) if known is None else known
             self._settle()
         if not ids:
-            return [], np.zeros(0, np.uint64), np.zeros(0, bool)
+            none = np.zeros(0, np.uint64)
+            return Words([], none, none, none.astype(bool), none.astype(bool))
         numbers = np.array(ids, dtype=np.int64)
         own = self.table[numbers]
         first = np.ones(len(ids), dtype=bool)
         first[1:] = own["ends"][:-1]
         real = numbers != self.index.get(self.LINE, -1)
-        hashes = np.where(first, own["start"], own["mid"])[real]
+        forms = np.where(first, own["start"], own["mid"])[real]
         slots = np.where(first, own["slot_start"], own["slot_mid"])[real]
-        return marked, hashes, slots
+        return Words(marked, forms, own["real"][real], slots, own["slot_mid"][real])
 
     def words(self, marked: list[str]) -> list[str]:
         """The words alone."""
@@ -137,28 +156,39 @@ def _text_hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(errors="replace"), digest_size=8).digest(), "little")
 
 
-def _windows(hashes: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows of ``size`` words that have enough literal words."""
-    n = len(hashes) - size + 1
+def _windows(words: Words, size: int, verbatim: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the windows of ``size`` words: of those with enough literal words, or of the others.
+
+    Whether a window has too few does not depend on what stands before it, so a
+    copy has the same ones; a window may be both.
+    """
+    n = len(words.forms) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n)
-    filled = np.concatenate(([0], np.cumsum(slots)))
-    literal = size - (filled[at + size] - filled[at])
-    at = at[literal >= min(LEAST_LITERALS, (size + 1) // 2)]
-    return at, spans_hash(prefix_sums(hashes, WORD_BASE), at, at + size, WORD_BASE) ^ np.uint64(size)
+    filled = np.concatenate(([0], np.cumsum(words.slots)))
+    least = min(LEAST_LITERALS, (size + 1) // 2)
+    if not verbatim:
+        at = at[size - (filled[at + size] - filled[at]) >= least]
+        return at, spans_hash(prefix_sums(words.forms, WORD_BASE), at, at + size, WORD_BASE) ^ np.uint64(size)
+    literal = size - words.slots_inside[:n] - (filled[at + size] - filled[at + 1])
+    at = at[literal < least]
+    if not len(at):
+        return at, np.zeros(0, np.uint64)
+    return at, spans_hash(prefix_sums(words.reals, WORD_BASE), at, at + size, WORD_BASE) ^ np.uint64(size) ^ VERBATIM
 
 
 def template_windows(
-    rows: DataFrame, sizes: list[int], whole: bool = False, wanted: np.ndarray | None = None
+    rows: DataFrame, kinds: list[tuple[int, bool]], whole: bool = False, wanted: np.ndarray | None = None
 ) -> DataFrame:
-    """Windows of the texts of (key, tag, text): h, key, tag, size, pos and the values in the slots.
+    """Windows of the texts of (key, tag, text): h, key, tag, size, verbatim, pos and the values in the slots.
 
-    ``whole``: texts shorter than the window are one window of their own
+    ``kinds``: sizes, and whether of template words or verbatim; verbatim
+    windows have no slots.  ``whole``: texts shorter than the window are one window of their own
     length.  ``wanted``: sorted hashes; other windows are left out.
     """
     held = rows.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
-    names = ["h", "key", "tag", "size", "pos", "slots"]
+    names = ["h", "key", "tag", "size", "verbatim", "pos", "slots"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
@@ -167,13 +197,14 @@ def template_windows(
             for key, tag, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if not text:
                     continue
-                marked, hashes, slots = templates(text)
-                own_sizes = [min(sizes[0], len(hashes))] if whole else sizes
+                words = templates(text)
+                slots = words.slots
                 listed: list[str] | None = None
-                for size in own_sizes:
+                for size, verbatim in kinds:
+                    size = min(size, len(slots)) if whole else size
                     if size == 0:
                         continue
-                    at, found = _windows(hashes, slots, size)
+                    at, found = _windows(words, size, verbatim)
                     if held is not None and len(found):
                         place = np.searchsorted(held.value, found)
                         place[place == len(held.value)] = 0
@@ -185,26 +216,31 @@ def template_windows(
                     out[1].extend([key] * len(at))
                     out[2].extend([tag] * len(at))
                     out[3].extend([size] * len(at))
-                    out[4].extend(at.tolist())
+                    out[4].extend([verbatim] * len(at))
+                    out[5].extend(at.tolist())
+                    if verbatim:
+                        out[6].extend([[]] * len(at))
+                        continue
                     filled = np.concatenate(([0], np.cumsum(slots)))
-                    listed = listed or templates.words(marked)
+                    listed = listed or templates.words(words.marked)
                     for p in at.tolist():
                         any_slot = filled[p + size] > filled[p]
                         values = [listed[q].lower().strip(".,;:!?\"'()") for q in range(p, p + size) if slots[q]]
-                        out[5].append(values if any_slot else [])
+                        out[6].append(values if any_slot else [])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(out[0], pa.int64()),
                     pa.array(out[1], pa.int64()),
                     pa.array(out[2], pa.int64()),
                     pa.array(out[3], pa.int32()),
-                    pa.array(out[4], pa.int64()),
-                    pa.array(out[5], pa.list_(pa.string())),
+                    pa.array(out[4], pa.bool_()),
+                    pa.array(out[5], pa.int64()),
+                    pa.array(out[6], pa.list_(pa.string())),
                 ],
                 names=names,
             )
 
-    return rows.mapInArrow(cut, "h long, key long, tag long, size int, pos long, slots array<string>")
+    return rows.mapInArrow(cut, "h long, key long, tag long, size int, verbatim boolean, pos long, slots array<string>")
 
 
 def matches(
@@ -219,19 +255,31 @@ def matches(
     """One row per document and item: doc_id, text_hash, item_id, n_windows, coverage, n_slots.
 
     ``n_windows`` counts the item's windows in its best consistent alignment,
-    ``coverage`` is their share of all windows of the item.
+    ``coverage`` is the share of the item's windows that they cover: a window with
+    few literal words that is not verbatim is covered if each of its words lies in
+    one of them.
     """
     content = F.col(text).cast("string").alias("text")
     asked = benchmark.select(F.col(item).cast("long").alias("key"), F.lit(0).cast("long").alias("tag"), content)
     items = cut_lineage(
-        template_windows(asked, [window], whole=True)
-        .select("h", F.col("key").alias("item_id"), "size", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+        template_windows(asked, [(window, False), (window, True)], whole=True)
+        .select(
+            "h",
+            F.col("key").alias("item_id"),
+            "size",
+            "verbatim",
+            F.col("pos").alias("item_pos"),
+            F.col("slots").alias("item_slots"),
+        )
         .dropDuplicates(["h", "item_id", "item_pos"]),
         "items",
     )
-    totals = items.groupBy(F.col("item_id").alias("of_item")).agg(F.countDistinct("item_pos").alias("item_windows"))
-    shape = items.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()
-    sizes = sorted(shape["sizes"], reverse=True)  # at most ``window`` different ones
+    template_pos = F.when(~F.col("verbatim"), F.col("item_pos"))
+    totals = items.groupBy(F.col("item_id").alias("of_item")).agg(
+        F.countDistinct("item_pos").alias("item_windows"), F.countDistinct(template_pos).alias("item_templates")
+    )
+    shape = items.agg(F.count("*").alias("n"), F.collect_set(F.struct("size", "verbatim")).alias("kinds")).first()
+    kinds = sorted(map(tuple, shape["kinds"]), reverse=True)  # at most ``window`` different sizes
     wanted = None
     if shape["n"] <= FILTER_WINDOWS:
         hashes = items.select("h").distinct().toPandas()["h"].to_numpy(dtype=np.int64)
@@ -239,29 +287,44 @@ def matches(
     if not shape["n"]:
         docs = docs.filter(F.lit(False))
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.col(text).cast("string")).alias("tag"), content)
-    found = template_windows(rows, sizes, wanted=wanted)
-    sought = items.drop("size")
+    found = template_windows(rows, kinds, wanted=wanted).drop("size", "verbatim")
+    sought = items
     pairs = found.join(F.broadcast(sought) if shape["n"] <= BROADCAST_WINDOWS else sought, "h")
     pairs = pairs.withColumn("shift", F.col("pos") - F.col("item_pos"))
     slots = F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_doc"))
     # an alignment has at most one row per window of its item
     aligned = pairs.groupBy("key", "tag", "item_id", "shift").agg(
-        F.countDistinct("item_pos").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots")
+        F.countDistinct("item_pos").alias("n_windows"),
+        F.countDistinct(template_pos).alias("n_templates"),
+        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
+        F.array_sort(F.collect_set("item_pos")).alias("places"),
+        F.max("size").alias("size"),
     )
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["of_item"])))
+    # between two windows that meet or overlap, all are covered
+    steps = F.zip_with(
+        F.slice("places", 2, F.size("places")),
+        F.slice("places", 1, F.size("places") - 1),
+        lambda after, before: F.when(after - before <= F.col("size"), after - before).otherwise(1),
+    )
+    n_covered = F.aggregate(steps, F.lit(1).cast("long"), lambda total, step: total + step)
+    # the template windows alone may be enough, however many others the item has
+    enough = (F.col("n_windows") >= F.least(F.lit(least_windows), F.col("item_windows"))) | (
+        (F.col("item_templates") > 0) & (F.col("n_templates") >= F.least(F.lit(least_windows), F.col("item_templates")))
+    )
     best = (
         aligned.filter(consistent)
-        .groupBy("key", "tag", "item_id")
-        .agg(F.max(F.struct("n_windows", F.size("slots").alias("n_slots"))).alias("best"))
         .join(totals, F.col("item_id").eqNullSafe(F.col("of_item")))
+        .filter(enough)
+        .groupBy("key", "tag", "item_id", "item_windows")
+        .agg(F.max(F.struct("n_windows", F.size("slots").alias("n_slots"), n_covered.alias("n_covered"))).alias("best"))
     )
-    enough = F.col("best.n_windows") >= F.least(F.lit(least_windows), F.col("item_windows"))
-    return best.filter(enough).select(
+    return best.select(
         F.col("key").alias("doc_id"),
         F.col("tag").alias("text_hash"),
         "item_id",
         "best.n_windows",
-        (F.col("best.n_windows") / F.col("item_windows")).alias("coverage"),
+        (F.col("best.n_covered") / F.col("item_windows")).alias("coverage"),
         "best.n_slots",
     )
 

@@ -59,6 +59,30 @@ def test_without_the_filter_the_join_finds_the_same(docs_of, items, monkeypatch)
     assert sorted(map(tuple, templates.matches(docs, items).collect())) == one
 
 
+def test_few_literal_words_match_verbatim(spark, docs_of):
+    table = "3 14 15 92 65 35 89 79 32 38 46 26"
+    people = "Anna Bob Carla Dora Emil Fritz Greta Hans Ida Jonas"
+    mixed = "the sum of all the parts we know is 4 8 15 16 23 42 Locke Hurley Sawyer Kate Jack"
+    items = spark.createDataFrame([(1, table), (2, people), (3, mixed), (4, "10 20 30 40 50")], "item_id long, text string")
+    texts = [
+        table,
+        f"so many figures as {table.replace(' ', ', ')} in it",
+        f"a list of {people} and others",
+        people.replace("Dora", "Dirk"),  # too few windows without the other name
+        " ".join(str(n) for n in range(50, 62)),  # placeholders alone
+        " ".join(mixed.split()[9:]),
+        mixed.replace("4 8 15 16 23 42", "1 2 3 4 5 6"),
+        "it counts 10 20 30 40 50 and on",
+        "it counts 10 20 30 40 60 and on",
+    ]
+    found = {(r.doc_id, r.item_id): r for r in templates.matches(docs_of(texts), items).collect()}
+    assert set(found) == {(0, 1), (1, 1), (2, 2), (5, 3), (6, 3), (7, 4)}
+    assert found[0, 1].coverage == found[1, 1].coverage == found[2, 2].coverage == 1.0
+    assert found[0, 1].n_windows == 5 and found[0, 1].n_slots == 0
+    kept = templates.without_matches(docs_of(texts), templates.matches(docs_of(texts), items))
+    assert {r.doc_id for r in kept.collect()} == {3, 4, 8}
+
+
 def test_finds_every_item_written_out(spark):
     found = {(r.doc_id, r.item_id) for r in QUERIES["op6_template_decontamination"](spark, FOLDER).collect()}
     want = duckdb.sql(
