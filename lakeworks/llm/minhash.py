@@ -84,16 +84,23 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set), bands (64-bit keys) and signature (low bytes of the minima)."""
+    """doc_id, n_shingles, node (null for an empty set), bands (64-bit keys), signature (low bytes of the minima), text_hash."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())]
+        [
+            ("doc_id", pa.int64()),
+            ("n_shingles", pa.int64()),
+            ("node", pa.int64()),
+            ("bands", pa.list_(pa.int64())),
+            ("signature", pa.binary()),
+            ("text_hash", pa.int64()),
+        ]
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(bands * rows)
         salt = np.arange(1, bands + 1, dtype=np.uint64)
         for batch in slices(batches):
-            out: list[list] = [batch.column(0).to_pylist(), [], [], [], []]
+            out: list[list] = [batch.column(0).to_pylist(), [], [], [], [], batch.column(2).to_pylist()]
             for shingles in shingle_sets(batch.column(1), n_words):
                 out[1].append(len(shingles))
                 if not len(shingles):
@@ -108,8 +115,11 @@ def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands
                 out[4].append((least & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(sign, "doc_id long, n_shingles long, node long, bands array<long>, signature binary")
+    content = F.col(text).cast("string")
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), content.alias("text"), F.xxhash64(content).alias("text_hash"))
+    return source.mapInArrow(
+        sign, "doc_id long, n_shingles long, node long, bands array<long>, signature binary, text_hash long"
+    )
 
 
 def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: int) -> DataFrame:
@@ -280,7 +290,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Per document: doc_id, n_shingles, node, component_id (least id reachable), kept."""
+    """Per document: doc_id, n_shingles, node, component_id (least id reachable), kept, text_hash."""
     signed = cut_lineage(signatures(docs, key, text, n_words, bands, rows), "signed")
     linkable = signed.filter("node is not null and doc_id is not null")
     reps = linkable.groupBy("node").agg(F.min("doc_id").alias("rep"))
@@ -344,24 +354,27 @@ def near_duplicates(
         grouped = reps.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
         named = grouped.join(least, "component").select("node", "component_id")
-    return signed.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
+    return signed.select("doc_id", "n_shingles", "node", "text_hash").join(named, "node", "left").select(
         "doc_id",
         "n_shingles",
         "node",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == F.coalesce("component_id", "doc_id"))).alias("kept"),
+        "text_hash",
     )
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each group, the one with the least id; all columns unchanged.
 
-    Of rows with equal id and text one stays.  Documents without an id or
+    Of rows with equal id and text one stays; of rows with equal id and other
+    texts only those go that are near-duplicates themselves.  Documents without an id or
     without a set stay.
     """
     found = near_duplicates(docs, key, text, **options)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct()
+    same = (F.col(key) == F.col("_gone")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_text"))
+    rest = docs.join(gone, same, "left_anti")
     repeated = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
     if repeated.isEmpty():
         return rest

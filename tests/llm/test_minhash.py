@@ -73,6 +73,11 @@ def test_one_of_each_group_stays(docs_of):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_another_text_of_a_removed_id_stays(docs_of):
+    left = minhash.deduplicated(docs_of([(2, "A b c"), (9, "a b c"), (9, "x y z"), (9, "x y z"), (9, None)]), n_words=2)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == [(2, "A b c"), (9, "x y z"), (9, None)]
+
+
 def test_long_chain_is_one_component(spark):
     rng = random.Random(8)
     nodes = rng.sample(range(1000), 300)
