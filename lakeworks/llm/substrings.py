@@ -141,8 +141,8 @@ def earlier_spans(
         entries, blocks, both, first = _least_first(*gathered(table, 3))
         core = runs(entries[:, 0])
         contexts = np.bincount(core[first])[core]
-        opened = np.zeros(len(entries), dtype=bool)
-        opened[first] = contexts[first] > 1  # the least owner of a context compares its windows
+        # the least owner of a context compares its windows, in every block with rows of that id
+        opened = (contexts > 1) & (entries[:, 2] == entries[first, 2][both])
         asked = [entries[opened, 1], entries[opened, 2]]
         order = np.argsort(blocks[opened], kind="stable")
         rows, home = np.column_stack(asked)[order], blocks[opened][order]

@@ -97,6 +97,26 @@ def test_repeated_rows_and_missing_ids(docs_of):
     assert exact_substrings.repeated_spans(empty).count() == substrings.earlier_spans(empty).count() == 0
 
 
+def test_rows_that_share_an_id_in_several_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 2000)
+    rng = random.Random(5)
+
+    def own(n):
+        return [f"o{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage, ending = own(70), own(60)
+    around = lambda first, last: " ".join([*own(40), *first, *last, *own(40)])
+    docs = [(1, around(passage, own(60)))]
+    # the same stretch in several rows of one id, with surroundings other than in the earlier document
+    docs += [(i, around(passage, ending)) for i in (None,) * 8 + (7,) * 8]
+    found = substrings.earlier_spans(docs_of(docs)).collect()
+    assert phrases.block_count(docs_of(docs), "text")[0] > 5
+    assert sorted(r.n_removed for r in found if r.doc_id == 7) == [70] * 8
+    assert sorted(r.n_removed for r in found if r.doc_id is None) == [130] * 8
+    only = [d for d in docs if d[0] != 7]
+    assert sorted(r.n_removed for r in substrings.earlier_spans(docs_of(only)).collect()) == [0] + [70] * 8
+
+
 def test_automaton_knows_every_substring():
     rng = random.Random(1)
     for _ in range(100):
