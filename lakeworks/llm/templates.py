@@ -3,8 +3,9 @@
 Numbers, names and units become typed placeholders; windows of the resulting
 template words are hash-joined between documents and benchmark items.  Matches
 that lie on one diagonal (same shift between document and item) form an
-alignment.  An alignment counts only if its slots are consistent: everywhere it
-holds, one value of the item stands for one value of the document.
+alignment.  Its slots must be consistent: everywhere it holds, one value of the
+item stands for one value of the document.  If they are not, only its windows
+without slots count, which match without placeholders.
 
 Defined results: null and empty texts and items have no windows and match
 nothing; items shorter than a window are one window of their own length; windows
@@ -254,7 +255,8 @@ def matches(
 ) -> DataFrame:
     """One row per document and item: doc_id, text_hash, item_id, n_windows, coverage, n_slots.
 
-    ``n_windows`` counts the item's windows in its best consistent alignment,
+    ``n_windows`` counts the item's windows in its best alignment, those without
+    slots if its slots are inconsistent (``n_slots`` is 0 then),
     ``coverage`` is the share of the item's windows that they cover: a window with
     few literal words that is not verbatim is covered if each of its words lies in
     one of them.
@@ -294,13 +296,28 @@ def matches(
     slots = F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_doc"))
     # an alignment has at most one row per window of its item
     aligned = pairs.groupBy("key", "tag", "item_id", "shift").agg(
-        F.countDistinct("item_pos").alias("n_windows"),
-        F.countDistinct(template_pos).alias("n_templates"),
+        F.collect_set(F.struct("item_pos", "verbatim", (F.size("item_slots") == 0).alias("plain"))).alias("windows"),
         F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
-        F.array_sort(F.collect_set("item_pos")).alias("places"),
         F.max("size").alias("size"),
     )
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["of_item"])))
+    aligned = (
+        aligned.withColumn("consistent", consistent)
+        .withColumn("windows", F.filter("windows", lambda w: F.col("consistent") | w["plain"]))
+        .withColumn("places", F.array_sort(F.array_distinct(F.col("windows.item_pos"))))
+        .filter(F.size("places") > 0)
+    )
+    n_templates = F.size(F.array_distinct(F.filter("windows", lambda w: ~w["verbatim"])["item_pos"]))
+    aligned = aligned.select(
+        "key",
+        "tag",
+        "item_id",
+        "size",
+        "places",
+        F.size("places").alias("n_windows"),
+        n_templates.alias("n_templates"),
+        F.when(F.col("consistent"), F.size("slots")).otherwise(0).alias("n_slots"),
+    )
     # between two windows that meet or overlap, all are covered
     steps = F.zip_with(
         F.slice("places", 2, F.size("places")),
@@ -313,11 +330,10 @@ def matches(
         (F.col("item_templates") > 0) & (F.col("n_templates") >= F.least(F.lit(least_windows), F.col("item_templates")))
     )
     best = (
-        aligned.filter(consistent)
-        .join(totals, F.col("item_id").eqNullSafe(F.col("of_item")))
+        aligned.join(totals, F.col("item_id").eqNullSafe(F.col("of_item")))
         .filter(enough)
         .groupBy("key", "tag", "item_id", "item_windows")
-        .agg(F.max(F.struct("n_windows", F.size("slots").alias("n_slots"), n_covered.alias("n_covered"))).alias("best"))
+        .agg(F.max(F.struct(F.col("n_windows").cast("long").alias("n_windows"), "n_slots", n_covered.alias("n_covered"))).alias("best"))
     )
     return best.select(
         F.col("key").alias("doc_id"),

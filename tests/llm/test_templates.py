@@ -83,6 +83,18 @@ def test_few_literal_words_match_verbatim(spark, docs_of):
     assert {r.doc_id for r in kept.collect()} == {3, 4, 8}
 
 
+def test_one_inconsistent_value_leaves_the_windows_without_slots(spark, docs_of):
+    prose = " ".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(100))
+    item = f"there are 12 boxes {prose} and again 12 boxes"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    texts = [item, item.replace("12", "77"), item.replace("again 12", "again 13"), "all 12 boxes and again 13 boxes"]
+    found = {r.doc_id: r for r in templates.matches(docs_of(texts), items).collect()}
+    assert set(found) == {0, 1, 2}
+    assert found[0].coverage == found[1].coverage == 1.0
+    # 108 words have 101 windows; 3 hold the first number and 2 the second
+    assert found[2].n_windows == 101 - 3 - 2 and found[2].n_slots == 0 and 0.9 < found[2].coverage < 1
+
+
 def test_finds_every_item_written_out(spark):
     found = {(r.doc_id, r.item_id) for r in QUERIES["op6_template_decontamination"](spark, FOLDER).collect()}
     want = duckdb.sql(
