@@ -8,7 +8,8 @@ item stands for one value of the document.  If they are not, only its windows
 without slots count, which match without placeholders.
 
 Defined results: null and empty texts and items have no windows and match
-nothing; items shorter than a window are one window of their own length; windows
+nothing; items shorter than a window are one window of their own length, and those
+of one to three words must be a whole text or whole lines of it; windows
 with few literal words are joined on the words themselves, in lower case and
 without punctuation at their edges, as placeholders alone say nothing: they match
 verbatim and need no slots; repeated rows give one result per document and item;
@@ -33,6 +34,8 @@ from lakeworks.session import cut_lineage
 
 #: Words of a window, literal words it needs to be a template, windows of an alignment that make a match.
 WINDOW, LEAST_LITERALS, LEAST_WINDOWS = 8, 4, 3
+#: Shorter items match whole lines only.
+LEAST_WORDS = 4
 #: Benchmark windows that executors may hold as a filter; above, every window goes into the join.
 FILTER_WINDOWS = 8_000_000
 #: Benchmark windows with their slots that a join may broadcast.
@@ -65,6 +68,8 @@ class Words(NamedTuple):
     slots: np.ndarray
     #: Whether it is a slot when no sentence begins with it, wherever it stands.
     slots_inside: np.ndarray
+    #: Whether a line begins with it.
+    begins: np.ndarray
 
 
 def canonical_form() -> Callable[[str], tuple[str, str, str, bool]]:
@@ -138,7 +143,7 @@ class Templates:
             self._settle()
         if not ids:
             none = np.zeros(0, np.uint64)
-            return Words([], none, none, none.astype(bool), none.astype(bool))
+            return Words([], none, none, none.astype(bool), none.astype(bool), none.astype(bool))
         numbers = np.array(ids, dtype=np.int64)
         own = self.table[numbers]
         first = np.ones(len(ids), dtype=bool)
@@ -146,7 +151,8 @@ class Templates:
         real = numbers != self.index.get(self.LINE, -1)
         forms = np.where(first, own["start"], own["mid"])[real]
         slots = np.where(first, own["slot_start"], own["slot_mid"])[real]
-        return Words(marked, forms, own["real"][real], slots, own["slot_mid"][real])
+        begins = np.concatenate(([True], ~real[:-1]))[real]
+        return Words(marked, forms, own["real"][real], slots, own["slot_mid"][real], begins)
 
     def words(self, marked: list[str]) -> list[str]:
         """The words alone."""
@@ -180,13 +186,18 @@ def _windows(words: Words, size: int, verbatim: bool) -> tuple[np.ndarray, np.nd
 
 
 def template_windows(
-    rows: DataFrame, kinds: list[tuple[int, bool]], whole: bool = False, wanted: np.ndarray | None = None
+    rows: DataFrame,
+    kinds: list[tuple[int, bool]],
+    whole: bool = False,
+    wanted: np.ndarray | None = None,
+    lines_below: int = 0,
 ) -> DataFrame:
     """Windows of the texts of (key, tag, text): h, key, tag, size, verbatim, pos and the values in the slots.
 
     ``kinds``: sizes, and whether of template words or verbatim; verbatim
     windows have no slots.  ``whole``: texts shorter than the window are one window of their own
     length.  ``wanted``: sorted hashes; other windows are left out.
+    ``lines_below``: smaller windows must begin and end where lines do.
     """
     held = rows.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
     names = ["h", "key", "tag", "size", "verbatim", "pos", "slots"]
@@ -211,6 +222,9 @@ def template_windows(
                         place[place == len(held.value)] = 0
                         match = held.value[place] == found
                         at, found = at[match], found[match]
+                    if size < lines_below:
+                        lines = words.begins[at] & np.append(words.begins, True)[at + size]
+                        at, found = at[lines], found[lines]
                     if not len(at):
                         continue
                     out[0].extend(found.view(np.int64).tolist())
@@ -289,7 +303,7 @@ def matches(
     if not shape["n"]:
         docs = docs.filter(F.lit(False))
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.col(text).cast("string")).alias("tag"), content)
-    found = template_windows(rows, kinds, wanted=wanted).drop("size", "verbatim")
+    found = template_windows(rows, kinds, wanted=wanted, lines_below=min(LEAST_WORDS, window)).drop("size", "verbatim")
     sought = items
     pairs = found.join(F.broadcast(sought) if shape["n"] <= BROADCAST_WINDOWS else sought, "h")
     pairs = pairs.withColumn("shift", F.col("pos") - F.col("item_pos"))

@@ -95,6 +95,22 @@ def test_one_inconsistent_value_leaves_the_windows_without_slots(spark, docs_of)
     assert found[2].n_windows == 101 - 3 - 2 and found[2].n_slots == 0 and 0.9 < found[2].coverage < 1
 
 
+def test_items_of_a_few_words_match_whole_lines(spark, docs_of):
+    items = spark.createDataFrame([(1, "yes"), (2, "what is this"), (3, "42"), (4, "what is this thing")], "item_id long, text string")
+    texts = [
+        "yes",
+        "well yes and no, but what is this, 42 or more",
+        "first line\nWhat is this?\n\n42",
+        "Yes.\nand what is this",
+        "ask what is this thing here",
+        "42",
+    ]
+    docs = docs_of(texts)
+    found = templates.matches(docs, items)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(0, 1), (2, 2), (2, 3), (3, 1), (4, 4), (5, 3)}
+    assert [r.doc_id for r in templates.without_matches(docs, found).collect()] == [1]
+
+
 def test_finds_every_item_written_out(spark):
     found = {(r.doc_id, r.item_id) for r in QUERIES["op6_template_decontamination"](spark, FOLDER).collect()}
     want = duckdb.sql(
