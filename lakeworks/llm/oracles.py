@@ -74,9 +74,49 @@ kept AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
+# DuckDB has no crc32: the table of the reflected polynomial 0xEDB88320, then one lookup a byte of an ASCII text
+CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], repeat([0], 8)),
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table"""
+CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, b: xor(crc_table[(xor(c, b) & 255) + 1], c >> 8)))"""
+
+PERIODIC_RUNS = f"""
+WITH crc_tables AS ({CRC_TABLE}),
+docs AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS w, {CRC.format(text="doc_id::VARCHAR")} AS h FROM documents, crc_tables),
+sized AS (SELECT doc_id, w, len(w)::BIGINT AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g FROM docs),
+starts AS (SELECT *, CASE WHEN planted THEN g % n END AS a FROM sized),
+rebuilt AS (SELECT *, CASE WHEN planted THEN 1 + (n - a) // (3 + g % 8) END AS p FROM starts),
+words AS (
+  SELECT doc_id, n, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM rebuilt)
+),
+again AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i
+  WHERE 4 * (y.i - x.i) <= x.n
+),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM again)
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id
+),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
 ORACLES = {
     "op1_exact_substrings": EXACT_SUBSTRINGS,
     "op3_minhash": NEAR_DUPLICATES,
     "op5_secret_scan": report_sql(),
     "op10_substring_dedup": EARLIER_WINDOWS,
+    "op11_periodic_runs": PERIODIC_RUNS,
 }

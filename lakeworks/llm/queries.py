@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, quality, secret_scan, substrings, templates
+from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, periodic, quality, secret_scan, substrings, templates
 from lakeworks.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -74,6 +74,43 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def periodic_tail(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum ``h`` of its id, with its words from a place on made periodic.
+
+    With ``g = h / 10`` the place is ``g % n`` and the period ``1 + (n - place) / (3 + g % 8)``.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    n, g = F.size("_words"), F.floor(h / 10)
+    start = (g % n).cast("int")
+    rest = n - F.col("_start")
+    period = (1 + F.floor(rest / (3 + g % 8))).cast("int")
+    repeats = F.ceil(rest / F.col("_period")).cast("int")
+    once = F.slice("_words", F.col("_start") + 1, F.col("_period"))
+    tail = F.slice(F.flatten(F.array_repeat(once, repeats)), F.lit(1), rest)
+    # one column a step, so that the words are split once
+    return (
+        docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_words"))
+        .withColumn("_start", F.when(n > 0, start))
+        .withColumn("_period", period)
+        .withColumn("_tail", F.when(n > 0, F.concat(F.slice("_words", F.lit(1), F.col("_start")), tail)))
+        .select("doc_id", F.coalesce(F.array_join("_tail", " "), "text").alias("text"))
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(periodic_tail(table(spark, folder, "documents")))
+    best = F.col("best")
+    return found.withColumn("best", periodic.longest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(best[name].alias(name) for name in ("start", "length", "period")),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(periodic.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_substrings": op1_exact_substrings,
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
@@ -85,4 +122,5 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
