@@ -113,10 +113,48 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * leng
   sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
 FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
+PREFIX_TRIE = f"""
+WITH crc_tables AS ({CRC_TABLE}),
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT c, {CRC.format(text="c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM turns), crc_tables),
+heads AS (SELECT convs.c, pos, r, t FROM convs JOIN turns ON turns.c = convs.c - convs.c % 5 AND pos <= h),
+head_sizes AS (SELECT c, count(*) AS k FROM heads GROUP BY c),
+rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT c, pos - h + coalesce(k, 0), r, t FROM turns JOIN convs USING (c) LEFT JOIN head_sizes USING (c) WHERE pos > h
+),
+walks AS (
+  SELECT c, pos AS depth, strlen(t) AS size,
+    sha256(string_agg(strlen(r) || ':' || r || strlen(t) || ':' || t, '' ORDER BY pos) OVER (PARTITION BY c ORDER BY pos)) AS node
+  FROM rebuilt
+),
+members AS (SELECT c, depth, size, node FROM walks UNION ALL SELECT c, 0, 0, '' FROM convs),
+linked AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY depth) AS above, lead(node) OVER (PARTITION BY c ORDER BY depth) IS NULL AS ends FROM members),
+nodes AS (
+  SELECT depth, node, any_value(above) AS above, min(c) AS least, count(*) AS n, any_value(size) AS size,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY depth, node
+),
+kids AS (SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+worth AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_children IS NULL)::INT AS leaf, (n - 1) * size AS saved FROM nodes LEFT JOIN kids USING (depth, node)),
+below AS (
+  SELECT m.depth, m.node, sum(w.leaf) AS n_leaves, sum(w.saved) AS saved_tokens
+  FROM members m JOIN worth w ON w.least = m.c AND w.depth >= m.depth GROUP BY ALL
+)
+SELECT w.least AS conv_id, w.depth, p.least AS parent_conv_id, w.n AS n_convs, w.n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM worth w JOIN below USING (depth, node) LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.node = w.above"""
+
 ORACLES = {
     "op1_exact_substrings": EXACT_SUBSTRINGS,
     "op3_minhash": NEAR_DUPLICATES,
     "op5_secret_scan": report_sql(),
     "op10_substring_dedup": EARLIER_WINDOWS,
     "op11_periodic_runs": PERIODIC_RUNS,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, periodic, quality, secret_scan, substrings, templates
+from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, periodic, prefix_trie, quality, secret_scan, substrings, templates
 from lakeworks.llm.oracles import ORACLES
+from lakeworks.session import cut_lineage
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -111,6 +112,21 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def shared_beginnings(sequences: DataFrame) -> DataFrame:
+    """Conversation c with its first h turns taken from conversation c - c % 5; h is the checksum of c modulo 9."""
+    heads = sequences.select(F.col("conv_id").alias("head"), F.slice("turns", 1, 8).alias("head_turns"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    none = F.slice("turns", 1, 0)
+    own = F.slice(F.col("turns"), h + 1, F.greatest(F.size("turns") - h, F.lit(0)))
+    both = sequences.join(heads, F.col("head") == F.col("conv_id") - F.col("conv_id") % 5, "left")
+    return both.select("conv_id", F.concat(F.coalesce(F.slice("head_turns", F.lit(1), h), none), own).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    sequences = prefix_trie.turn_sequences(table(spark, folder, "conversations"))
+    return prefix_trie.build(shared_beginnings(cut_lineage(sequences, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_substrings": op1_exact_substrings,
     "op2_fuzzy_fingerprints": op2_fuzzy_fingerprints,
@@ -123,4 +139,5 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
