@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import chat, exact_substrings, fuzzy, language, minhash, packing, periodic, prefix_trie, quality, secret_scan, substrings, templates
+from lakeworks.llm import chat, exact_substrings, fuzzy, kneser_ney, language, minhash, packing, periodic, prefix_trie, quality, secret_scan, substrings, templates
 from lakeworks.llm.oracles import ORACLES
 from lakeworks.session import cut_lineage
 
@@ -112,6 +112,13 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(7) == 2, F.lit(False))
+    found = kneser_ney.score(docs, kneser_ney.fit(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def shared_beginnings(sequences: DataFrame) -> DataFrame:
     """Conversation c with its first h turns taken from conversation c - c % 5; h is the checksum of c modulo 9."""
     heads = sequences.select(F.col("conv_id").alias("head"), F.slice("turns", 1, 8).alias("head_turns"))
@@ -139,5 +146,6 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_language_model": op12_language_model,
     "op13_prefix_trie": op13_prefix_trie,
 }
