@@ -63,11 +63,25 @@ def clear_scratch(spark: SparkSession) -> int:
     Call it once the results built on them have been written or collected, for
     DataFrames that still read them fail afterwards.
     """
-    removed = 0
-    while _SCRATCH:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return removed
+    return sum(remove_scratch(spark, path) for path in list(_SCRATCH))
+
+
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Remove one scratch path that nothing reads any more; other paths are refused."""
+    _SCRATCH.remove(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the files of shuffles removed that no plan refers to any more.
+
+    Spark's cleaner notices them when the driver's memory is collected, which may
+    take long where the driver does little; between the steps of a long job their
+    space is wanted sooner.
+    """
+    spark.range(1).count()  # the session still holds the plan it ran last
+    spark._jvm.System.gc()
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
