@@ -46,11 +46,13 @@ from pyspark.sql import functions as F
 from lakeworks.llm import shared_arrays
 from lakeworks.llm.arrays import mix, trim
 from lakeworks.llm.wordids import row_runs, word_ids
-from lakeworks.session import cut_lineage, scratch_path
+from lakeworks.session import cut_lineage, free_shuffles, remove_scratch, scratch_path
 
 ORDER = 2
+#: Counts below this are one byte in a file.
+WIDE = 255
 #: Tokens of a block, text bytes that are split at a time, tokens that a shard stands for.
-BLOCK_TOKENS, SLICE_BYTES, SHARD_TOKENS = 2_000_000, 4 << 20, 2_000_000
+BLOCK_TOKENS, SLICE_BYTES, SHARD_TOKENS = 1_000_000, 1 << 20, 1_000_000
 #: Bytes of text for a token, to choose the number of shards; it bears on no result.
 TOKEN_BYTES = 6
 #: Discounts where the counts of counts have gaps (small corpora).
@@ -189,8 +191,12 @@ def _counted(order: int, bits: int, block_tokens: int) -> Callable:
                 out = []
                 for s, p in _split(keys, bits):
                     c, f = context[first[p]], suffix[first[p]]
-                    by = np.argsort(c)
-                    out.append({"shard": s, "context": pack_sorted(c[by]), "suffix": pack(f[by]), "n": pack(n[p][by].astype("<u4"))})
+                    # most halves occur in several n-grams: they are listed once and numbered
+                    halves, at = np.unique(np.append(c, f), return_inverse=True)
+                    c, f = at[: len(c)], at[len(c) :]
+                    by = np.argsort(c, kind="stable")
+                    steps = np.diff(c[by], prepend=0).astype("<u4")
+                    out.append({"shard": s, "keys": pack_sorted(halves), "context": pack(steps), "suffix": pack(f[by].astype("<u4")), "n": pack(n[p][by].astype("<u4"))})
             yield _rows(out, PACKED_ARROW)
 
     return count
@@ -218,8 +224,10 @@ def _summed(order: int, top: int, bits: int, folder: str) -> Callable:
         counted = [k for k, n in enumerate(columns["n"]) if n is not None]
         raw = some([unpack(columns["n"][k], "<u4").astype(np.int64) for k in counted], np.int64)
         if order > 1:
-            context = some([unpack_sorted(columns["context"][k]) for k in counted])
-            suffix = some([unpack(columns["suffix"][k]) for k in counted])
+            halves = [unpack_sorted(columns["keys"][k]) for k in counted]
+            context = some([h[np.cumsum(unpack(columns["context"][k], "<u4"))] for k, h in zip(counted, halves)])
+            suffix = some([h[unpack(columns["suffix"][k], "<u4")] for k, h in zip(counted, halves)])
+            del halves
             keys, raw, first = _added(joined_keys(context, suffix), raw)
             context, suffix = context[first], suffix[first]
         else:
@@ -242,7 +250,7 @@ def _summed(order: int, top: int, bits: int, folder: str) -> Callable:
             begins = (keys & np.uint64(1)).astype(bool)
             count = np.where(begins & (keys != BEGIN), raw, sums[4])
             arrays = dict(zip(("total", "once", "twice", "more"), (s.astype("<f4" if k == 0 else "<u4") for k, s in enumerate(sums[:4]))))
-        arrays = {"keys": keys.astype("<u8"), "count": count.astype("<u4"), **arrays}
+        arrays = {"keys": keys.astype("<u8"), **narrow(count), **arrays}
         if order == 1:
             arrays["raw"] = raw.astype("<i8")
         shared_arrays.save(folder, f"{order}-{key[0].as_py()}", arrays)
@@ -273,9 +281,29 @@ def discounts_of(tally: list[int]) -> tuple[float, float, float]:
     return found if all(0 < d < k + 1 for k, d in enumerate(found)) else PLAIN_DISCOUNTS
 
 
-def _free_shuffles(df: DataFrame) -> None:
-    """Lets Spark's cleaner remove the files of shuffles that nothing refers to any more."""
-    df.sparkSession.sparkContext._jvm.System.gc()
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows as a table in the shared folder, and its path; the shuffles behind them are given up."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    free_shuffles(spark)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def narrow(count: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in one byte each; the places and values of those that do not fit follow."""
+    wide = np.flatnonzero(count >= WIDE)
+    return {"count": np.minimum(count, WIDE).astype("u1"), "wide_at": wide.astype("<i8"), "wide": count[wide].astype("<i8")}
+
+
+def widened(arrays: dict[str, np.ndarray], at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Counts at some places."""
+    count = arrays["count"][at].astype(np.int64)
+    if len(arrays["wide"]):
+        places = np.arange(len(arrays["count"])) if isinstance(at, slice) else at
+        big = np.flatnonzero(count == WIDE)
+        count[big] = arrays["wide"][np.searchsorted(arrays["wide_at"], places[big])]
+    return count
 
 
 def fit(docs: DataFrame, text: str | Column = "text", order: int = ORDER, block_tokens: int | None = None) -> Model:
@@ -289,17 +317,20 @@ def fit(docs: DataFrame, text: str | Column = "text", order: int = ORDER, block_
     bits = max(0, math.ceil(math.log2(max(1, size / TOKEN_BYTES / SHARD_TOKENS))))
     folder = scratch_path(spark, "model")
     tallies: dict[int, list[int]] = {}
-    sums = None
+    sums = done = None
     for level in range(order, 0, -1):
         rows = texts.mapInArrow(_counted(level, bits, block_tokens), PACKED)
         if sums is not None:
             rows = rows.unionByName(sums)
         found = rows.groupBy("shard").applyInArrow(_summed(level, order, bits, folder), PACKED + ", tally array<long>")
-        found = cut_lineage(found, f"counts-{level}")
+        found, path = _written(found, f"counts-{level}")
+        if done:
+            remove_scratch(spark, done)
+        done = path
         each = [F.sum(F.col("tally")[k]).alias(str(k)) for k in range(8)]
         tallies[level] = [n or 0 for n in found.filter("tally IS NOT NULL").agg(*each).first()]
         sums = found.filter("tally IS NULL").drop("tally")
-        _free_shuffles(docs)
+    remove_scratch(spark, done)
     words = tallies[1]
     discounts = tuple(discounts_of(tallies[k]) for k in range(1, order + 1))
     d, total = discounts[0], words[5]
@@ -314,7 +345,7 @@ def discounted(count: np.ndarray, discounts: tuple[float, float, float]) -> np.n
 
 #: What an answer holds for each n-gram, by kind of order.
 TOP_FIELDS, LOWER_FIELDS, WORD_FIELDS = ("count",), ("count", "total", "rest"), ("count", "total", "rest", "raw")
-KINDS = {"count": "<u4", "total": "<f4", "rest": "<f4", "raw": "<i8"}
+KINDS = {"count": "<i8", "total": "<f4", "rest": "<f4", "raw": "<i8"}
 
 
 def _fields(level: int, order: int) -> tuple[str, ...]:
@@ -369,7 +400,7 @@ def _answered(model: dict) -> Callable:
             else:
                 at = np.minimum(np.searchsorted(stored["keys"], keys), len(stored["keys"]) - 1)
                 known = stored["keys"][at] == keys
-                values = {f: np.where(known, stored[f][at], 0) for f in fields if f != "rest"}
+                values = {f: np.where(known, widened(stored, at) if f == "count" else stored[f][at], 0) for f in fields if f != "rest"}
                 if "rest" in fields:
                     d = model["discounts"][level]  # of the next higher order, whose contexts these are
                     seen = [np.where(known, stored[f][at], 0).astype(np.float64) for f in ("once", "twice", "more")]
@@ -381,10 +412,6 @@ def _answered(model: dict) -> Callable:
     return answer
 
 
-#: Counts below this are one byte in a block's file, others follow in a list of their own.
-WIDE = 255
-
-
 def _gathered(order: int, folder: str) -> Callable:
     """All answers of a block as one file, in the order of its keys."""
 
@@ -402,8 +429,10 @@ def _gathered(order: int, folder: str) -> Callable:
             for f in _fields(level, order):
                 values = np.concatenate([unpack(r[f], KINDS[f]) for r in own]) if own else np.zeros(0, KINDS[f])
                 if f == "count":
-                    arrays[f"wide-{level}"] = values[values >= WIDE]
-                    values = np.minimum(values, WIDE).astype("u1")
+                    arrays |= {f"{name}-{level}": part for name, part in narrow(values).items()}
+                    continue
+                if f == "raw" and values.max(initial=0) < 1 << 32:
+                    values = values.astype("<u4")
                 arrays[f"{f}-{level}"] = values
         shared_arrays.save(folder, f"block-{block}", arrays)
         return pa.table({"block": [block], "n": [n]})
@@ -424,8 +453,7 @@ def _scored(model: dict, folder: str, block_tokens: int, names: list[str]) -> Ca
             for level, keys, distinct in _wanted(words, place, order):
                 if answers is None or answers[f"check-{level}"].tolist() != [len(distinct), checksum(distinct)]:
                     raise ValueError("the documents were cut into other blocks when they were read again")
-                count = answers[f"count-{level}"].astype(np.int64)
-                count[count == WIDE] = answers[f"wide-{level}"]
+                count = widened({name: answers[f"{name}-{level}"] for name in ("count", "wide_at", "wide")})
                 at = np.minimum(np.searchsorted(distinct, keys), max(len(distinct) - 1, 0))
                 real = (place >= max(level - 1, 1)) & (total > 0)
                 own = at[real]
@@ -438,7 +466,7 @@ def _scored(model: dict, folder: str, block_tokens: int, names: list[str]) -> Ca
                     total[place < level] = 0
             scored = place > 0
             text = np.repeat(np.arange(len(sizes)), sizes)[scored]
-            base = np.log10((raw[scored] + 1) / (model["train_tokens"] + model["vocabulary"] + 1))
+            base = np.log10((raw[scored].astype(np.float64) + 1) / (model["train_tokens"] + model["vocabulary"] + 1))
             sums = {
                 "n_tokens": sizes - 1,
                 "n_known": np.bincount(text, raw[scored] > 0, len(sizes)).astype(np.int64),
@@ -470,12 +498,12 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str | Column
     rows = docs.select(F.col(key).alias("key"), (F.col(text) if isinstance(text, str) else text).cast("string").alias("text"))
     if not _scanned(rows):
         rows = cut_lineage(rows, "texts")
-    folder = scratch_path(docs.sparkSession, "answers")
+    spark = docs.sparkSession
+    folder = scratch_path(spark, "answers")
     asked = rows.mapInArrow(_asked(known, block_tokens), "block long, level long, shard long, keys binary")
-    answers = asked.groupBy("level", "shard").applyInArrow(_answered(known), ANSWERED_DDL)
-    files = answers.groupBy("block").applyInArrow(_gathered(model.order, folder), "block long, n long")
-    cut_lineage(files, "blocks")  # runs it
-    _free_shuffles(docs)
+    answers, path = _written(asked.groupBy("level", "shard").applyInArrow(_answered(known), ANSWERED_DDL), "replies")
+    _written(answers.groupBy("block").applyInArrow(_gathered(model.order, folder), "block long, n long"), "blocks")
+    remove_scratch(spark, path)
     kind = rows.schema["key"].dataType.simpleString()
     names = ["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     schema = f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
