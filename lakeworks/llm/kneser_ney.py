@@ -89,20 +89,47 @@ def pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T.tobytes()
 
 
-def unpack(data: bytes, kind: str = "<u8") -> np.ndarray:
+def unpack(data: bytes | pa.Buffer, kind: str = "<u8") -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
 
 
-def unpack_sorted(data: bytes) -> np.ndarray:
+def unpack_sorted(data: bytes | pa.Buffer) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
 
 
-def word_keys(words: pa.Array) -> np.ndarray:
-    import xxhash
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order."""
+    keys = np.sort(keys)
+    return keys[_starts(keys)]
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Places where a new value starts."""
+    if not len(ordered):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
 
-    clear = ~np.uint64(1)
-    keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words)) & clear
+
+def word_keys(words: pa.Array) -> np.ndarray:
+    """Even 64-bit hashes of words: their length, then eight bytes at a time, each step mixed."""
+    words = words.cast(pa.large_binary())
+    n = len(words)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + n + 1]
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    at, left = offsets[:-1].copy(), np.diff(offsets)
+    keys = mix(left.astype(np.uint64))
+    lane = np.arange(8)
+    open_ = np.flatnonzero(left > 0)
+    while len(open_):
+        inside = lane < left[open_, None]
+        eight = np.where(inside, data[np.where(inside, at[open_, None] + lane, 0)], 0).astype(np.uint8).view(np.uint64).ravel()
+        keys[open_] = mix(keys[open_] + eight * np.uint64(0x9E3779B97F4A7C15))
+        at[open_] += 8
+        left[open_] -= 8
+        open_ = open_[left[open_] > 0]
+    keys &= ~np.uint64(1)
     return np.where(keys <= END, keys + np.uint64(4), keys)
 
 
@@ -162,7 +189,7 @@ def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
 def _split(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Shards of ascending keys, and the part of each."""
     shards = shard_of(keys, bits)
-    starts = np.flatnonzero(np.append(True, shards[1:] != shards[:-1])) if len(keys) else []
+    starts = _starts(shards)
     for a, z in zip(starts, [*starts[1:], len(keys)]):
         yield int(shards[a]), slice(int(a), int(z))
 
@@ -182,12 +209,18 @@ def _counted(order: int, bits: int, block_tokens: int) -> Callable:
             place = positions(sizes)
             real = place >= max(order - 1, 1)
             if order == 1:
-                keys, n = np.unique(words[real], return_counts=True)
+                keys = np.sort(words[real])
+                starts = _starts(keys)
+                keys, n = keys[starts], np.diff(starts, append=len(keys))
                 out = [{"shard": s, "keys": pack_sorted(keys[p]), "n": pack(n[p].astype("<u4"))} for s, p in _split(keys, bits)]
             else:
                 lower = order_keys(words, order - 1)
                 context, suffix = lower[:-1][real[1:]], lower[1:][real[1:]]
-                keys, first, n = np.unique(joined_keys(context, suffix), return_index=True, return_counts=True)
+                keys = joined_keys(context, suffix)
+                by = np.argsort(keys)
+                keys = keys[by]
+                starts = _starts(keys)
+                keys, first, n = keys[starts], by[starts], np.diff(starts, append=len(keys))
                 out = []
                 for s, p in _split(keys, bits):
                     c, f = context[first[p]], suffix[first[p]]
@@ -204,9 +237,9 @@ def _counted(order: int, bits: int, block_tokens: int) -> Callable:
 
 def _added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in order with the sums of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
-    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    starts = _starts(keys)
     return keys[starts], *((np.add.reduceat(v[order], starts) if len(keys) else v[:0]) for v in values), order[starts]
 
 
@@ -219,7 +252,7 @@ def _summed(order: int, top: int, bits: int, folder: str) -> Callable:
     schema = pa.schema([*PACKED_ARROW, ("tally", pa.list_(pa.int64()))])
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        columns = {c: table.column(c).to_pylist() for c in ("keys", "context", "suffix", "n", "sums")}
+        columns = {c: [v.as_buffer() for v in table.column(c)] for c in ("keys", "context", "suffix", "n", "sums")}
         some = lambda parts, kind=np.uint64: np.concatenate(parts) if parts else np.zeros(0, kind)
         counted = [k for k, n in enumerate(columns["n"]) if n is not None]
         raw = some([unpack(columns["n"][k], "<u4").astype(np.int64) for k in counted], np.int64)
@@ -238,7 +271,7 @@ def _summed(order: int, top: int, bits: int, folder: str) -> Callable:
             sums = [unpack(columns["sums"][k], "<u8").astype(np.int64).reshape(SUMS, -1) for k in summed]
             sums = np.concatenate(sums, axis=1) if sums else np.zeros((SUMS, 0), np.int64)
             below, *sums, _ = _added(some([unpack_sorted(columns["keys"][k]) for k in summed]), *sums)
-            every = np.union1d(keys, below)
+            every = distinct(np.append(keys, below))
             at, from_below = np.searchsorted(every, keys), np.searchsorted(every, below)
             widen = lambda values, places: np.bincount(places, values, len(every)).astype(np.int64)
             raw, sums = widen(raw, at), [widen(s, from_below) for s in sums]
@@ -266,7 +299,10 @@ def _summed(order: int, top: int, bits: int, folder: str) -> Callable:
             both, *sums, _ = _added(both, *sums)
             for s, p in _split(both, bits):
                 out.append({"shard": s, "keys": pack_sorted(both[p]), "sums": pack(np.stack([v[p] for v in sums]).astype("<u8").ravel())})
-        return pa.Table.from_batches([_rows(out, schema)])
+        found = pa.Table.from_batches([_rows(out, schema)])
+        del columns, out, arrays
+        trim()
+        return found
 
     return add
 
@@ -352,12 +388,13 @@ def _fields(level: int, order: int) -> tuple[str, ...]:
     return TOP_FIELDS if level == order else WORD_FIELDS if level == 1 else LOWER_FIELDS
 
 
-def _wanted(keys: np.ndarray, place: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order the key at every token, and the distinct ones among those that mean something."""
+def _levels(keys: np.ndarray, place: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each order the tokens at which an n-gram ends, and its keys there."""
     for level in range(1, order + 1):
         if level > 1:
             keys = np.append(keys[:1], joined_keys(keys[:-1], keys[1:]))
-        yield level, keys, np.unique(keys[place >= level - 1])
+        ends = np.flatnonzero(place >= level - 1)
+        yield level, ends, keys[ends]
 
 
 ASKED = pa.schema([("block", pa.int64()), ("level", pa.int64()), ("shard", pa.int64()), ("keys", pa.binary())])
@@ -369,7 +406,8 @@ def _asked(model: dict, block_tokens: int) -> Callable:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, words, sizes in blocks(batches, 1, block_tokens):
             block = TaskContext.get().partitionId() << 32 | number
-            for level, _, keys in _wanted(words, positions(sizes), model["order"]):
+            for level, _, keys in _levels(words, positions(sizes), model["order"]):
+                keys = distinct(keys)
                 parts = _split(keys, model["bits"])
                 yield _rows([{"block": block, "level": level, "shard": s, "keys": pack_sorted(keys[p])} for s, p in parts], ASKED)
 
@@ -392,8 +430,8 @@ def _answered(model: dict) -> Callable:
         fields = _fields(level, model["order"])
         stored = shared_arrays.load(model["folder"], f"{level}-{shard}")
         out = []
-        for block, asked in zip(table.column("block").to_pylist(), table.column("keys").to_pylist()):
-            keys = unpack_sorted(asked)
+        for block, asked in zip(table.column("block").to_pylist(), table.column("keys")):
+            keys = unpack_sorted(asked.as_buffer())
             row = {"block": block, "level": level, "shard": shard, "n": len(keys), "checksum": checksum(keys)}
             if stored is None or not len(stored["keys"]):
                 values = {f: np.zeros(len(keys), KINDS[f]) for f in fields}
@@ -407,7 +445,10 @@ def _answered(model: dict) -> Callable:
                     total = values["total"].astype(np.float64)
                     values["rest"] = sum(x * y for x, y in zip(d, seen)) / np.maximum(total, 1)
             out.append(row | {f: pack(v.astype(KINDS[f])) for f, v in values.items()})
-        return pa.Table.from_batches([_rows(out, ANSWERED)])
+        found = pa.Table.from_batches([_rows(out, ANSWERED)])
+        del out, stored
+        trim()
+        return found
 
     return answer
 
@@ -435,6 +476,8 @@ def _gathered(order: int, folder: str) -> Callable:
                     values = values.astype("<u4")
                 arrays[f"{f}-{level}"] = values
         shared_arrays.save(folder, f"block-{block}", arrays)
+        del rows, arrays
+        trim()
         return pa.table({"block": [block], "n": [n]})
 
     return gather
@@ -450,11 +493,13 @@ def _scored(model: dict, folder: str, block_tokens: int, names: list[str]) -> Ca
             p = np.full(len(words), 1 / (model["vocabulary"] + 1))
             total = np.full(len(words), model["total"])
             rest = np.full(len(words), model["rest"])
-            for level, keys, distinct in _wanted(words, place, order):
-                if answers is None or answers[f"check-{level}"].tolist() != [len(distinct), checksum(distinct)]:
+            for level, ends, keys in _levels(words, place, order):
+                keys, inverse = np.unique(keys, return_inverse=True)
+                at = np.zeros(len(words), np.int64)
+                at[ends] = inverse
+                if answers is None or answers[f"check-{level}"].tolist() != [len(keys), checksum(keys)]:
                     raise ValueError("the documents were cut into other blocks when they were read again")
                 count = widened({name: answers[f"{name}-{level}"] for name in ("count", "wide_at", "wide")})
-                at = np.minimum(np.searchsorted(distinct, keys), max(len(distinct) - 1, 0))
                 real = (place >= max(level - 1, 1)) & (total > 0)
                 own = at[real]
                 p[real] = discounted(count[own], discounts[level - 1]) / total[real] + rest[real] * p[real]

@@ -66,8 +66,7 @@ def corpus(seed, n, words):
     return [" ".join(rng.choices([f"W{k}" for k in range(words)], weights, k=rng.randrange(60))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("order", [2, 3, 4])
-@pytest.mark.parametrize("words", [3, 40, 2000])
+@pytest.mark.parametrize("order, words", [(2, 40), (2, 2000), (3, 3), (4, 40)])
 def test_scores(spark, docs_of, monkeypatch, order, words):
     monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 300)
     train = corpus(1, 150, words) + [None, "", "the THE Éa éa\tÉA"]
