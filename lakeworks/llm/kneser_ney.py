@@ -52,7 +52,7 @@ ORDER = 2
 #: Counts below this are one byte in a file.
 WIDE = 255
 #: Tokens of a block, text bytes that are split at a time, tokens that a shard stands for.
-BLOCK_TOKENS, SLICE_BYTES, SHARD_TOKENS = 1_000_000, 1 << 20, 1_000_000
+BLOCK_TOKENS, SLICE_BYTES, SHARD_TOKENS = 400_000, 1 << 19, 1_000_000
 #: Bytes of text for a token, to choose the number of shards; it bears on no result.
 TOKEN_BYTES = 6
 #: Discounts where the counts of counts have gaps (small corpora).

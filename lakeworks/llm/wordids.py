@@ -8,8 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from lakeworks.llm.arrays import text_slices
-
 
 def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Numbers of the words of all texts, the first word of each text (one more at the end), the distinct words.
@@ -36,5 +34,15 @@ def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 def row_runs(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Runs of rows whose texts have about ``most`` bytes together; a longer text is a run of its own."""
-    for first, _, offsets in text_slices(texts, most):
-        yield first, first + len(offsets) - 1
+    n = len(texts)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    if not n:
+        return
+    # read in place: a copy of the column would cost as much memory as all its texts
+    offsets = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + n + 1].astype(np.int64)
+    first = 0
+    while first < n:
+        last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
+        last = min(max(last, first + 1), n)
+        yield first, last
+        first = last
