@@ -6,7 +6,7 @@ can be checked against the table the files were made from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators import storage
@@ -18,25 +18,42 @@ from lakeworks.session import scratch_path
 from lakeworks.sources import documents, files, formats
 from lakeworks.streaming import pipeline
 
-#: Records per written file; small, so that every trip reads several files.
-FILE_ROWS = 1000
+#: Keys of one file at most, and the files a small table is dealt into.
+FILE_KEYS, FEW_FILES = 1_000_000, 5
 
 
-def _write_files(rows: DataFrame, key: str, record: Column, between: str, head: str, tail: str) -> str:
-    """One file per block of ``FILE_ROWS`` unique keys: head, records, tail; returns the file glob."""
+def _write_files(rows: DataFrame, key: str, record: Column, end: str, head: str = "", between: str = "", tail: str = "") -> str:
+    """Files of adjoining keys, in order: head, records with ``between`` them, tail.
+
+    ``end`` follows every record.  A table of few keys makes ``FEW_FILES`` files,
+    a large one files of ``FILE_KEYS`` keys each.  A file is written record by
+    record and never gathered.  Returns the glob of the files' folders.
+    """
     path = scratch_path(rows.sparkSession, "files")
-    block = F.floor(F.col(key) / FILE_ROWS).alias("block")
-    items = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), record.alias("r"))))
-    whole = rows.groupBy(block).agg(F.array_join(F.transform(items, lambda i: i["r"]), between).alias("body"))
-    text = F.concat(F.lit(head), F.col("body"), F.lit(tail)).alias("value")
-    whole.select(text, "block").write.partitionBy("block").option("lineSep", "\n").text(path)
+    most = rows.agg(F.max(key)).first()[0] or 0
+    file = F.expr(f"{key} div {file_width(most)}").alias("file")
+    placed = rows.select(file, F.col(key).alias("k"), record.alias("r"))
+    order = Window.partitionBy("file").orderBy("k", "r")
+    first, last = F.row_number().over(order) == 1, F.lead("k").over(order).isNull()
+    text = F.concat(F.when(first, F.lit(head)).otherwise(F.lit("")), "r", F.when(last, F.lit(tail)).otherwise(F.lit(between)))
+    lines = placed.select("file", "k", text.alias("value")).sortWithinPartitions("file", "k").select("file", "value")
+    lines.write.partitionBy("file").option("lineSep", end).text(path)
     return f"{path}/*"
 
 
+def file_width(most: int) -> int:
+    """Keys of a file for keys up to ``most``."""
+    return min(FILE_KEYS, max(1, -(-(most + 1) // FEW_FILES)))
+
+
+#: Lines of one log file.
+LOG_FILE_ROWS = 100_000
+
+
 def two_header_rows(t: Tables) -> DataFrame:
     """Percent-delimited, two header rows per file, columns picked by position."""
     record = F.concat_ws("%", F.concat(F.col("p_name"), F.lit("  ")), F.col("p_partkey").cast("string"))
-    path = _write_files(t.part, "p_partkey", record, "\n", "FRUITS\nname%id\n", "")
+    path = _write_files(t.part, "p_partkey", record, "\n", "FRUITS\nname%id\n")
     rows = formats.read_positional(
         t.spark, path, formats.PERCENT_TWO_HEADERS, {"fruit_id": 2, "fruit_name": 1}, width=2
     )
@@ -46,7 +63,7 @@ def two_header_rows(t: Tables) -> DataFrame:
 def caret_records(t: Tables) -> DataFrame:
     """Fields by ``=``, records by ``^`` with line breaks inside the first field."""
     record = F.concat_ws("=", F.concat(F.lit("\r\nC"), F.col("c_custkey").cast("string")), "c_mktsegment")
-    path = _write_files(t.customer, "c_custkey", record, "^", "", "^")
+    path = _write_files(t.customer, "c_custkey", record, "^")
     schema = struct(product_code="string", has_matching="string")
     rows = formats.read_delimited(t.spark, path, formats.EQUALS_CARET, schema)
     code = formats.without_line_breaks(F.col("product_code"))
@@ -57,7 +74,7 @@ def quoted_carriage_returns(t: Tables) -> DataFrame:
     """Pipe-delimited, quoted, records ended by carriage returns, one header row."""
     quoted = F.concat(F.lit('"'), F.col("s_name"), F.lit('|x"'))
     record = F.concat_ws("|", F.col("s_suppkey").cast("string"), quoted)
-    path = _write_files(t.supplier, "s_suppkey", record, "\r", "key|name\r", "\r")
+    path = _write_files(t.supplier, "s_suppkey", record, "\r", "key|name\r")
     return formats.read_delimited(t.spark, path, formats.PIPE_CR, struct(key="bigint", name="string"))
 
 
@@ -65,21 +82,21 @@ def comma_file(t: Tables) -> DataFrame:
     """Comma-separated, one header row, quoted fields that hold the delimiter."""
     quoted = F.concat(F.lit('"'), F.col("c_name"), F.lit(", x"), F.lit('"'))
     record = F.concat_ws(",", F.col("c_custkey").cast("string"), quoted)
-    path = _write_files(t.customer, "c_custkey", record, "\n", "id,name\n", "")
+    path = _write_files(t.customer, "c_custkey", record, "\n", "id,name\n")
     return formats.read_delimited(t.spark, path, formats.COMMA_QUOTED, struct(id="bigint", name="string"))
 
 
 def tab_file(t: Tables) -> DataFrame:
     """Tab-separated, trailing blanks trimmed."""
     record = F.concat_ws("\t", F.col("p_partkey").cast("string"), F.concat("p_name", F.lit("  ")))
-    path = _write_files(t.part, "p_partkey", record, "\n", "id\tname\n", "")
+    path = _write_files(t.part, "p_partkey", record, "\n", "id\tname\n")
     return formats.read_delimited(t.spark, path, formats.TAB, struct(id="bigint", name="string"))
 
 
 def semicolon_records(t: Tables) -> DataFrame:
     """Fields by pipe, records by semicolon."""
     record = F.concat_ws("|", F.col("s_suppkey").cast("string"), F.col("s_name"))
-    path = _write_files(t.supplier, "s_suppkey", record, ";", "", ";")
+    path = _write_files(t.supplier, "s_suppkey", record, ";")
     rows = formats.read_delimited(t.spark, path, formats.PIPE_SEMICOLON, struct(key="bigint", name="string"))
     return rows.filter("key is not null")
 
@@ -88,7 +105,7 @@ def json_lines(t: Tables) -> DataFrame:
     """JSON lines with broken ones among them: per kind of event, lines read and lines rejected."""
     whole = F.to_json(F.struct("event_id", "event_type"))
     record = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("{"), "event_type")).otherwise(whole)
-    path = _write_files(t.events, "event_id", record, "\n", "", "")
+    path = _write_files(t.events, "event_id", record, "\n")
     good, bad = documents.split_json_lines(formats.read_lines(t.spark, path))
     kinds = good.select(F.variant_get("raw", "$.event_type", "string").alias("event_type"), F.lit(1).alias("good"))
     broken = bad.select(F.substring("line", 2, 100).alias("event_type"), F.lit(0).alias("good"))
@@ -116,28 +133,28 @@ def bad_records(t: Tables) -> DataFrame:
     """Only the records that do not fit, as text."""
     amount = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("user_id").cast("string"))
     record = F.concat_ws(",", F.col("event_id").cast("string"), amount)
-    path = _write_files(t.events, "event_id", record, "\n", "id,amount\n", "")
+    path = _write_files(t.events, "event_id", record, "\n", "id,amount\n")
     schema = struct(id="bigint", amount="bigint")
     found = formats.read_delimited(t.spark, path, formats.COMMA_QUOTED, schema, on_error="report")
     return found.select("id", formats.BAD_RECORD)
 
 
 def file_rows(t: Tables) -> DataFrame:
-    """Per file, known by its block of keys: rows, highest row number, distinct row numbers."""
+    """Per file, known by its first key: rows, highest row number, distinct row numbers."""
     record = F.col("event_id").cast("string")
-    path = _write_files(t.events, "event_id", record, "\n", "", "")
-    numbered = files.with_row_numbers(formats.read_lines(t.spark, path))
-    block = F.floor(F.col("value").cast("bigint") / FILE_ROWS)
-    return numbered.groupBy(block.alias("block")).agg(
+    path = _write_files(t.events, "event_id", record, "\n")
+    numbered = files.with_row_numbers(formats.read_lines(t.spark, path.removesuffix("/*")))
+    return numbered.groupBy("file").agg(
+        F.min(F.col("value").cast("bigint")).alias("first_key"),
         F.count("*").alias("n_rows"),
         F.max("file_row").alias("last_row"),
         F.count_distinct("file_row").alias("n_numbers"),
-    )
+    ).drop("file")
 
 
 def files_and_rows(t: Tables) -> DataFrame:
     """File listing joined with the row count of each file."""
-    path = _write_files(t.orders, "o_orderkey", F.col("o_orderkey").cast("string"), "\n", "", "")
+    path = _write_files(t.orders, "o_orderkey", F.col("o_orderkey").cast("string"), "\n")
     listed = files.list_files(t.spark, path.removesuffix("/*"), "part-*")
     counted = files.rows_per_file(formats.read_lines(t.spark, path))
     return listed.join(counted, "file_url").agg(
@@ -151,7 +168,7 @@ def json_arrays(t: Tables) -> DataFrame:
     """Outer JSON arrays, one variant per element with its row number in the file."""
     record = F.to_json(F.struct("c_custkey", "c_name", F.lit(None).cast("string").alias("middle")),
                        {"ignoreNullFields": "false"})
-    path = _write_files(t.customer, "c_custkey", record, ",\n", "[", "]")
+    path = _write_files(t.customer, "c_custkey", record, "\n", "[", ",", "]")
     rows = documents.read_json_array(t.spark, path, numbered=True)
     key = F.variant_get("raw", "$.c_custkey", "bigint")
     return rows.select(
@@ -162,6 +179,32 @@ def json_arrays(t: Tables) -> DataFrame:
     )
 
 
+def json_elements(t: Tables) -> DataFrame:
+    """Array files cut into their elements where they are read, however large a file is.
+
+    The strings hold commas, brackets, quotes and backslashes.
+    """
+    tricky = F.concat(F.lit('},[{"'), "o_orderpriority", F.lit('\\",]\\'))
+    record = F.to_json(F.struct("o_orderkey", tricky.alias("note"), F.array("o_custkey", "o_orderkey").alias("keys")))
+    path = _write_files(t.orders, "o_orderkey", record, "\n", "\n [", " ,", "]")
+    rows = documents.read_json_array(t.spark, path, numbered=True, whole_file_bytes=0)
+    return rows.select(
+        F.variant_get("raw", "$.o_orderkey", "bigint").alias("o_orderkey"),
+        F.variant_get("raw", "$.note", "string").alias("note"),
+        F.variant_get("raw", "$.keys[0]", "bigint").alias("o_custkey"),
+        "file_row",
+    )
+
+
+def quoted_line_breaks(t: Tables) -> DataFrame:
+    """Quoted fields with line breaks, commas and doubled quotes, read in pieces."""
+    field = F.concat(F.lit('"'), "c_name", F.lit('\nsaid ""'), "c_mktsegment", F.lit('"",\n\n"'))
+    record = F.concat_ws(",", F.col("c_custkey").cast("string"), field)
+    path = _write_files(t.customer, "c_custkey", record, "\n", 'id,"a\nname"\n')
+    fmt = formats.Format(quote='"', header_rows=1, breaks_in_quotes=True)
+    return formats.read_delimited(t.spark, path, fmt, struct(id="bigint", name="string"))
+
+
 def incremental_load(t: Tables) -> DataFrame:
     """Log files through both streaming queries into the enriched table."""
     spark = t.spark
@@ -170,7 +213,7 @@ def incremental_load(t: Tables) -> DataFrame:
         "ip_address", "user_login", "user_event", F.col("datetime_iso8601").cast("string").alias("datetime_iso8601")
     )
     lines = standins.logs(t).select(F.to_json(fields).alias("value"))
-    lines.write.option("maxRecordsPerFile", FILE_ROWS).text(f"{base}/files")
+    lines.write.option("maxRecordsPerFile", LOG_FILE_ROWS).text(f"{base}/files")
     keyed = with_join_keys(standins.locations(t))
     pipeline.run_chain(
         lambda: pipeline.ingest_files(spark, f"{base}/files", f"{base}/landing", f"{base}/ckpt-files"),

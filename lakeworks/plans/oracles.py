@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from lakeworks.functions.temporal import TIME_OF_DAY
+from lakeworks.operators.sessions import LENGTH_BUCKETS, LONGEST_BUCKET
 from lakeworks.plans.catalog import NO_ACCESSORY
-from lakeworks.plans.filetrips import FILE_ROWS
+from lakeworks.plans.filetrips import FEW_FILES, FILE_KEYS
 from lakeworks.plans.standins import TRAIL_POINTS, YEAR_CODES, ZONES
 
 # --- shared fragments -------------------------------------------------------
@@ -14,6 +15,11 @@ def with_parts(query: str, *parts: str) -> str:
     return f"WITH {', '.join(parts)} {query}"
 
 
+def _width(table: str, key: str) -> str:
+    """Keys of a file, as the file trips deal them."""
+    return f"(SELECT least({FILE_KEYS}, greatest(1, (max({key}) + {FEW_FILES}) // {FEW_FILES})) FROM {table})"
+
+
 def ip_number(ip: str) -> str:
     weights = (16777216, 65536, 256, 1)
     terms = (f"CAST(split_part({ip}, '.', {i}) AS BIGINT) * {w}" for i, w in enumerate(weights, 1))
@@ -68,6 +74,10 @@ enh AS (
 
 ENHANCED = (LOGS, LOC, TOD, LOCATED, ENH)
 
+LENGTH_CASE = (
+    "CASE " + " ".join(f"WHEN game_session_length < {most} THEN '{name}'" for most, name in LENGTH_BUCKETS) + f" ELSE '{LONGEST_BUCKET}' END"
+)
+
 SESSIONS = """
 sess AS (
   SELECT gamer_name, tod_name, game_event_ltz AS login,
@@ -76,11 +86,7 @@ sess AS (
 sessions AS (
   SELECT *, coalesce(date_diff('minute', login, logout), 0) AS game_session_length FROM sess),
 grid AS (
-  SELECT CASE WHEN game_session_length < 10 THEN '< 10 mins'
-              WHEN game_session_length < 20 THEN '10 to 19 mins'
-              WHEN game_session_length < 30 THEN '20 to 29 mins'
-              WHEN game_session_length < 40 THEN '30 to 39 mins'
-              ELSE '> 40 mins' END AS session_length, tod_name
+  SELECT """ + LENGTH_CASE + """ AS session_length, tod_name
   FROM sessions WHERE logout IS NOT NULL)"""
 
 HISTORY = """
@@ -100,7 +106,7 @@ VEHICLES = f"""
 vehicles AS (
   SELECT 'W' || lpad(substr(p_brand, 7, 2), 2, '0') || rpad(upper(left(p_type, 5)), 5, 'X') || '0'
          || substr('{YEAR_CODES}', p_size % 30 + 1, 1) || substr('ABCDE', p_partkey % 5 + 1, 1)
-         || lpad(CAST(p_partkey % 1000000 AS VARCHAR), 6, '0') AS vin,
+         || lpad(CAST(p_partkey AS VARCHAR), greatest(6, length(CAST(p_partkey AS VARCHAR)))::INT, '0') AS vin,
          split_part(p_name, ' ', 1) AS exterior, split_part(p_name, ' ', 2) AS interior,
          p_brand, p_type, p_size, p_partkey
   FROM part)"""
@@ -417,13 +423,18 @@ ORACLES: dict[str, str] = {
     "bad_records":
         "SELECT event_id AS id, event_id || ',n/a' AS bad_record FROM events WHERE event_type = 'error'",
     "file_rows":
-        f"SELECT event_id // {FILE_ROWS} AS block, count(*) AS n_rows, count(*) AS last_row, count(*) AS n_numbers "
-        "FROM events GROUP BY block",
+        "SELECT min(event_id) AS first_key, count(*) AS n_rows, count(*) AS last_row, count(*) AS n_numbers "
+        f"FROM events GROUP BY event_id // {_width('events', 'event_id')}",
     "files_and_rows":
-        f"SELECT count(DISTINCT o_orderkey // {FILE_ROWS}) AS n_files, count(*) AS n_rows, true AS has_content "
+        f"SELECT count(DISTINCT o_orderkey // {_width('orders', 'o_orderkey')}) AS n_files, count(*) AS n_rows, true AS has_content "
         "FROM orders",
     "json_arrays":
         "SELECT c_custkey, c_name, true AS json_null, "
-        f"row_number() OVER (PARTITION BY c_custkey // {FILE_ROWS} ORDER BY c_custkey) AS file_row FROM customer",
+        f"row_number() OVER (PARTITION BY c_custkey // {_width('customer', 'c_custkey')} ORDER BY c_custkey) AS file_row FROM customer",
+    "json_elements":
+        "SELECT o_orderkey, '},[{\"' || o_orderpriority || '\\\",]\\' AS note, o_custkey, "
+        f"row_number() OVER (PARTITION BY o_orderkey // {_width('orders', 'o_orderkey')} ORDER BY o_orderkey) AS file_row FROM orders",
+    "quoted_line_breaks":
+        "SELECT c_custkey AS id, c_name || chr(10) || 'said \"' || c_mktsegment || '\",' || chr(10) || chr(10) AS name FROM customer",
     "incremental_load": with_parts("SELECT * FROM enh", *ENHANCED),
 }

@@ -496,6 +496,8 @@ QUERIES: dict[str, Query] = {
     "file_rows": filetrips.file_rows,
     "files_and_rows": filetrips.files_and_rows,
     "json_arrays": filetrips.json_arrays,
+    "json_elements": filetrips.json_elements,
+    "quoted_line_breaks": filetrips.quoted_line_breaks,
     "incremental_load": filetrips.incremental_load,
 }
 

@@ -109,12 +109,12 @@ def forecast(t: Tables) -> DataFrame:
 
 
 def vehicles(t: Tables) -> DataFrame:
-    """Parts as stock with a 17-character vehicle number."""
+    """Parts as stock with a vehicle number that ends in the whole key: six digits, more above a million parts."""
     number = (
         "concat('W', lpad(substr(p_brand, 7, 2), 2, '0'), rpad(upper(substr(p_type, 1, 5)), 5, 'X'), '0', "
         f"substr('{YEAR_CODES}', p_size % 30 + 1, 1), "
         "substr('ABCDE', CAST(p_partkey % 5 + 1 AS INT), 1), "
-        "lpad(CAST(p_partkey % 1000000 AS STRING), 6, '0'))"
+        "lpad(CAST(p_partkey AS STRING), greatest(6, length(CAST(p_partkey AS STRING))), '0'))"
     )
     return t.part.selectExpr(
         f"{number} AS vin",

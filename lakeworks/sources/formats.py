@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeworks.sources.files import with_row_numbers
+from lakeworks.sources.spans import spans, switches
 
 
 @dataclass(frozen=True)
@@ -20,6 +21,8 @@ class Format:
     quote: str | None = None
     trim: bool = False
     header_rows: int = 0
+    #: Quoted fields may hold the end of a record.
+    breaks_in_quotes: bool = False
 
     def options(self) -> dict[str, str]:
         options = {
@@ -71,7 +74,14 @@ def read_delimited(
     ``on_error``: ``permit`` turns unreadable fields into NULL, ``abort`` fails
     the job, ``report`` returns only the unreadable records with the record
     text in ``bad_record``.
+
+    Files whose quoted fields hold line breaks (``breaks_in_quotes``) are read in
+    pieces all the same; they need a schema.
     """
+    if fmt.breaks_in_quotes:
+        if schema is None or not fmt.quote:
+            raise ValueError("quoted line breaks need a quote and a schema")
+        return _read_across_lines(spark, path, fmt, schema, on_error)
     if fmt.header_rows > 1:
         if schema is None or on_error == "report":
             raise ValueError("several header rows need a schema and no error report")
@@ -125,6 +135,38 @@ def _read_skipping(
     return _all_fields_read(rows) if on_error == "abort" else rows
 
 
+def read_records(spark: SparkSession, path: str | list[str], fmt: Format) -> DataFrame:
+    """Records of delimited files as text, their quoted line breaks kept: file_path, file_name, number (from 0), value.
+
+    The quote character doubled inside a field switches twice, so the number of
+    quotes in a line tells whether it opens or closes a field.
+    """
+    separator = fmt.record or "\n"
+    lines = spark.read.option("lineSep", separator).text(path)
+    found = spans(lines, separator, switches(F.col("value"), fmt.quote))
+    return found.select("file_path", "file_name", "number", "value")
+
+
+def _read_across_lines(
+    spark: SparkSession, path: str | list[str], fmt: Format, schema: str | T.StructType, on_error: str
+) -> DataFrame:
+    """Records that may span lines, parsed one by one; header records are dropped from every file."""
+    records = read_records(spark, path, fmt).filter(F.col("number") >= fmt.header_rows)
+    value = F.col("value") if fmt.record else F.regexp_replace("value", r"\r\z", "")
+    body = records.select(value.alias("value")).filter(F.trim("value") != "")
+    wanted = _as_struct(schema)
+    options = {k: v for k, v in fmt.options().items() if k != "lineSep"}
+    options["mode"] = "FAILFAST" if on_error == "abort" else "PERMISSIVE"
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.fields]
+    if on_error == "report":
+        fields.append(f"{BAD_RECORD} string")
+        options["columnNameOfCorruptRecord"] = BAD_RECORD
+    rows = body.select(F.from_csv("value", ", ".join(fields), options).alias("r")).select("r.*")
+    if on_error == "report":
+        return rows.filter(F.col(BAD_RECORD).isNotNull())
+    return _all_fields_read(rows) if on_error == "abort" else rows
+
+
 def read_lines(
     spark: SparkSession, path: str | list[str], record: str | None = None
 ) -> DataFrame:
