@@ -120,11 +120,64 @@ def range_join(
     return joined.drop("_point") if keep_bucket else joined.drop("_point", "_bucket")
 
 
-def ip_range_join(
-    logs: DataFrame, locations: DataFrame, ip: str = "ip_address", bits: int = PREFIX_BITS
+#: Levels of a cover lie so many bits apart.
+COVER_STEP = 4
+
+
+def with_cover(ranges: DataFrame, start: str, end: str, level: str, block: str, step: int = COVER_STEP) -> DataFrame:
+    """One row per aligned block of a range: ``block`` counts blocks of ``2**level`` values.
+
+    The blocks of a range are disjoint, fill it exactly and are as large as
+    alignment allows, so there are at most ``2 * (2**step - 1)`` at each level, and
+    with ``step=1`` at most two.  Only every ``step``-th level is used.  Bounds are
+    bigints from 0 to 2**62; other ranges and empty ones have no blocks.
+    """
+    one = F.lit(1).cast("bigint")
+    first, last = F.col(start).cast("bigint"), F.col(end).cast("bigint")
+    top = F.floor(F.log2((last - first + 1).cast("double"))).cast("int")
+    valid = ranges.filter((first >= 0) & (first <= last) & (last <= (1 << 62)))
+    leveled = valid.withColumn(level, F.explode(F.sequence(F.lit(0), F.greatest(top, F.lit(0)), F.lit(step))))
+
+    def inside(shift: Column) -> tuple[Column, Column]:
+        """First and last whole block of this level inside the range."""
+        size = F.call_function("shiftleft", one, shift)
+        low = F.call_function("shiftright", first + size - 1, shift)
+        return low, F.call_function("shiftright", last + 1, shift) - 1
+
+    low, high = inside(F.col(level))
+    parent_low, parent_high = inside(F.col(level) + step)
+    parent = (F.col(level) + step <= 62) & (parent_low <= parent_high)
+    left_end = F.when(parent, F.least(high, F.shiftleft(parent_low, step) - 1)).otherwise(high)
+    right_start = F.when(parent, F.greatest(low, F.shiftleft(parent_high + 1, step)))
+
+    def listed(a: Column, z: Column) -> Column:
+        return F.when(a <= z, F.sequence(a, z)).otherwise(F.array().cast("array<bigint>"))
+
+    return leveled.withColumn(block, F.explode(F.concat(listed(low, left_end), listed(right_start, high))))
+
+
+def cover_join(
+    points: DataFrame, ranges: DataFrame, point: Column, start: str, end: str, step: int = COVER_STEP
 ) -> DataFrame:
+    """All pairs with ``start <= point <= end``, as a hash join without a residual condition.
+
+    Every range is cut into aligned blocks; a point is tried once for each level
+    that occurs, at most ``64 / step`` times, and meets a range in exactly one of its
+    blocks.  Wide and narrow ranges mix freely, and many narrow ranges close to
+    each other share no bucket.  The levels are the only thing the driver sees.
+    """
+    cover = with_cover(ranges, start, end, "_level", "_block", step)
+    levels = sorted(r["_level"] for r in cover.select("_level").distinct().collect()) or [0]
+    # NULL becomes -1, which lies in no block
+    tried = points.withColumn("_point", F.coalesce(point.cast("bigint"), F.lit(-1)))
+    tries = F.array(*[F.struct(F.lit(k).alias("_level"), F.shiftright("_point", k).alias("_block")) for k in levels])
+    tried = tried.withColumn("_try", F.explode(tries)).select(*points.columns, "_try._level", "_try._block")
+    return tried.join(sized_lookup(cover), ["_level", "_block"]).drop("_level", "_block")
+
+
+def ip_range_join(logs: DataFrame, locations: DataFrame, ip: str = "ip_address") -> DataFrame:
     """Logs with the location whose address range holds their IP."""
-    return range_join(logs, locations, ip_to_int(ip), "start_ip_int", "end_ip_int", bits)
+    return cover_join(logs, locations, ip_to_int(ip), "start_ip_int", "end_ip_int")
 
 
 def with_join_keys(locations: DataFrame, bits: int = PREFIX_BITS) -> DataFrame:

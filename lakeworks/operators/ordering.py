@@ -9,16 +9,24 @@ from pyspark.sql import functions as F
 GROUP_ROWS = 4_000_000
 
 
+#: Slices of one position are numbered below this; slices of other positions lie this far apart.
+POSITION_SLICES = 1 << 31
+
+
 def large_groups(
-    df: DataFrame, group: list[str], position: Column, group_rows: int = GROUP_ROWS
+    df: DataFrame, group: list[str], position: Column, group_rows: int = GROUP_ROWS, order: str | None = None
 ) -> DataFrame | None:
     """Groups of more than ``group_rows`` rows, with cuts of their positions; None if there are none.
 
+    With ``order`` the table also lists the positions where more than
+    ``group_rows`` rows of one value pile up, and how many slices they need.
+
     The cuts are approximate quantiles, so slices hold about equally many rows
     however the positions lie.  The table has at most rows/``group_rows``
     entries, and about as many cuts in all, which is what makes its broadcast safe.
     """
-    named = df.select(*[F.col(g).alias(f"_g_{g}") for g in group], position.cast("double").alias("_pos"))
+    value = F.lit(None) if order is None else F.col(order)
+    named = df.select(*[F.col(g).alias(f"_g_{g}") for g in group], position.cast("double").alias("_pos"), value.alias("_value"))
     keys = [f"_g_{g}" for g in group]
     counted = named.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > group_rows)
     most = counted.agg(F.max("_rows")).first()[0]
@@ -31,7 +39,21 @@ def large_groups(
         same = same & F.col(k).eqNullSafe(F.col(f"_w{k}"))
     at = F.array(*[F.lit(k / parts) for k in range(1, parts)])
     cuts = F.array_distinct(F.percentile_approx("_pos", at, F.lit(min(20 * parts, 1_000_000))))
-    return named.join(F.broadcast(wanted), same, "left_semi").groupBy(*keys).agg(cuts.alias("_cuts"))
+    rows = named.join(F.broadcast(wanted), same, "left_semi")
+    found = rows.groupBy(*keys).agg(cuts.alias("_cuts"))
+    if order is None:
+        return found
+    piles = (
+        rows.groupBy(*keys, "_pos")
+        .agg(F.count("*").alias("_n"), F.min("_value").eqNullSafe(F.max("_value")).alias("_one_value"))
+        .filter((F.col("_n") > group_rows) & F.col("_one_value"))
+    )
+    pile = F.struct(F.col("_pos").alias("pos"), F.ceil(F.col("_n") / group_rows).alias("parts"))
+    listed = piles.groupBy(*[F.col(k).alias(f"_p{k}") for k in keys]).agg(F.collect_list(pile).alias("_piles"))
+    at = F.lit(True)
+    for k in keys:
+        at = at & F.col(k).eqNullSafe(F.col(f"_p{k}"))
+    return found.join(listed, at, "left").select(*keys, "_cuts", "_piles")
 
 
 def with_slices(
@@ -39,14 +61,24 @@ def with_slices(
 ) -> DataFrame:
     """Add ``_slice``, which never decreases with ``position`` inside a group.
 
-    Rows without a position come first, in slice 0.  Rows of groups not in
-    ``large`` get slice 0 (``how="left"``) or drop out (``how="inner"``).
+    Rows without a position come first.  A position where rows pile up is a slice
+    of its own, dealt by the rows' hash into as many as it needs.  Rows of groups
+    not in ``large`` get slice 0 (``how="left"``) or drop out (``how="inner"``).
     """
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    number = F.size(F.filter("_cuts", lambda cut: cut < position.cast("double")))
-    sliced = F.when(position.isNull() | F.col("_cuts").isNull(), 0).otherwise(number)
+    at = position.cast("double")
+    number = F.size(F.filter("_cuts", lambda cut: cut < at))
+    own = F.lit(1)
+    if "_piles" in large.columns:
+        piles = F.coalesce("_piles", F.array().cast(large.schema["_piles"].dataType))
+        # a piled position lies alone: one step up before it and one behind it
+        number = number + F.size(F.filter(piles, lambda p: p["pos"] <= at)) + F.size(F.filter(piles, lambda p: p["pos"] < at))
+        own = F.coalesce(F.get(F.filter(piles, lambda p: p["pos"].eqNullSafe(at)), 0)["parts"], F.lit(1))
+    dealt = F.pmod(F.xxhash64(*df.columns), own)
+    placed = F.when(position.isNull(), 0).otherwise(number + 1).cast("bigint") * POSITION_SLICES + dealt
+    sliced = F.when(F.col("_cuts").isNull(), 0).otherwise(placed)
     return df.join(F.broadcast(large), same, how).select(
         *[F.col(c) for c in df.columns], sliced.cast("bigint").alias("_slice")
     )
@@ -67,14 +99,17 @@ def with_next(
     come first.  A small job counts the groups first.  All rows are shuffled once,
     by group and slice.  Each slice of a large group also receives a copy of the
     first row of the following slice, so the last row of a slice finds its
-    neighbour without the group ever meeting in one task.
+    neighbour without the group ever meeting in one task.  That holds for rows
+    piled up at one value of ``order`` too, in whose order their hash decides;
+    rows that are equal in all columns stay together.
     """
     columns = df.columns
-    large = large_groups(df, group, position, group_rows)
+    large = large_groups(df, group, position, group_rows, order)
     if large is None:
         ahead = Window.partitionBy(*group).orderBy(order)
         return df.select("*", *[F.lead(v).over(ahead).alias(name) for name, v in values.items()])
-    row = F.struct(*[F.col(c) for c in [order, *(c for c in columns if c != order)]])
+    ordered = [order, *(c for c in columns if c != order)]
+    row = F.struct(*[F.col(c) for c in ordered])
     firsts = (
         with_slices(df, group, position, large, "inner")
         .groupBy(*[F.col(g).alias(f"_g_{g}") for g in group], "_slice")
@@ -89,7 +124,8 @@ def with_next(
         .select(*[F.col("_row")[c].alias(c) for c in columns], "_slice", F.lit(True).alias("_guest"))
     )
     rows = with_slices(df, group, position, large, "left").withColumn("_guest", F.lit(False))
-    ahead = Window.partitionBy(*group, "_slice").orderBy(order)
+    # the same order as that of the copied rows; of equal rows the copy comes last
+    ahead = Window.partitionBy(*group, "_slice").orderBy("_guest", *ordered)
     leads = [F.lead(v).over(ahead).alias(name) for name, v in values.items()]
     return rows.unionByName(guests).select("*", *leads).filter(~F.col("_guest")).drop(
         "_slice", "_guest"

@@ -120,3 +120,25 @@ def test_restrict_to_keys_does_not_multiply(spark):
     facts = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     assert joins.restrict_to_keys(facts, keys, "k").count() == 2
+
+
+def test_cover_join_equals_brute_force(spark):
+    rng = random.Random(9)
+    ranges = [(a, a + rng.choice([0, 1, 5, 255, 256, 70_000, 2**24, 2**31])) for a in (rng.randrange(2**32) for _ in range(60))]
+    ranges += [(0, 2**32 - 1), (0, 0), (2**32 - 1, 2**32 - 1), (5, 4), (2**61, 2**62), (None, 3), (-4, 9)]
+    points = [rng.randrange(2**32) for _ in range(150)] + [0, 2**32 - 1, 2**61, 2**62, None, -1]
+    points += [b + d for a, b in ranges[:30] for d in (0, 1)]
+    p = spark.createDataFrame(list(enumerate(points)), "id bigint, v bigint")
+    r = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(ranges)], "rid bigint, lo bigint, hi bigint")
+    want = sorted(
+        (i, j) for i, v in enumerate(points) for j, (a, b) in enumerate(ranges) if None not in (v, a, b) and 0 <= a <= v <= b
+    )
+    for step in (1, 4, 7):
+        got = joins.cover_join(p, r, F.col("v"), "lo", "hi", step)
+        assert pairs(got, "id", "rid") == want
+        assert "NestedLoop" not in plan(got)
+        blocks = joins.with_cover(r, "lo", "hi", "level", "block", step)
+        sizes = blocks.groupBy("rid", "lo", "hi").agg(F.sum(F.expr("shiftleft(1L, level)")).alias("n"))
+        assert sizes.filter("n <> hi - lo + 1").count() == 0
+        assert blocks.groupBy("rid", "level").count().agg(F.max("count")).first()[0] <= 2 * (2**step - 1)
+    assert joins.cover_join(p, r.limit(0), F.col("v"), "lo", "hi").count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions.temporal import second_index
 from lakeworks.operators import aggregates, sessions
-from lakeworks.operators.ordering import large_groups, with_next
+from lakeworks.operators.ordering import large_groups, with_next, with_slices
 
 
 def brute_next(rows):
@@ -102,3 +102,27 @@ def test_tallies_and_counts(spark):
     assert aggregates.any_match(df, F.col("v") == 2, "t").first()["t"] == 1
     assert aggregates.any_match(df, F.col("v") == 9, "t").first()["t"] == 0
     assert [tuple(r) for r in aggregates.duplicate_keys(df, ["g"]).collect()] == [("a", 2)]
+
+
+def test_rows_piled_on_one_instant_are_dealt(spark):
+    rows = [("g", 7, n) for n in range(900)] + [("g", None, n) for n in range(300)] + [("g", n, 1) for n in (1, 2, 6, 8, 9)]
+    rows += [("g", 20 + n // 200, n) for n in range(400)] + [(None, 3, n) for n in range(150)] + [("h", 1, 1)]
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    plain = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"))
+    got = with_next(df, ["g"], "o", {"no": "o", "nv": "v"}, F.col("o"), group_rows=100)
+    key = lambda r: str((r["g"], r["o"], r["no"]))
+    assert sorted(map(key, got.collect())) == sorted(map(key, plain.collect()))
+    # every row but a group's first is the next of exactly one row
+    followed = got.filter("nv IS NOT NULL").groupBy("g", "no", "nv").count()
+    assert followed.filter("count > 1").count() == 0 and got.filter("nv IS NULL").count() == 3
+    large = large_groups(df, ["g"], F.col("o"), 100, "o")
+    sizes = with_slices(df, ["g"], F.col("o"), large, "inner").groupBy("g", "_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] < 200
+
+
+def test_piles_of_different_values_are_not_dealt_by_hash(spark):
+    rows = [("g", 2**60 + n // 40, n) for n in range(400)]  # all of one position as a double
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    got = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"), group_rows=50)
+    plain = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"))
+    assert sorted((r["o"], r["no"] or 0) for r in got.collect()) == sorted((r["o"], r["no"] or 0) for r in plain.collect())
