@@ -7,6 +7,7 @@ from lakeworks.operators.sessions import LENGTH_BUCKETS, LONGEST_BUCKET
 from lakeworks.plans.catalog import NO_ACCESSORY
 from lakeworks.plans.filetrips import FEW_FILES, FILE_KEYS
 from lakeworks.plans.standins import TRAIL_POINTS, YEAR_CODES, ZONES
+from lakeworks.plans.stored import ORACLES as STORED
 
 # --- shared fragments -------------------------------------------------------
 
@@ -437,4 +438,5 @@ ORACLES: dict[str, str] = {
     "quoted_line_breaks":
         "SELECT c_custkey AS id, c_name || chr(10) || 'said \"' || c_mktsegment || '\",' || chr(10) || chr(10) AS name FROM customer",
     "incremental_load": with_parts("SELECT * FROM enh", *ENHANCED),
+    **STORED,
 }

@@ -17,6 +17,7 @@ from lakeworks.plans import (
     library,
     places,
     standins,
+    stored,
     trails,
     weather,
 )
@@ -499,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "json_elements": filetrips.json_elements,
     "quoted_line_breaks": filetrips.quoted_line_breaks,
     "incremental_load": filetrips.incremental_load,
+    **stored.QUERIES,
 }
 
 

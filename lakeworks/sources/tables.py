@@ -19,10 +19,15 @@ def project_cast(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame
     return df.select(*[F.col(c).cast(t).alias(name) for name, (c, t) in fields.items()])
 
 
+#: Column that names the file a row of an external table comes from.
+FILE_NAME = "my_filename"
+
+
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Catalog table over Parquet files that stay where they are, plus their file name."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` USING parquet LOCATION '{path}'")
-    return spark.table(name).select("*", F.col("_metadata.file_name").alias("my_filename"))
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path, "parquet")
+    return spark.table(name).select("*", F.col("_metadata.file_name").alias(FILE_NAME))
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], **columns: str) -> DataFrame:

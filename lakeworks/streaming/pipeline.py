@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from lakeworks.functions.variants import get_key
-from lakeworks.operators.joins import BROADCAST_BYTES, measured_bytes
+from lakeworks.operators import storage
+from lakeworks.operators.joins import BROADCAST_BYTES, measured_bytes, sized_lookup
 from lakeworks.operators.tables import rows_to_insert
 from lakeworks.schemas import struct
 from lakeworks.sources.documents import file_values, rejected_files
@@ -137,7 +138,8 @@ def read_target(
     """Inserted rows, with the day, run and batch of their folder.
 
     With ``days`` only their folders and that of rows without a day are listed
-    and read.
+    and read.  Folders that :mod:`lakeworks.streaming.compaction` has replaced are
+    left out.
     """
     added = [T.StructField(DAY, T.DateType()), T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
     full = T.StructType([*schema.fields, *added])
@@ -145,7 +147,35 @@ def read_target(
     paths = [path for path in paths if exists(spark, path)]
     if not paths:
         return spark.createDataFrame([], full).limit(0)
-    return spark.read.schema(full).option("basePath", target).parquet(*paths)
+    return live_rows(spark.read.schema(full).option("basePath", target).parquet(*paths), target)
+
+
+def generations_of(target: str) -> str:
+    """Where the compactions of a target are recorded."""
+    return f"{target.rstrip('/')}-generations"
+
+
+#: Runs of this name hold what a compaction wrote.
+COMPACTED = "compacted-"
+
+
+def live_rows(rows: DataFrame, target: str) -> DataFrame:
+    """Rows without those of folders that a published compaction replaced, or that an unpublished one wrote.
+
+    The newest record says for each folder it names whether it counts.  A folder
+    of a compaction counts only if it is named, any other one unless it is named
+    as replaced.
+    """
+    spark = rows.sparkSession
+    if not storage.versions(spark, generations_of(target)):
+        return rows.filter(~F.col(RUN).startswith(COMPACTED))
+    named = storage.read(spark, generations_of(target))
+    same = F.lit(True)
+    for column in (DAY, RUN, BATCH):
+        same = same & F.col(column).eqNullSafe(F.col(f"_named{column}"))
+    known = named.select(*[F.col(c).alias(f"_named{c}") for c in (DAY, RUN, BATCH)], F.col("live").alias("_live"))
+    counts = F.coalesce("_live", ~F.col(RUN).startswith(COMPACTED))
+    return rows.join(sized_lookup(known), same, "left").filter(counts).select(*rows.columns)
 
 
 def insert_batch(
