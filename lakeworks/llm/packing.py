@@ -17,34 +17,44 @@ no rows.  Only the id and text columns are read.  A null id is kept as null.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeworks.llm.arrays import slices
+from lakeworks.llm.arrays import trim
+from lakeworks.llm.wordids import row_runs
 from lakeworks.session import cut_lineage
 
 CAPACITY = 1024
 CLOSING_ID = 2
 #: Rows of one length that are ranked together, and the most groups a length is dealt into.
 RANK_ROWS, RANK_GROUPS = 1000, 10_000
-#: Distinct space-separated chunks whose ids a worker remembers.
-MEMO = 200_000
+#: Distinct space-separated chunks whose ids a worker remembers, and bytes of text encoded together.
+MEMO, SLICE_BYTES = 500_000, 1 << 20
+#: A blank after any white space, or the beginning of a marker.
+ODD = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] |<\|"
 
 
 def _encoder(model: str):
-    """Text to little-endian 32-bit ids.
+    """One text to its little-endian 32-bit ids."""
+    column = _column_encoder(model)
+    return lambda text: column(pa.array([text], pa.string()))[0].tobytes()
+
+
+def _column_encoder(model: str):
+    """Texts to 32-bit ids: all ids of a text column, and the first id of each text (one more at the end).
 
     A blank after a non-blank always starts a new unit of this vocabulary's
-    splitting pattern, so such chunks are encoded one by one and remembered.
-    Texts with a blank after white space, or with the closing marker written
-    out, are encoded as a whole.
+    splitting pattern, so the chunks between blanks are encoded one by one: each
+    distinct one of a column once, remembered for the next.  Texts with a blank
+    after white space, or with the closing marker written out, are encoded as a
+    whole.
     """
     import public_tokenizers
     import tiktoken
@@ -55,7 +65,6 @@ def _encoder(model: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     plain = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     whole = Tokenizer.from_file(model)
-    odd = re.compile(r"\s |<\|")
     memo: dict[str, bytes] = {}
 
     def chunk(text: str) -> bytes:
@@ -64,15 +73,34 @@ def _encoder(model: str):
         ids = memo[text] = np.array(plain.encode_ordinary(text), dtype="<u4").tobytes()
         return ids
 
-    def encode(text: str) -> bytes:
-        if odd.search(text) or text.startswith(" "):
-            return np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        first, *rest = text.split(" ")
-        parts = [chunk(first)]
-        for part in rest:
-            part = " " + part
-            parts.append(memo.get(part) or chunk(part))
-        return b"".join(parts)
+    def by_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        offsets = np.asarray(lists.offsets).astype(np.int64)
+        offsets = offsets - offsets[0]
+        coded = pc.dictionary_encode(lists.flatten())
+        code = np.asarray(coded.indices).astype(np.int64) * 2 + 1  # odd: behind a blank
+        code[offsets[:-1]] -= 1
+        distinct, inverse = np.unique(code, return_inverse=True)
+        words = coded.dictionary.take(pa.array(distinct >> 1)).to_pylist()
+        words = [f" {w}" if k else w for w, k in zip(words, (distinct & 1).tolist())]
+        encoded = [memo.get(w) or chunk(w) for w in words]
+        pool = np.frombuffer(b"".join(encoded), dtype="<u4")
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        starts, n = np.cumsum(sizes) - sizes, sizes[inverse]
+        before = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(n, out=before[1:])
+        ids = pool[np.repeat(starts[inverse] - before[:-1], n) + np.arange(before[-1])]
+        return ids, before[offsets]
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        odd = np.asarray(pc.or_(pc.match_substring_regex(texts, ODD), pc.starts_with(texts, " ")))
+        if not odd.any():
+            return by_chunks(texts)
+        ids, ends = by_chunks(pc.if_else(pa.array(odd), "", texts))
+        places = np.flatnonzero(odd)
+        others = {k: np.array(whole.encode(texts[k].as_py(), add_special_tokens=False).ids, dtype="<u4") for k in places.tolist()}
+        parts = [others[k] if k in others else ids[ends[k] : ends[k + 1]] for k in range(len(texts))]
+        return np.concatenate(parts), np.append(0, np.cumsum([len(x) for x in parts]))
 
     return encode
 
@@ -103,20 +131,27 @@ def pieces(
     model = model or default_model()
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     end = np.array([closing], dtype="<u4").tobytes()
+    slice_bytes = SLICE_BYTES
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(model)
-        for batch in slices(batches):
-            out: list[tuple] = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = (encode(t) if t else b"") + end
-                for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    out.append((k, number, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+        encode = _column_encoder(model)
+        for batch in batches:
+            for first, last in row_runs(batch.column(1), slice_bytes):
+                yield cut_texts(encode, batch.slice(first, last - first))
+        trim()
+
+    def cut_texts(encode: Callable, batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        ids_of_all, starts = encode(pc.fill_null(batch.column(1), ""))
+        for k, a, z in zip(batch.column(0).to_pylist(), starts[:-1].tolist(), starts[1:].tolist()):
+            ids = ids_of_all[a:z].tobytes() + end
+            for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
+                out.append((k, number, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
+        columns = list(zip(*out)) or [()] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+            names=["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
 
     return rows.mapInArrow(tokenise, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
