@@ -47,15 +47,17 @@ class LanguageModel:
 def sample_by_label(
     labelled: DataFrame, label: str, text: str, key: str, most: int, chars: int
 ) -> dict[str, tuple[int, list[str]]]:
-    """Count of each label and at most ``most`` text beginnings of it, chosen by the hash of a key.
+    """Count of each label and at most ``most`` text beginnings of it, chosen by a hash.
 
     A threshold on the hash is set from the counts, so no task ever gathers a
-    label's rows: only about twice the wanted number pass it.
+    label's rows: only about twice the wanted number pass it.  The hash is taken
+    over key, text and the row's place in its partition, so rows that share an id,
+    have none, or are the same in all, pass or fail each for itself.
     """
     rows = labelled.filter(F.col(label).isNotNull() & (F.length(text) > 0)).select(
         F.col(label).cast("string").alias("label"),
         F.substring(F.col(text), 1, chars).alias("text"),
-        F.xxhash64(F.lit("sample"), F.col(key)).alias("h"),
+        F.xxhash64(F.lit("sample"), F.col(key), F.col(text), F.monotonically_increasing_id()).alias("h"),
     )
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not counts:
@@ -109,11 +111,12 @@ def detect(
     names: tuple[str, str, str] = ("lang_pred", "score", "accepted"),
 ) -> DataFrame:
     """The input's columns with language, score and whether the margin suffices."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # a bounded number of bytes a language
+    # a bounded number of bytes a language; plain values, as workers may lack this package
+    held = docs.sparkSession.sparkContext.broadcast((dict(model.dictionaries), model.level))
 
     @F.pandas_udf("lang string, score double, margin double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coders = compressors(held.value.dictionaries, held.value.level)
+        coders = compressors(*held.value)
         for batch in batches:
             yield pd.DataFrame([_judge(t, coders) for t in batch], columns=["lang", "score", "margin"])
         trim()

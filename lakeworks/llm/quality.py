@@ -133,18 +133,19 @@ def score(
     names: tuple[str, str] = ("score", "predicted"),
 ) -> DataFrame:
     """The input's columns, the probability of label 1 and the label at ``threshold``."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of a bounded size
+    # two dictionaries of a bounded size; plain values, as workers may lack this package
+    held = docs.sparkSession.sparkContext.broadcast((model.bad, model.good, model.weights, model.prior, model.level))
 
     @F.pandas_udf("double")
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = held.value
-        coders = compressors({"bad": own.bad, "good": own.good}, own.level) if own.weights else {}
+        bad, good, weights, prior, level = held.value
+        coders = compressors({"bad": bad, "good": good}, level) if weights else {}
         for batch in batches:
-            if not own.weights or not len(batch):
-                yield pd.Series([own.prior] * len(batch), dtype="float64")
+            if not weights or not len(batch):
+                yield pd.Series([prior] * len(batch), dtype="float64")
                 continue
             points = np.array([features(t, coders) for t in batch])
-            logits = _terms(points[:, 0], points[:, 1]) @ np.array(own.weights)
+            logits = _terms(points[:, 0], points[:, 1]) @ np.array(weights)
             yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -30, 30))))
         trim()
 
