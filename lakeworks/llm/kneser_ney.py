@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm import shared_arrays
-from lakeworks.llm.arrays import mix, trim
+from lakeworks.llm.arrays import mix, trim, word_hashes
 from lakeworks.llm.wordids import row_runs, word_ids
 from lakeworks.session import cut_lineage, free_shuffles, remove_scratch, scratch_path
 
@@ -112,24 +112,13 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
 
 
 def word_keys(words: pa.Array) -> np.ndarray:
-    """Even 64-bit hashes of words: their length, then eight bytes at a time, each step mixed."""
+    """Even 64-bit hashes of words."""
     words = words.cast(pa.large_binary())
     n = len(words)
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + n + 1]
     data = words.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    at, left = offsets[:-1].copy(), np.diff(offsets)
-    keys = mix(left.astype(np.uint64))
-    lane = np.arange(8)
-    open_ = np.flatnonzero(left > 0)
-    while len(open_):
-        inside = lane < left[open_, None]
-        eight = np.where(inside, data[np.where(inside, at[open_, None] + lane, 0)], 0).astype(np.uint8).view(np.uint64).ravel()
-        keys[open_] = mix(keys[open_] + eight * np.uint64(0x9E3779B97F4A7C15))
-        at[open_] += 8
-        left[open_] -= 8
-        open_ = open_[left[open_] > 0]
-    keys &= ~np.uint64(1)
+    keys = word_hashes(data, offsets[:-1], offsets[1:]) & ~np.uint64(1)
     return np.where(keys <= END, keys + np.uint64(4), keys)
 
 
