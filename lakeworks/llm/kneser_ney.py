@@ -52,7 +52,7 @@ ORDER = 2
 #: Counts below this are one byte in a file.
 WIDE = 255
 #: Tokens of a block, text bytes that are split at a time, tokens that a shard stands for.
-BLOCK_TOKENS, SLICE_BYTES, SHARD_TOKENS = 400_000, 1 << 19, 1_000_000
+BLOCK_TOKENS, SLICE_BYTES, SHARD_TOKENS = 700_000, 1 << 19, 1_000_000
 #: Bytes of text for a token, to choose the number of shards; it bears on no result.
 TOKEN_BYTES = 6
 #: Discounts where the counts of counts have gaps (small corpora).
@@ -154,6 +154,8 @@ def blocks(batches: Iterator[pa.RecordBatch], text: int, block_tokens: int) -> I
             if held >= block_tokens:
                 yield number, pa.concat_tables(rows), np.concatenate(keys), np.concatenate(sizes)
                 number, held, rows, keys, sizes = number + 1, 0, [], [], []
+            del part
+        del batch  # before the next one is read, not after
     if rows:
         yield number, pa.concat_tables(rows), np.concatenate(keys), np.concatenate(sizes)
     trim()
