@@ -2,13 +2,15 @@
 
 A document's set holds its distinct shingles.  Equal sets are one node.  Many
 universal hash functions give each node its minima; bands of minima are bucket
-keys.  In every bucket the nodes of other components are tested against chosen
-centres: one at first, which settles most buckets, then the members outside the
-largest component, a few at a time, until each bucket is one component or all of
-its pairs across components were tested.  So no bucket is ever expanded into its
-pairs, and no pair that could join two components goes untested.  A test first
-compares sizes and signatures, then the full sets.  Links become components by
-large-star and small-star steps.
+keys.  A bucket is compared in the tasks that hold it, sizes and signatures first,
+then the full sets, and gives a spanning forest of its links only: what is
+connected already is not tested again, and no bucket is expanded into its pairs.
+A bucket too large for one task is dealt into pieces that each meet the same
+centres: members outside the bucket's largest component, up to 256 at a time, until
+the bucket is one component or all its members outside the largest were centres.  So
+no pair that could join two components goes untested.  The first bands settle
+most buckets; the others are only looked into where they hold several components.
+Links become components by large-star and small-star steps.
 
 With 40 bands of 5 minima a pair at similarity 0.8 shares no bucket with a
 probability of 1e-7.
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.llm.arrays import WORD_BASE, lower_ascii, mix, prefix_sums, slices, spans_hash, text_slices, word_hashes, words
 from lakeworks.llm.components import components
+from lakeworks.llm.names import unused
 from lakeworks.session import cut_lineage
 
 WORDS, PERCENT = 2, 80
@@ -39,10 +42,10 @@ BANDS, ROWS = 40, 5
 SLACK = 0.18
 #: Text a worker turns into sets at a time, and nodes whose ids may be broadcast.
 SLICE_BYTES, BROADCAST_NODES = 1 << 20, 1_000_000
-#: Centres of a bucket in a round after the first.
-CENTRES = 256
-#: Tests above which a bucket is worked on in packed arrays, members of one such piece, bins of a sketch.
-PACKED_TESTS, PIECE_MEMBERS, BINS = 5000, 1000, 512
+#: Centres of a large bucket in a round, members of one piece, shingles that a task compares at once.
+CENTRES, PIECE_MEMBERS, TASK_SHINGLES = 256, 1000, 1 << 22
+#: First band of each group of bands.
+BAND_GROUPS = (0, 1, 5)
 
 
 def shingle_sets(column: pa.Array, n_words: int) -> Iterator[np.ndarray]:
@@ -123,11 +126,7 @@ def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands
 
 
 def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: int) -> DataFrame:
-    """(node, shingles, sketch) of the wanted nodes, from the text of one document each; ``wanted`` is (node, rep).
-
-    A sketch counts the shingles in bins.  The sum of the lesser counts of two
-    sketches is never below what the sets have in common.
-    """
+    """(node, shingles) of the wanted nodes, from the text of one document each; ``wanted`` is (node, rep)."""
     wanted = wanted.withColumnsRenamed({"node": "_node", "rep": "_rep"})
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
@@ -136,142 +135,132 @@ def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: i
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, sets, sketches = [], [], []
+            names, sets = [], []
             for node, shingles in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n_words)):
                 if len(shingles) and node_of(shingles) == node:  # another row of that id may have another text
                     names.append(node)
                     sets.append(shingles.tobytes())
-                    bins = np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-                    sketches.append(bins.astype(np.uint16).tobytes())
-            columns = [pa.array(names, pa.int64()), pa.array(sets, pa.binary()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "shingles", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return rows.mapInArrow(collect, "node long, shingles binary").dropDuplicates(["node"])
+
 
-    return rows.mapInArrow(collect, "node long, shingles binary, sketch binary").dropDuplicates(["node"])
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have at least that share of their union in common."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    place = np.searchsorted(y, x)
+    place[place == len(y)] = 0
+    common = int(np.count_nonzero(y[place] == x))
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _packed_pairs(members: DataFrame, centres: DataFrame, marks: DataFrame, sets: DataFrame, percent: int, n_hashes: int) -> DataFrame:
-    """Pairs (a, b) of members and centres of large buckets that may be alike.
+def forest(
+    component: np.ndarray, signs: np.ndarray, sets: list[np.ndarray], n_centres: int, percent: int
+) -> list[tuple[int, int]]:
+    """Links (component, component) that join what the tests of a group of nodes can join, none of them twice.
 
-    A bucket's members are dealt into pieces; each meets all centres in one
-    task, as arrays, and only pairs that pass the signature and whose sketches
-    allow enough common shingles become rows.  The sketch never loses a pair.
+    The first ``n_centres`` nodes are tested against all, or every pair if there are
+    none; pairs that are connected by then are not.
     """
+    n, label = np.array([len(s) for s in sets]), component.copy()
     least = percent / 100 - SLACK
-    payload = marks.join(sets.select("node", "sketch"), "node").select("node", "signature", "sketch")
-    dealt = (
-        members.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-        .join(payload, "node")
-        .select("band", "piece", "node", "n", "component", "signature", "sketch")
-    )
-    everywhere = (
-        centres.withColumn("piece", F.explode(F.sequence(F.lit(0), (F.col("pieces") - 1).cast("int"))))
-        .join(payload, F.col("centre") == F.col("node"))
-        .withColumnsRenamed({"centre_n": "n", "centre_component": "component"})
-        # columns of their own, as both sides come from the same tables
-        .select(*[F.col(c).alias(c) for c in ("band", "piece", "node", "n", "component", "signature", "sketch")])
-    )
+    found = []
+    for c in range(n_centres or len(sets) - 1):
+        rest = slice(c + 1, None)
+        fits = (label[rest] != label[c]) & (100 * np.minimum(n[rest], n[c]) >= percent * np.maximum(n[rest], n[c]))
+        some = np.flatnonzero(fits) + c + 1
+        if len(some):
+            some = some[(signs[some] == signs[c]).mean(axis=1) >= least]
+        for k in some.tolist():
+            if label[k] != label[c] and alike(sets[c], sets[k], percent):
+                found.append((int(component[c]), int(component[k])))
+                label[label == label[k]] = label[c]
+    return found
+
+
+def _links(rows: DataFrame, percent: int, n_hashes: int) -> DataFrame:
+    """Confirmed links (a, b) between components, at most one fewer than nodes in each (band, piece).
+
+    ``rows``: band, piece, centre, node, component, signature, shingles.  A
+    group is compared in the task that holds it, on the full sets.
+    """
+    names = ("band", "piece", "centre", "component", "signature", "shingles")
 
-    def arrays(table: pa.Table) -> tuple:
-        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, n_hashes)
-        bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
-        return (*(table.column(k).to_numpy() for k in ("node", "n", "component")), signs, bins)
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
-        if left.num_rows and right.num_rows:
-            node, n, component, signs, bins = arrays(left)
-            for other, m, label, sign, bin_ in zip(*arrays(right)):
-                some = np.flatnonzero((component != label) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
-                some = some[(signs[some] == sign).mean(axis=1) >= least] if len(some) else some
-                common = np.minimum(bins[some], bin_).sum(axis=1, dtype=np.int64)
-                some = some[100 * common >= percent * (n[some].astype(np.int64) + m - common)]
-                found.append(np.column_stack([np.minimum(node[some], other), np.maximum(node[some], other)]))
-        pairs = np.concatenate(found)
-        return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
-
-    return dealt.groupBy("band", "piece").cogroup(everywhere.groupBy("band", "piece")).applyInArrow(compare, "a long, b long")
-
-
-def _confirmed(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough: signatures first, then the full sets."""
-    n = bands * rows
-    least = percent / 100 - SLACK
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            a = np.frombuffer(b"".join(batch.column("sig_a").to_pylist()), np.uint8).reshape(-1, n)
-            b = np.frombuffer(b"".join(batch.column("sig_b").to_pylist()), np.uint8).reshape(-1, n)
-            keep = pa.array((a == b).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("a", "b")], names=["a", "b"])
+        def links() -> list[tuple[int, int]]:
+            component = np.array([g[3] for g in group], dtype=np.int64)
+            if not (component != component[0]).any():
+                return []
+            signs = np.frombuffer(b"".join([g[4] for g in group]), np.uint8).reshape(-1, n_hashes)
+            sets = [np.frombuffer(g[5], np.uint64) for g in group]
+            return forest(component, signs, sets, sum(g[2] for g in group), percent)
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                place = np.searchsorted(y, x)
-                place[place == len(y)] = 0
-                common = int(np.count_nonzero(y[place] == x))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("a", "b")], names=["a", "b"])
-
-    def side(table: DataFrame, name: str, column: str, short: str) -> DataFrame:
-        return table.select(F.col("node").alias(name), F.col(column).alias(f"{short}_{name}"), *(
-            [F.col("n_shingles").alias(f"n_{name}")] if "n_shingles" in table.columns else []
-        ))
-
-    marked = pairs.join(side(marks, "a", "signature", "sig"), "a").join(side(marks, "b", "signature", "sig"), "b")
-    smaller, larger = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    likely = marked.filter(100 * smaller >= percent * larger).select("a", "b", "sig_a", "sig_b").mapInArrow(alike, "a long, b long")
-    full = cut_lineage(likely, "likely").join(side(sets, "b", "shingles", "set"), "b").join(side(sets, "a", "shingles", "set"), "a")
-    return full.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
-
-
-def _centres(pending: DataFrame, first: bool) -> DataFrame:
-    """The centres of each bucket that still has several components: band, centre, its component and size.
+            found: list[tuple[int, int]] = []
+            for row in zip(*(batch.column(k).to_pylist() for k in names)):
+                if group and row[:2] != group[0][:2]:
+                    found += links()
+                    group = []
+                group.append(row)
+            pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        pairs = np.array(links() if group else [], dtype=np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    # the order within a group is fixed, so that a task run again gives the same links
+    dealt = rows.repartition("band", "piece").sortWithinPartitions("band", "piece", F.desc("centre"), "node")
+    return dealt.select(*names).mapInArrow(joined, "a long, b long").distinct()
+
+
+def _centres(large: DataFrame) -> DataFrame:
+    """Nodes of large buckets outside each one's largest component, one for each of the bucket's slots.
 
     Only partial aggregations touch the buckets, however large.
     """
-    sizes = pending.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = (
-        sizes.groupBy("band")
-        .agg(F.max(F.struct("n", -F.col("component"))).alias("top"), F.count("*").alias("n_components"))
-        .filter("n_components > 1")
-    )
-    if first:
-        least = pending.groupBy("band").agg(F.min(F.struct("node", "n")).alias("chosen"))
-        return largest.join(least, "band").select(
-            "band",
-            F.col("chosen.node").alias("centre"),
-            F.col("chosen.node").alias("centre_component"),
-            F.col("chosen.n").alias("centre_n"),
-        )
-    slot = F.pmod(F.xxhash64("node"), F.lit(CENTRES))
+    sizes = large.groupBy("band", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("band").agg(F.max(F.struct("size", -F.col("component"))).alias("top"))
+    slots = F.greatest(F.lit(1), F.least(F.lit(CENTRES), F.floor(F.lit(TASK_SHINGLES) * F.col("m") / F.col("total"))))
     return (
-        pending.join(largest, "band")
-        .filter(F.col("component") != -F.col("top.col2"))
-        .groupBy("band", slot.alias("slot"))
-        .agg(F.min(F.struct("component", "node", "n")).alias("chosen"))
-        .select(
-            "band",
-            F.col("chosen.node").alias("centre"),
-            F.col("chosen.component").alias("centre_component"),
-            F.col("chosen.n").alias("centre_n"),
-        )
+        large.join(largest.select("band", (-F.col("top.col2")).alias("_top")), "band")
+        .filter(F.col("component") != F.col("_top"))
+        .groupBy("band", F.pmod(F.xxhash64("node"), slots).alias("slot"))
+        .agg(F.min(F.struct("component", "node", "pieces")).alias("chosen"))
+        .select("band", "chosen.*")
     )
 
 
+def _labelled(entries: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Entries (band, node, n) with the component each node has by now."""
+    if found is None:
+        return entries.withColumn("component", F.col("node"))
+    labels = found.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
+    return entries.join(labels, F.col("node") == F.col("_node"), "left").select(
+        "band", "node", "n", F.coalesce("_label", "node").alias("component")
+    )
+
+
+def _open(entries: DataFrame) -> DataFrame:
+    """The entries of buckets that hold several components; pieces is 0 for a bucket that one task compares whole."""
+    shape = entries.groupBy("band").agg(
+        F.count("*").alias("m"),
+        F.sum("n").alias("total"),
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+    )
+    dealt = F.greatest(F.ceil(F.col("m") / PIECE_MEMBERS), F.ceil(F.col("total") / TASK_SHINGLES)).cast("int")
+    whole = (F.col("m") <= CENTRES) & (F.col("total") <= TASK_SHINGLES)
+    shape = shape.filter("lo < hi").select("band", "m", "total", F.when(whole, 0).otherwise(dealt).alias("pieces"))
+    return entries.join(shape, "band").select("band", "node", "n", "component", "m", "total", "pieces")
+
+
 def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Components (node, component) after more links; only the new links are walked, between known components."""
+    """Components (node, component) after links between components; only the new links are walked."""
+    joined = cut_lineage(components(links), "merged")
     if found is None:
-        return cut_lineage(components(links), "components")
-    known = found.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
-    lifted = links
-    for end in ("a", "b"):
-        lifted = lifted.join(known, F.col(end) == F.col("_node"), "left").withColumn(end, F.coalesce("_label", end))
-        lifted = lifted.drop("_node", "_label")
-    joined = cut_lineage(components(lifted), "merged").withColumnsRenamed({"node": "_old", "component": "_new"})
+        return joined
+    joined = joined.withColumnsRenamed({"node": "_old", "component": "_new"})
     moved = found.join(joined, F.col("component") == F.col("_old"), "left").select(
         "node", F.coalesce("_new", "component").alias("component")
     )
@@ -281,6 +270,46 @@ def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
     return cut_lineage(moved.unionByName(fresh), "components")
 
 
+def linked(buckets: DataFrame, payload: DataFrame, percent: int, n_hashes: int) -> DataFrame | None:
+    """Components (node, component) of the nodes that have links, None without any.
+
+    ``buckets``: slot, band, node, n; ``payload``: node, signature, shingles.
+    Bands are taken in groups, as most buckets are one component after the first
+    ones and need no test any more.
+    """
+    found = None
+    for first, last in zip(BAND_GROUPS, (*BAND_GROUPS[1:], None)):
+        own = F.col("slot") >= first if last is None else F.col("slot").between(first, last - 1)
+        entries = buckets.filter(own).select("band", "node", "n")
+        while True:
+            now = cut_lineage(_open(_labelled(entries, found)), "open")
+            most = now.agg(F.max("pieces")).first()[0]
+            if most is None:
+                break
+            rows = now.select(
+                "band",
+                F.when(F.col("pieces") > 0, F.pmod(F.xxhash64("node"), F.col("pieces"))).otherwise(0).cast("int").alias("piece"),
+                F.lit(False).alias("centre"),
+                "node",
+                "component",
+            )
+            if most:
+                centres = cut_lineage(_centres(now.filter("pieces > 0")), "centres")
+                everywhere = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+                rows = rows.unionByName(
+                    centres.select("band", everywhere.alias("piece"), F.lit(True).alias("centre"), "node", "component")
+                )
+            links = cut_lineage(_links(rows.join(payload, "node"), percent, n_hashes), "links")
+            if not links.isEmpty():
+                found = _merged(found, links)
+            if not most:
+                break
+            # a centre was tested against its whole bucket
+            entries = now.filter("pieces > 0").join(centres.select("band", "node"), ["band", "node"], "left_anti")
+            entries = entries.select("band", "node", "n")
+    return found
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -295,59 +324,14 @@ def near_duplicates(
     linkable = signed.filter("node is not null and doc_id is not null")
     reps = linkable.groupBy("node").agg(F.min("doc_id").alias("rep"))
     entries = linkable.join(reps.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"]).select(
-        "node", F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band")
+        "node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("bands").alias("slot", "band")
     )
     shared = entries.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
-    pending = cut_lineage(
-        entries.join(shared.select("band"), "band").distinct().withColumn("component", F.col("node")), "buckets"
-    )
-    live = pending.select("node").distinct().join(reps, "node")
-    marks = cut_lineage(
-        linkable.join(live.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"])
-        .select("node", "n_shingles", "signature")
-        .dropDuplicates(["node"]),
-        "marks",
-    )
-    sets = cut_lineage(_sets_of(docs, key, text, live, n_words), "sets")
-    tested = found = None
-    first = True
-    while True:
-        centres = cut_lineage(_centres(pending, first), "centres")
-        if centres.isEmpty():
-            break
-        compatible = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
-        tests = pending.groupBy("band").agg(F.count("*").alias("m")).join(
-            centres.groupBy("band").agg(F.count("*").alias("c")), "band"
-        )
-        large = tests.filter((F.col("c") > 1) & (F.col("m") * F.col("c") > PACKED_TESTS)).select(
-            "band", F.ceil(F.col("m") / PIECE_MEMBERS).alias("pieces")
-        )
-        large = cut_lineage(large, "large")
-        pairs = (
-            pending.join(centres.join(large, "band", "left_anti"), "band")
-            .filter((F.col("component") != F.col("centre_component")) & compatible)
-            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        )
-        if not large.isEmpty():
-            packed = _packed_pairs(
-                pending.join(large, "band"), centres.join(large, "band"), marks, sets, percent, bands * rows
-            )
-            pairs = pairs.unionByName(packed)
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        confirmed = cut_lineage(_confirmed(pairs, marks, sets, percent, bands, rows), "links")
-        pending = pending.join(centres.select("band", F.col("centre").alias("node")), ["band", "node"], "left_anti")
-        if not confirmed.isEmpty():
-            found = _merged(found, confirmed)
-            labels = found.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
-            pending = pending.join(labels, F.col("node") == F.col("_node"), "left").select(
-                "band", "node", "n", F.coalesce("_label", "node").alias("component")
-            )
-        pending = cut_lineage(pending, "buckets")
-        first = False
+    buckets = cut_lineage(entries.join(shared.select("band"), "band").distinct(), "buckets")
+    live = cut_lineage(buckets.select("node").distinct().join(reps, "node"), "live")
+    signs = linkable.join(live.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"]).select("node", "signature")
+    payload = cut_lineage(_sets_of(docs, key, text, live, n_words).join(signs.dropDuplicates(["node"]), "node"), "sets")
+    found = linked(buckets, payload, percent, bands * rows)
     if found is None:
         named = reps.select("node", F.col("rep").alias("component_id"))
     else:
@@ -372,13 +356,14 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **opt
     without a set stay.
     """
     found = near_duplicates(docs, key, text, **options)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct()
-    same = (F.col(key) == F.col("_gone")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_text"))
+    gone_id, gone_text, again_id = unused(docs.columns, "_gone", "_text", "_again")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct()
+    same = (F.col(key) == F.col(gone_id)) & (F.xxhash64(F.col(text).cast("string")) == F.col(gone_text))
     rest = docs.join(gone, same, "left_anti")
-    repeated = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
+    repeated = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias(again_id))
     if repeated.isEmpty():
         return rest
-    again = F.col(key) == F.col("_again")
+    again = F.col(key) == F.col(again_id)
     return rest.join(repeated, again, "left_anti").unionByName(
         rest.join(repeated, again, "left_semi").dropDuplicates([key, text])
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lakeworks.llm import components, minhash
@@ -85,3 +86,32 @@ def test_long_chain_is_one_component(spark):
     found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found[n] == min(nodes) for n in nodes)
     assert found[2001] == found[2000] == 2000
+
+
+@pytest.mark.parametrize("limits", [(2, 3, 1 << 22), (4, 50, 200)])
+def test_buckets_beyond_a_task(docs_of, monkeypatch, limits):
+    """Buckets dealt into pieces, by members or by shingles, give the components of whole ones."""
+    for name, value in zip(("CENTRES", "PIECE_MEMBERS", "TASK_SHINGLES"), limits):
+        monkeypatch.setattr(minhash, name, value)
+    rng = random.Random(sum(limits))
+    docs = list(enumerate(variants(rng, 4)))
+    base = [f"w{k}" for k in range(60)]
+    for k in range(30):
+        own = list(base)
+        own[k] = own[k - 20] = f"new{k}"
+        docs.append((1000 + k, " ".join(own)))
+    found = minhash.near_duplicates(docs_of(docs)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == groups(docs, 2)
+
+
+def test_links_grow_with_the_members():
+    """A group of like sets gives a tree, in which only what is not connected yet is tested."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
+    sets = [np.sort(np.concatenate([base[3:], rng.integers(0, 2**63, 3).astype(np.uint64)])) for _ in range(300)]
+    family = minhash.hash_family(200)
+    signs = np.stack([(minhash.minima(s, family) & np.uint32(255)).astype(np.uint8) for s in sets])
+    links = minhash.forest(np.arange(300), signs, sets, 0, 80)
+    assert len(links) == 299 and len({k for link in links for k in link}) == 300
+    assert minhash.forest(np.arange(300) // 150, signs, sets, 0, 80) == [(0, 1)]
+    assert len(minhash.forest(np.arange(300), signs, sets, 4, 80)) == 299
