@@ -19,17 +19,18 @@ and text columns are read.
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.arrays import WORD_BASE, prefix_sums, slices, spans_hash
+from lakeworks.llm.arrays import WORD_BASE, prefix_sums, slices, spans_hash, word_hashes
+from lakeworks.llm.names import unused
 from lakeworks.session import cut_lineage
 
 #: Words of a window, literal words it needs to be a template, windows of an alignment that make a match.
@@ -53,12 +54,35 @@ UNITS = (
     "cent cents dollar dollars euro euros percent degree degrees kmh mph meter meters metre metres gram grams kilogram kilograms"
 )
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+KINDS = ("", NUMBER, NAME, UNIT)
+#: Characters of texts whose words are looked up together.
+TOGETHER = 1 << 18
 
 
 #: Told apart from template windows in the hash of a window of real words.
 VERBATIM = np.uint64(0x9E3779B97F4A7C15)
 
 
+class _Numbers(dict):
+    """Words and their numbers; a word that is new gets the next one."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        self[word] = number = len(self)
+        return number
+
+
+def _hashes(words: Sequence[str]) -> np.ndarray:
+    """64-bit hashes of words."""
+    column = pa.array(words, pa.string()).cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(words) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return word_hashes(data, offsets[:-1], offsets[1:])
+
+
 class Words(NamedTuple):
     """Words and line marks of a text; of each word the hash of its template form and of itself, and if it is a slot."""
 
@@ -72,27 +96,29 @@ class Words(NamedTuple):
     begins: np.ndarray
 
 
-def canonical_form() -> Callable[[str], tuple[str, str, str, bool]]:
-    """A function from a word to its template form inside a sentence, at its start, the bare word, and whether it ends one."""
+def canonical_form() -> Callable[[str], tuple[int, str, bool]]:
+    """A function from a word to the kind of slot it is (0 for none), the bare word, and whether it ends a sentence."""
     numbers, units = set(NUMBER_WORDS.split()), set(UNITS.split())
     digits = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*[%°]?")
     edges = re.compile(r"^[^\w$€£+-]+|[^\w%°]+$")
 
-    def form(word: str) -> tuple[str, str, str, bool]:
-        ends, bare = False, word
-        if not word.isalpha():
+    def form(word: str) -> tuple[int, str, bool]:
+        ends, bare, plain = False, word, word.isalpha()
+        if not plain:
             ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
             bare = word.rstrip(".,;:!?")
-            if not bare.isalpha():
+            plain = bare.isalpha()
+            if not plain:
                 bare = edges.sub("", word)
+                plain = bare.isalpha()
         low = bare.lower()
-        if low in numbers or (not bare.isalpha() and digits.fullmatch(bare)):
-            return NUMBER, NUMBER, low, ends
+        if low in numbers or (not plain and digits.fullmatch(bare)):
+            return KINDS.index(NUMBER), low, ends
         if low in units:
-            return UNIT, UNIT, low, ends
-        if len(bare) > 1 and bare.isalpha() and bare.istitle():
-            return NAME, low, low, ends
-        return low, low, low, ends
+            return KINDS.index(UNIT), low, ends
+        if plain and len(bare) > 1 and bare.istitle():
+            return KINDS.index(NAME), low, ends
+        return 0, low, ends
 
     return form
 
@@ -104,49 +130,53 @@ class Templates:
 
     def __init__(self) -> None:
         self.form = canonical_form()
+        self.placeholders = _hashes(KINDS)
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.fresh: list[tuple[int, int, int, bool, bool, bool]] = []
+        self.index = _Numbers()
         kind = [("mid", "u8"), ("start", "u8"), ("real", "u8"), ("slot_mid", "?"), ("slot_start", "?"), ("ends", "?")]
         self.table = np.zeros(1 << 16, dtype=kind)
 
-    def _add(self, word: str) -> int:
-        mid, start, real, ends = ("", "", "", True) if word == self.LINE else self.form(word)
-        slots = (NUMBER, NAME, UNIT)
-        h = _text_hash(start)
-        row = (h if mid == start else _text_hash(mid), h, h if real == start else _text_hash(real))
-        self.fresh.append((*row, mid in slots, start in slots, ends))
-        self.index[word] = len(self.index)
-        return len(self.index) - 1
-
     def _settle(self) -> None:
-        """Move the rows of new words into the table."""
-        n = len(self.index)
+        """Fill the table's rows of the words that are new, all at once."""
+        n, new = len(self.index), self.index.fresh
+        if not new:
+            return
         while len(self.table) < n:
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[n - len(self.fresh) : n] = self.fresh
-        self.fresh = []
-
-    def __call__(self, text: str) -> Words:
-        if len(self.index) > MEMO:
-            self._reset()
-        marked = text.replace(self.LINE, " ").replace("\n", f" {self.LINE} ").split()
-        ids = list(map(self.index.get, marked))
-        if None in ids:
-            # a word that is new may occur again in the same text
-            for place, k in enumerate(ids):
-                if k is None:
-                    known = self.index.get(marked[place])
-                    ids[place] = self._add(marked[place]) if known is None else known
+        kinds, lows, ends = zip(*[(0, "", True) if word == self.LINE else self.form(word) for word in new])
+        kind, hashes, own = np.array(kinds), _hashes(lows), self.table[n - len(new) : n]
+        # a name at the start of a sentence may be any word
+        anywhere = (kind > 0) & (kind != KINDS.index(NAME))
+        own["mid"] = np.where(kind > 0, self.placeholders[kind], hashes)
+        own["start"] = np.where(anywhere, self.placeholders[kind], hashes)
+        own["real"], own["slot_mid"], own["slot_start"], own["ends"] = hashes, kind > 0, anywhere, ends
+        self.index.fresh = []
+
+    def each(self, texts: list[str]) -> Iterator[Words]:
+        """The words of each text in turn; new words of texts that are together are looked into together."""
+        first = 0
+        while first < len(texts):
+            if len(self.index) > MEMO:
+                self._reset()
+            last, chars = first, 0
+            listed = []
+            while last < len(texts) and chars < TOGETHER:
+                marked = texts[last].replace(self.LINE, " ").replace("\n", f" {self.LINE} ").split()
+                listed.append((marked, np.fromiter(map(self.index.__getitem__, marked), np.int64, len(marked))))
+                chars += len(texts[last])
+                last += 1
             self._settle()
-        if not ids:
+            yield from (self._words(marked, numbers) for marked, numbers in listed)
+            first = last
+
+    def _words(self, marked: list[str], numbers: np.ndarray) -> Words:
+        if not marked:
             none = np.zeros(0, np.uint64)
             return Words([], none, none, none.astype(bool), none.astype(bool), none.astype(bool))
-        numbers = np.array(ids, dtype=np.int64)
         own = self.table[numbers]
-        first = np.ones(len(ids), dtype=bool)
+        first = np.ones(len(numbers), dtype=bool)
         first[1:] = own["ends"][:-1]
         real = numbers != self.index.get(self.LINE, -1)
         forms = np.where(first, own["start"], own["mid"])[real]
@@ -159,10 +189,6 @@ class Templates:
         return [w for w in marked if w != self.LINE]
 
 
-def _text_hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode(errors="replace"), digest_size=8).digest(), "little")
-
-
 def _windows(words: Words, size: int, verbatim: bool) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the windows of ``size`` words: of those with enough literal words, or of the others.
 
@@ -206,10 +232,9 @@ def template_windows(
         templates = Templates()
         for batch in slices(batches):
             out: list[list] = [[] for _ in names]
-            for key, tag, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if not text:
-                    continue
-                words = templates(text)
+            batch = batch.filter(pc.greater(pc.fill_null(pc.binary_length(batch.column(2)), 0), 0))
+            keys, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for key, tag, words in zip(keys, tags, templates.each(batch.column(2).to_pylist())):
                 slots = words.slots
                 listed: list[str] | None = None
                 for size, verbatim in kinds:
@@ -361,6 +386,7 @@ def matches(
 
 def without_matches(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that :func:`matches` found, all columns unchanged."""
-    hits = found.select(F.col("doc_id").alias("_hit"), F.col("text_hash").alias("_tag")).distinct()
-    same = F.col(key).cast("long").eqNullSafe(F.col("_hit")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_tag"))
+    hit, tag = unused(docs.columns, "_hit", "_tag")
+    hits = found.select(F.col("doc_id").alias(hit), F.col("text_hash").alias(tag)).distinct()
+    same = F.col(key).cast("long").eqNullSafe(F.col(hit)) & (F.xxhash64(F.col(text).cast("string")) == F.col(tag))
     return docs.join(hits, same, "left_anti")
