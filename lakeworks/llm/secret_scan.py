@@ -18,12 +18,15 @@ from __future__ import annotations
 
 import re._constants as kinds
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.names import unused
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -125,6 +128,9 @@ def _joined(parts: list[list[str] | None]) -> list[str] | None:
     return strings
 
 
+SPAN = "struct<start: int, rank: int, kind: string, end: int>"
+
+
 def _content(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
@@ -170,20 +176,51 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
         F.regexp_extract_all(text, around, F.lit(2)).alias("match"),
         F.regexp_extract_all(text, around, F.lit(2 + rule.group)).alias("value"),
     )
-    kind = "struct<start: int, rank: int, kind: string, end: int>"
-    none = F.array().cast(f"array<{kind}>")
+    none = F.array().cast(f"array<{SPAN}>")
 
-    def step(done: Column, part: Column) -> Column:
-        start = done["at"] + F.length(part["gap"])
-        end = start + F.length(part["match"])
-        span = F.struct(start.alias("start"), F.lit(order).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+    def sized(part: Column) -> Column:
         keep = (F.length(part["match"]) > 0) & (F.length(part["value"]) >= rule.least)
+        return F.struct(F.length(part["gap"]).alias("gap"), F.length(part["match"]).alias("match"), keep.alias("keep"))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(order).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+
+    def step(done: Column, part: Column) -> Column:
+        start = done["at"] + part["gap"]
+        end = start + part["match"]
         return F.struct(
-            end.alias("at"), F.when(keep, F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).alias("spans")
+            end.alias("at"),
+            F.when(part["keep"], F.concat(done["spans"], F.array(span(start, end)))).otherwise(done["spans"]).alias("spans"),
         )
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.aggregate(parts, start, step, lambda done: done["spans"])
+    def after(done: Column, piece: Column) -> Column:
+        moved = F.transform(piece["spans"], lambda s: span(s["start"] + done["at"], s["end"] + done["at"]))
+        return F.struct((done["at"] + piece["at"]).alias("at"), F.concat(done["spans"], F.array(moved)).alias("spans"))
+
+    def placed(listed: Column) -> Column:
+        # positions within a stretch first, then the stretches one after another
+        start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+        pieces = F.transform(stretches(listed), lambda stretch: F.aggregate(stretch, start, step))
+        none_yet = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("spans"))
+        return F.aggregate(pieces, none_yet, after, lambda done: F.flatten(done["spans"]))
+
+    return once(F.transform(parts, sized), placed)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def stretches(listed: Column) -> Column:
+    """An array cut into as many stretches as each has elements, about.
+
+    What grows by copying grows within a stretch or by whole stretches, so that
+    long arrays cost n * sqrt(n) small copies and not n * n.
+    """
+    n = F.greatest(F.size(listed), F.lit(1))
+    length = F.ceil(F.sqrt(n)).cast("int")
+    return F.transform(F.sequence(F.lit(1), n, length), lambda at: F.slice(listed, at, length))
 
 
 def scan(
@@ -197,21 +234,19 @@ def scan(
     content = _content(text)
     row_key = F.xxhash64(F.col(key), F.sha2(content, 256))
     hits = candidates(postings(docs.select(row_key.alias("key"), content.alias("text")), rules), rules)
-    hits = hits.select(F.col("key").alias("_hit"), "kinds")
-    joined = docs.withColumn("_text", content).withColumn("_row", row_key).join(
-        hits.withColumnRenamed("kinds", "_kinds"), F.col("_row") == F.col("_hit"), "left"
-    )
-    kind = "array<struct<start: int, rank: int, kind: string, end: int>>"
+    whole, row, hit, kinds_met = unused(docs.columns, "_text", "_row", "_hit", "_kinds")
+    hits = hits.select(F.col("key").alias(hit), F.col("kinds").alias(kinds_met))
+    joined = docs.withColumn(whole, content).withColumn(row, row_key).join(hits, F.col(row) == F.col(hit), "left")
     found = []
     for order, rule in enumerate(rules):
         if trigram_query(rule.pattern):
-            tried = F.coalesce(F.array_contains("_kinds", rule.kind), F.lit(False))
+            tried = F.coalesce(F.array_contains(kinds_met, rule.kind), F.lit(False))
         else:
             # a full scan: a quick test for a run of the least length, then the exact pattern
-            tried = F.col("_text").rlike(rule.pattern.removesuffix("+") + f"{{{max(rule.least, 1)}}}")
-        found.append(F.when(tried, rule_spans(F.col("_text"), rule, order)).otherwise(F.array().cast(kind)))
+            tried = F.col(whole).rlike(rule.pattern.removesuffix("+") + f"{{{max(rule.least, 1)}}}")
+        found.append(F.when(tried, rule_spans(F.col(whole), rule, order)).otherwise(F.array().cast(f"array<{SPAN}>")))
     spans = F.array_sort(F.concat(*found))
-    return joined.withColumn(name, spans).drop("_text", "_row", "_hit", "_kinds")
+    return joined.withColumn(name, spans).drop(whole, row, hit, kinds_met)
 
 
 def spans_text(spans: Column) -> Column:
@@ -222,17 +257,32 @@ def spans_text(spans: Column) -> Column:
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
     """The text with every span, overlapping ones merged, replaced by a mask."""
 
-    def step(done: Column, span: Column) -> Column:
-        fresh = span["start"] >= done["at"]
-        between = F.substring(text, done["at"] + 1, span["start"] - done["at"])
+    def step(done: Column, span: Column, local: Column, base: Column) -> Column:
+        start, end = span["start"] - base, span["end"] - base
+        between = F.substring(local, done["at"] + 1, start - done["at"])
         return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(done["out"], between, F.lit(mask))).otherwise(done["out"]).alias("out"),
+            F.greatest(done["at"], end).alias("at"),
+            F.when(start >= done["at"], F.concat(done["out"], between, F.lit(mask))).otherwise(done["out"]).alias("out"),
+        )
+
+    def after(done: Column, stretch: Column) -> Column:
+        # the text of a stretch is cut out once and its spans are looked for in it alone
+        end = F.greatest(done["at"], F.array_max(F.transform(stretch, lambda s: s["end"])))
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        out = once(
+            F.substring(text, done["at"] + 1, end - done["at"]),
+            lambda local: F.aggregate(
+                stretch, start, lambda inner, s: step(inner, s, local, done["at"]), lambda inner: inner["out"]
+            ),
         )
+        return F.struct(end.alias("at"), F.concat(done["out"], F.array(out)).alias("out"))
+
+    def rest(done: Column) -> Column:
+        return F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text)))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    replaced = once(spans, lambda known: F.aggregate(stretches(known), start, after, rest))
+    return F.when(F.size(spans) > 0, replaced).otherwise(text)
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
