@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.llm import language, minhash, packing, secret_scan, templates
+from lakeworks.llm.names import unused
 from lakeworks.session import cut_lineage
 
 #: Near-duplicates: shingles of five words, similarity of 0.8 or more.
@@ -19,8 +20,9 @@ SHINGLE_WORDS, PERCENT = 5, 80
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a sufficient margin."""
-    found = language.detect(docs, language.fit(docs), names=("_language", "_score", "_accepted"))
-    return found.filter("_accepted").select(*docs.columns)
+    names = unused(docs.columns, "_language", "_score", "_accepted")
+    found = language.detect(docs, language.fit(docs), names=tuple(names))
+    return found.filter(F.col(names[2])).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +38,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mask and ``n_chars`` counted anew where one was."""
-    found = secret_scan.scan(docs, name="_secrets")
-    any_found = F.size("_secrets") > 0
-    changed = {"text": secret_scan.masked(F.col("text"), F.col("_secrets"))}
+    (secrets,) = unused(docs.columns, "_secrets")
+    found = secret_scan.scan(docs, name=secrets)
+    any_found = F.size(secrets) > 0
+    changed = {"text": secret_scan.masked(F.col("text"), F.col(secrets))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed["n_chars"] = F.when(any_found, F.length(changed["text"]).cast(kind)).otherwise(F.col("n_chars"))
