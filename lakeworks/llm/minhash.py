@@ -6,7 +6,7 @@ keys.  A bucket is compared in the tasks that hold it, sizes and signatures firs
 then the full sets, and gives a spanning forest of its links only: what is
 connected already is not tested again, and no bucket is expanded into its pairs.
 A bucket too large for one task is dealt into pieces that each meet the same
-centres: members outside the bucket's largest component, up to 256 at a time, until
+centres: members outside the bucket's largest component, about 256 at a time, until
 the bucket is one component or all its members outside the largest were centres.  So
 no pair that could join two components goes untested.  The first bands settle
 most buckets; the others are only looked into where they hold several components.
@@ -25,6 +25,7 @@ the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ BANDS, ROWS = 40, 5
 SLACK = 0.18
 #: Text a worker turns into sets at a time, and nodes whose ids may be broadcast.
 SLICE_BYTES, BROADCAST_NODES = 1 << 20, 1_000_000
-#: Centres of a large bucket in a round, members of one piece, shingles that a task compares at once.
+#: Centres of a large bucket in a round, about; members of one piece; shingles that a task compares at once.
 CENTRES, PIECE_MEMBERS, TASK_SHINGLES = 256, 1000, 1 << 22
 #: First band of each group of bands.
 BAND_GROUPS = (0, 1, 5)
@@ -214,20 +215,19 @@ def _links(rows: DataFrame, percent: int, n_hashes: int) -> DataFrame:
     return dealt.select(*names).mapInArrow(joined, "a long, b long").distinct()
 
 
-def _centres(large: DataFrame) -> DataFrame:
-    """Nodes of large buckets outside each one's largest component, one for each of the bucket's slots.
+def _centres(large: DataFrame, turn: int) -> DataFrame:
+    """Nodes of large buckets outside each one's largest component: all of them if they are few, else a share by hash.
 
     Only partial aggregations touch the buckets, however large.
     """
     sizes = large.groupBy("band", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("size", -F.col("component"))).alias("top"))
-    slots = F.greatest(F.lit(1), F.least(F.lit(CENTRES), F.floor(F.lit(TASK_SHINGLES) * F.col("m") / F.col("total"))))
+    most = F.greatest(F.lit(1), F.least(F.lit(CENTRES), F.floor(F.lit(TASK_SHINGLES) * F.col("m") / F.col("total"))))
+    shares = F.ceil((F.col("m") - F.col("top.size")) / most)
     return (
-        large.join(largest.select("band", (-F.col("top.col2")).alias("_top")), "band")
-        .filter(F.col("component") != F.col("_top"))
-        .groupBy("band", F.pmod(F.xxhash64("node"), slots).alias("slot"))
-        .agg(F.min(F.struct("component", "node", "pieces")).alias("chosen"))
-        .select("band", "chosen.*")
+        large.join(largest, "band")
+        .filter((F.col("component") != -F.col("top.col2")) & (F.pmod(F.xxhash64("node", F.lit(turn)), shares) == 0))
+        .select("band", "component", "node", "pieces")
     )
 
 
@@ -250,7 +250,7 @@ def _open(entries: DataFrame) -> DataFrame:
         F.max("component").alias("hi"),
     )
     dealt = F.greatest(F.ceil(F.col("m") / PIECE_MEMBERS), F.ceil(F.col("total") / TASK_SHINGLES)).cast("int")
-    whole = (F.col("m") <= CENTRES) & (F.col("total") <= TASK_SHINGLES)
+    whole = (F.col("m") <= PIECE_MEMBERS) & (F.col("total") <= TASK_SHINGLES)
     shape = shape.filter("lo < hi").select("band", "m", "total", F.when(whole, 0).otherwise(dealt).alias("pieces"))
     return entries.join(shape, "band").select("band", "node", "n", "component", "m", "total", "pieces")
 
@@ -281,7 +281,7 @@ def linked(buckets: DataFrame, payload: DataFrame, percent: int, n_hashes: int)
     for first, last in zip(BAND_GROUPS, (*BAND_GROUPS[1:], None)):
         own = F.col("slot") >= first if last is None else F.col("slot").between(first, last - 1)
         entries = buckets.filter(own).select("band", "node", "n")
-        while True:
+        for turn in count():
             now = cut_lineage(_open(_labelled(entries, found)), "open")
             most = now.agg(F.max("pieces")).first()[0]
             if most is None:
@@ -294,7 +294,7 @@ def linked(buckets: DataFrame, payload: DataFrame, percent: int, n_hashes: int)
                 "component",
             )
             if most:
-                centres = cut_lineage(_centres(now.filter("pieces > 0")), "centres")
+                centres = cut_lineage(_centres(now.filter("pieces > 0"), turn), "centres")
                 everywhere = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
                 rows = rows.unionByName(
                     centres.select("band", everywhere.alias("piece"), F.lit(True).alias("centre"), "node", "component")

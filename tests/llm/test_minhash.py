@@ -94,11 +94,11 @@ def test_buckets_beyond_a_task(docs_of, monkeypatch, limits):
     for name, value in zip(("CENTRES", "PIECE_MEMBERS", "TASK_SHINGLES"), limits):
         monkeypatch.setattr(minhash, name, value)
     rng = random.Random(sum(limits))
-    docs = list(enumerate(variants(rng, 4)))
+    docs = list(enumerate(variants(rng, 2)))
     base = [f"w{k}" for k in range(60)]
-    for k in range(30):
+    for k in range(10):
         own = list(base)
-        own[k] = own[k - 20] = f"new{k}"
+        own[k] = own[k + 20] = f"new{k}"
         docs.append((1000 + k, " ".join(own)))
     found = minhash.near_duplicates(docs_of(docs)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == groups(docs, 2)
