@@ -6,8 +6,8 @@ automaton's states finds the cheapest mix of merges, relabels and empty
 insertions that makes it do so; the repaired sequence is rendered with role
 markers.
 
-A conversation may be of any length: beyond ``LONG`` turns it is cut at
-quantiles of the turn number, each stretch yields the cost of going from any
+A conversation may be of any length: beyond ``LONG`` turns its turns are ranked
+by a range sort and cut by rank, each stretch yields the cost of going from any
 state to any other, the stretches' costs are chained, and each stretch is then
 repaired between the states found for it.  The result is that of one pass.
 Output rows are pieces, one for each input turn or inserted turn, so nothing
@@ -15,9 +15,9 @@ ever gathers a whole long conversation.
 
 Defined results: null texts are empty, null and unknown roles must be relabelled,
 roles are compared in lower case without outer blanks; turns are ordered by
-number (null first), then role, then text, and repeated rows are turns of their
-own; turns of one number are never cut apart; a null conversation id is a
-conversation; an empty table gives no rows.  Equal costs are settled by a second
+number (null first), then role, then the hash of the text, and repeated rows are
+turns of their own; turns of one number are cut apart where they are many; a null
+conversation id is a conversation; an empty table gives no rows.  Equal costs are settled by a second
 cost, a checksum of turn number and state, that adds up along the walk as the
 first does.  Other columns are not read.
 """
@@ -113,18 +113,19 @@ class Repair:
         return after, source
 
     @staticmethod
-    def seconds(turns: list[tuple]) -> Iterator[list[int]]:
-        """The second costs of each turn, by the states around it."""
+    def seconds(turns: list[tuple], skip: int = 0) -> Iterator[list[int]]:
+        """The second costs of each turn, by the states around it; ``skip`` turns of the first number came before."""
         for number, same in groupby(turns, key=lambda t: t[0]):
-            for k, _ in enumerate(same):
+            for k, _ in enumerate(same, skip):
                 yield [zlib.crc32(f"{number}:{k}:{step}".encode()) & 0xFFFFF for step in range(16)]
+            skip = 0
 
-    def matrix(self, turns: list[tuple]) -> list[int]:
+    def matrix(self, turns: list[tuple], skip: int = 0) -> list[int]:
         """Cheapest cost from each state to each over the turns, row by row; both costs of each."""
         rows = [[INFINITE] * 4 for _ in range(4)]
         for start in range(4):
             rows[start][start] = 0
-        for (_, role, _), second in zip(turns, self.seconds(turns)):
+        for (_, role, _), second in zip(turns, self.seconds(turns, skip)):
             rows = [self.advance(costs, role, second)[0] for costs in rows]
         return [part for costs in rows for cost in costs for part in divmod(cost, UNIT)]
 
@@ -132,12 +133,12 @@ class Repair:
         """The state to end in."""
         return min(range(4), key=lambda q: (costs[q] + self.form.insert * UNIT * len(ENDINGS[STATES[q]]), q))
 
-    def walk(self, turns: list[tuple], start: int, end: int | None) -> list[int]:
+    def walk(self, turns: list[tuple], start: int, end: int | None, skip: int = 0) -> list[int]:
         """States before, between and after the turns."""
         costs = [INFINITE] * 4
         costs[start] = 0
         sources = []
-        for (_, role, _), second in zip(turns, self.seconds(turns)):
+        for (_, role, _), second in zip(turns, self.seconds(turns, skip)):
             costs, source = self.advance(costs, role, second)
             sources.append(source)
         states = [self.ending(costs) if end is None else end]
@@ -145,10 +146,12 @@ class Repair:
             states.append(source[states[-1]])
         return states[::-1]
 
-    def pieces(self, turns: list[tuple], start: int, end: int | None, first: bool, last: bool) -> list[tuple]:
+    def pieces(
+        self, turns: list[tuple], start: int, end: int | None, first: bool, last: bool, skip: int = 0
+    ) -> list[tuple]:
         """Pieces of a stretch: opens a turn, role, action, source turn, cost, rendered text."""
         form = self.form
-        states = self.walk(turns, start, end)
+        states = self.walk(turns, start, end, skip)
         out: list[list] = []
 
         def write(role: str, action: str, number, cost: int, text: str, joined: bool) -> None:
@@ -192,30 +195,61 @@ def _tables(rows: Iterator[tuple], schema: pa.Schema, most: int = 5000) -> Itera
     yield batch()
 
 
-_ORDER = ["conv", "stretch", "turn", "role", "text"]
+_ORDER = ["conv", "stretch", "turn", "role", "code", "text"]
 
 
-def _stretched(turns: DataFrame, long: int) -> tuple[DataFrame, bool]:
-    """Adds the stretch of each turn and the conversation's number of stretches."""
-    sizes = turns.groupBy(F.col("conv").alias("_conv")).agg(F.count("*").alias("n")).filter(F.col("n") > long)
-    big = turns.join(F.broadcast(sizes), F.col("conv").eqNullSafe(F.col("_conv")), "left_semi")
-    most = sizes.agg(F.max("n")).first()[0]
-    if most is None:
-        return turns.withColumns({"stretch": F.lit(0), "n_stretches": F.lit(1)}), False
-    parts = -(-most // long)
-    at = F.array(*[F.lit(k / parts) for k in range(1, parts)])
-    # at most one conversation for every ``long`` rows, and as many cuts
-    cuts = big.groupBy(F.col("conv").alias("_conv")).agg(
-        F.array_distinct(F.percentile_approx(F.coalesce("turn", F.lit(-(1 << 62))), at, F.lit(20 * parts))).alias("_cuts")
+def _ranked(turns: DataFrame) -> DataFrame:
+    """Adds ``rank``, the place of each turn in its conversation from 0.
+
+    A range sort deals the turns, so that one conversation, one number or one row
+    repeated is split among tasks; counts of the ranges move the places in them.
+    """
+    # written first: the numbers that tell equal rows apart must not change when a task is run again
+    numbered = cut_lineage(turns.withColumn("row", F.monotonically_increasing_id()), "long_turns")
+    order = ["conv", "turn", "role", "code", "row"]
+    ranged = numbered.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut_lineage(
+        ranged.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "placed"
     )
-    joined = turns.join(F.broadcast(cuts), F.col("conv").eqNullSafe(F.col("_conv")), "left")
-    place = F.size(F.filter("_cuts", lambda c: c < F.coalesce("turn", F.lit(-(1 << 62)))))
-    return (
-        joined.withColumn("stretch", F.when(F.col("_cuts").isNull(), 0).otherwise(place))
-        .withColumn("n_stretches", F.when(F.col("_cuts").isNull(), 1).otherwise(F.size("_cuts") + 1))
-        .drop("_conv", "_cuts"),
-        True,
+    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("conv", "part").agg(F.count("*").alias("n"), F.min("at").alias("lo"))
+    moves = counts.select(
+        F.col("conv").alias("_conv"),
+        F.col("part").alias("_part"),
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("lo")).alias("_move"),
+    )
+    same = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part"))
+    return placed.join(cut_lineage(moves, "moves"), same).select(*turns.columns, (F.col("at") + F.col("_move")).alias("rank"))
+
+
+def _stretched(turns: DataFrame, long: int) -> tuple[DataFrame, bool]:
+    """Adds the stretch of each turn, the conversation's number of stretches, and skip.
+
+    ``skip`` counts the turns of the stretch's first number that lie in earlier stretches.
+    """
+    sizes = turns.groupBy(F.col("conv").alias("_conv")).agg(F.count("*").alias("_n")).filter(F.col("_n") > long)
+    sizes = cut_lineage(sizes, "sizes")
+    alone = {"stretch": F.lit(0), "n_stretches": F.lit(1), "skip": F.lit(0).cast("long")}
+    if sizes.isEmpty():
+        return turns.withColumns(alone), False
+    known = F.col("conv").eqNullSafe(F.col("_conv"))
+    ranked = cut_lineage(_ranked(turns.join(sizes, known).drop("_conv")), "ranked")
+    stretch = F.floor(F.col("rank") / long).cast("int")
+    numbers = ranked.groupBy("conv", "turn").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
+    cut_numbers = numbers.select(
+        F.col("conv").alias("_conv"),
+        "lo",
+        F.floor(F.col("lo") / long).cast("int").alias("a"),
+        F.floor(F.col("hi") / long).cast("int").alias("b"),
+    ).filter("a < b")
+    skips = cut_numbers.select("_conv", "lo", F.explode(F.sequence(F.col("a") + 1, F.col("b"))).alias("_stretch")).select(
+        "_conv", "_stretch", (F.col("_stretch").cast("long") * long - F.col("lo")).alias("_skip")
     )
+    big = ranked.withColumn("stretch", stretch).withColumn("n_stretches", F.ceil(F.col("_n") / long).cast("int"))
+    same = known & (F.col("stretch") == F.col("_stretch"))
+    big = big.join(cut_lineage(skips, "skips"), same, "left").withColumn("skip", F.coalesce("_skip", F.lit(0).cast("long")))
+    small = turns.join(sizes, known, "left_anti").withColumns(alone)
+    return small.unionByName(big.select(*small.columns)), True
 
 
 def _states_between(turns: DataFrame, form: Format) -> DataFrame:
@@ -227,7 +261,7 @@ def _states_between(turns: DataFrame, form: Format) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repair = Repair(form)
-        rows = ((*key, repair.matrix(own)) for key, own in _groups(batches, 2))
+        rows = ((*key, repair.matrix([row[:3] for row in own], own[0][3])) for key, own in _groups(batches, 2))
         yield from _tables(rows, matrix_schema)
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,10 +284,11 @@ def _states_between(turns: DataFrame, form: Format) -> DataFrame:
 
         yield from _tables(rows(), state_schema)
 
-    cut = turns.filter("n_stretches > 1").select(*_ORDER)
+    cut = turns.filter("n_stretches > 1").select(*_ORDER, "skip")
     matrices = (
         cut.repartition("conv", "stretch")
         .sortWithinPartitions(*_ORDER)
+        .drop("code")
         .mapInArrow(measure, "conv long, stretch int, costs array<long>")
     )
     return (
@@ -285,6 +320,7 @@ def repaired(
         F.col(turn).cast("long").alias("turn"),
         F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(text).cast("string")).alias("code"),
     )
     rows, any_cut = _stretched(rows, long)
     whole = F.struct(
@@ -297,7 +333,7 @@ def repaired(
             F.struct("begin", "finish", "last").alias("_states"),
         )
         same = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("stretch") == F.col("_stretch"))
-        rows = rows.join(F.broadcast(between), same, "left").withColumn("states", F.coalesce("_states", whole))
+        rows = rows.join(between, same, "left").withColumn("states", F.coalesce("_states", whole))
     else:
         rows = rows.withColumn("states", whole)
     schema = pa.schema(
@@ -319,20 +355,21 @@ def repaired(
 
         def out() -> Iterator[tuple]:
             for (number, stretch), own in _groups(batches, 2):
-                begin, finish, last = own[0][3:]
+                skip, begin, finish, last = own[0][3:]
                 opened = -1
-                pieces = repair.pieces([row[:3] for row in own], begin, finish, stretch == 0, last)
+                pieces = repair.pieces([row[:3] for row in own], begin, finish, stretch == 0, last, skip)
                 for k, (opens, *rest) in enumerate(pieces):
                     opened += opens
                     yield (number, stretch, k, opened, *rest)
 
         yield from _tables(out(), schema)
 
-    flat = [*_ORDER, "states.begin", "states.finish", "states.last"]
+    flat = [*_ORDER, "skip", "states.begin", "states.finish", "states.last"]
     found = (
         rows.select(*flat)
         .repartition("conv", "stretch")
         .sortWithinPartitions(*_ORDER)
+        .drop("code")
         .mapInArrow(
             repair_all,
             "conv_id long, stretch int, piece long, out_turn long, role string, action string, "
@@ -360,7 +397,7 @@ def _numbered(found: DataFrame) -> DataFrame:
     )
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("stretch") == F.col("_stretch"))
     return (
-        found.join(F.broadcast(counts), same, "left")
+        found.join(cut_lineage(counts, "piece_counts"), same, "left")
         .withColumn("piece", F.col("piece") + F.coalesce("_n", F.lit(0)))
         .withColumn("out_turn", F.col("out_turn") + F.coalesce("_m", F.lit(0)))
         .drop("_conv", "_stretch", "_n", "_m")

@@ -72,6 +72,21 @@ def test_stretches_give_the_same_as_one_pass(spark, long):
     assert {k: tuple(v) for k, v in cut.items()} == {k: tuple(v) for k, v in one.items()}
 
 
+@pytest.mark.parametrize("long", [2, 5])
+def test_turns_of_one_number_are_cut_apart(spark, long):
+    rng = random.Random(9)
+    roles = ["system", "user", "assistant", "tool", None]
+    rows = [(c, n, rng.choice(roles), rng.choice(["a", "b", None])) for c in (None, 7) for n in [None] * 30 + [1] * 5 + [2]]
+    rows += [(8, None, "user", "same")] * 40 + [(9, 1, "user", "short")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    one = sorted(map(str, chat.repaired(given).collect()))
+    assert sorted(map(str, chat.repaired(given, long=long).collect())) == one
+    plain = given.selectExpr("conv_id as conv", "turn", "role", "text", "xxhash64(text) as code")
+    found, any_cut = chat._stretched(plain, long)
+    assert any_cut and found.count() == len(rows)
+    assert found.groupBy("conv", "stretch").count().agg({"count": "max"}).first()[0] <= long
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, None), (None, 1, " USER ", "hi"), (1, 1, "user", "a"), (1, 1, "user", "a"), (1, None, "assistant", "b")]
     given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
