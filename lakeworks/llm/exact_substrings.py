@@ -35,6 +35,7 @@ from lakeworks.llm.phrases import (
     flag_sets,
     gathered,
     packed,
+    packed_phrases,
     runs,
     single_windows,
     stretches,
@@ -80,7 +81,7 @@ def repeated_spans(
     def phrase_entries(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         parts = [np.column_stack([s.core, s.context]) for _, _, _, s in _parsed(table.column("text"), shape)]
-        return packed(block, _at_most_twice(np.concatenate(parts)), bits, PACKED)
+        return packed_phrases(block, _at_most_twice(np.concatenate(parts)), bits, PACKED)
 
     def judge_phrases(table: pa.Table) -> pa.Table:
         entries, blocks = gathered(table, 2)
@@ -89,6 +90,8 @@ def repeated_spans(
         core, both = runs(entries[:, 0]), runs(entries[:, 0], entries[:, 1])
         again = np.bincount(both)[both] > 1
         contexts = np.bincount(core[np.flatnonzero(np.diff(both, prepend=-1))])[core]
+        if P.of_contexts(table, bits):
+            contexts = np.full(len(core), 2)
         owner = np.diff(both, prepend=-1) != 0  # one block compares the windows of a context
         new = np.diff(runs(both, blocks), prepend=-1) != 0
         return answers(

@@ -14,7 +14,10 @@ where repeats can be.
 Windows without a trigger in reach are stretches of their own.  Entries travel
 in packed arrays between blocks of texts and buckets of hashes.  A block names
 an entry at most twice, so a passage that a third of all texts share is a few
-entries a block, and buckets stay even whatever repeats.
+entries a block.  A block that sees a core under more than ``FEW_CONTEXTS`` contexts
+knows already that its windows must be compared: it deals those entries by their
+context and tells the core's bucket of two only.  So boilerplate in ever new
+surroundings is a few entries a block in one bucket too, and the rest is spread.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from lakeworks.llm.arrays import mix, powers, prefix_sums, spans_hash
 
 #: Text of a block, entries of a bucket.
 BLOCK_BYTES, BUCKET_ENTRIES = 4 << 20, 100_000
+#: Contexts of one core that a block sends to the core's bucket; two are enough to tell that there are several.
+FEW_CONTEXTS = 2
 
 
 @dataclass(frozen=True)
@@ -149,6 +154,41 @@ def packed(block: int, entries: np.ndarray, bits: int, schema: pa.Schema) -> pa.
     )
 
 
+def packed_phrases(block: int, entries: np.ndarray, bits: int, schema: pa.Schema) -> pa.Table:
+    """As :func:`packed`, for sorted entries (core, context, ...); those of cores with many contexts go to buckets of contexts.
+
+    The buckets of contexts are numbered from ``1 << bits`` on.  Equal contexts may
+    meet in either kind of bucket, or one in each: then the core has several
+    contexts, both are open, and their windows meet one by one.
+    """
+    core, both = runs(entries[:, 0]), runs(entries[:, 0], entries[:, 1])
+    cores = np.flatnonzero(np.diff(core, prepend=-1))
+    place = both - both[cores][core]  # of the context within its core
+    many = (np.bincount(core, np.diff(both, prepend=-1) != 0) > FEW_CONTEXTS)[core] if len(core) else np.zeros(0, bool)
+    by_core = packed(block, entries[~many | (place < FEW_CONTEXTS)], bits, schema)
+    spread = entries[many]
+    buckets = mix(spread[:, 1]) >> np.uint64(64 - bits)
+    order = np.argsort(buckets, kind="stable")
+    spread, buckets = spread[order], buckets[order].astype(np.int64) + (1 << bits)
+    cuts = np.flatnonzero(np.diff(buckets)) + 1
+    parts = np.split(spread, cuts) if len(spread) else []
+    firsts = buckets[np.concatenate(([0], cuts))] if len(spread) else []
+    by_context = pa.table(
+        [
+            pa.array(np.asarray(firsts, dtype=np.int32), pa.int32()),
+            pa.array([block] * len(parts), pa.int32()),
+            pa.array([np.ascontiguousarray(p).tobytes() for p in parts], pa.binary()),
+        ],
+        schema=schema,
+    )
+    return pa.concat_tables([by_core, by_context])
+
+
+def of_contexts(table: pa.Table, bits: int) -> bool:
+    """Whether the rows of one bucket are entries of cores known to have several contexts."""
+    return table.column("bucket")[0].as_py() >= 1 << bits
+
+
 PACKED = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("entries", pa.binary())])
 PACKED_SQL = "bucket int, block int, entries binary"
 FLAGS = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("entries", pa.binary())])

@@ -39,6 +39,7 @@ from lakeworks.llm.phrases import (
     contains,
     gathered,
     packed,
+    packed_phrases,
     runs,
     single_windows,
     stretches,
@@ -135,12 +136,12 @@ def earlier_spans(
         owners, parts = _owners(table), [np.zeros((0, 3), np.uint64)]
         for first, *_, s in _parsed(table.column("text"), shape):
             parts.append(np.column_stack([s.core, s.context, owners[first + s.text]]))
-        return packed(table.column("block")[0].as_py(), _least_per_block(np.concatenate(parts)), bits, PACKED)
+        return packed_phrases(table.column("block")[0].as_py(), _least_per_block(np.concatenate(parts)), bits, PACKED)
 
     def judge_phrases(table: pa.Table) -> pa.Table:
         entries, blocks, both, first = _least_first(*gathered(table, 3))
         core = runs(entries[:, 0])
-        contexts = np.bincount(core[first])[core]
+        contexts = np.full(len(core), 2) if P.of_contexts(table, bits) else np.bincount(core[first])[core]
         # the least owner of a context compares its windows, in every block with rows of that id
         opened = (contexts > 1) & (entries[:, 2] == entries[first, 2][both])
         asked = [entries[opened, 1], entries[opened, 2]]

@@ -117,6 +117,46 @@ def test_rows_that_share_an_id_in_several_blocks(docs_of, monkeypatch):
     assert sorted(r.n_removed for r in substrings.earlier_spans(docs_of(only)).collect()) == [0] + [70] * 8
 
 
+@pytest.mark.parametrize("block_bytes", [1500, 30_000])
+def test_boilerplate_in_ever_new_surroundings(docs_of, monkeypatch, block_bytes):
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", block_bytes)
+    rng = random.Random(block_bytes)
+    line = [f"b{rng.randrange(10**6)}" for _ in range(70)]
+
+    def own(n):
+        return [f"o{rng.randrange(10**9)}" for _ in range(n)]
+
+    def around(k):
+        first = rng.randrange(20)
+        return " ".join([*own(k % 9), *line[first : first + rng.choice((38, 45, 50, 56))], *own(k % 7)])
+
+    texts = [around(k) for k in range(160)]
+    ids = rng.sample(range(1000), len(texts))
+    docs = list(zip(ids, texts))
+    raw = [(i, t.encode()) for i, t in docs]
+    found = substrings.earlier_spans(docs_of(docs)).collect()
+    assert sorted(tuple(r)[:4] for r in found) == sorted(removed_words(raw, 50))
+    found = exact_substrings.repeated_spans(docs_of(docs)).collect()
+    assert sorted(tuple(r)[:5] for r in found) == sorted(removed_bytes(raw, 200))
+
+
+def test_a_core_of_many_contexts_is_dealt_by_context():
+    rng = np.random.default_rng(8)
+    hot = np.column_stack([np.full(4000, 1 << 40, np.uint64), rng.integers(0, 1 << 63, 4000).astype(np.uint64)])
+    rest = rng.integers(0, 1 << 63, (500, 2)).astype(np.uint64)
+    entries = np.concatenate([hot, rest])
+    entries = entries[np.lexsort(entries.T[::-1])]
+    dealt = phrases.packed_phrases(3, entries, 4, phrases.PACKED).to_pylist()
+    by_bucket = {r["bucket"]: np.frombuffer(r["entries"], np.uint64).reshape(-1, 2) for r in dealt}
+    assert len(by_bucket) == len(dealt) and {r["block"] for r in dealt} == {3}
+    by_core = np.concatenate([v for b, v in by_bucket.items() if b < 16])
+    assert (by_core[:, 0] == hot[0, 0]).sum() == phrases.FEW_CONTEXTS and len(by_core) == 500 + phrases.FEW_CONTEXTS
+    spread = [v for b, v in by_bucket.items() if b >= 16]
+    assert len(spread) == 16 and max(map(len, spread)) < 400
+    assert sorted(map(tuple, np.concatenate(spread).tolist())) == sorted(map(tuple, hot.tolist()))
+    assert phrases.packed_phrases(0, entries[:0], 4, phrases.PACKED).num_rows == 0
+
+
 def test_automaton_knows_every_substring():
     rng = random.Random(1)
     for _ in range(100):
