@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeworks.session import cut_lineage
+
 #: A group up to this size is ordered by one task; larger ones are cut into slices.
 GROUP_ROWS = 4_000_000
 
 
 #: Slices of one position are numbered below this; slices of other positions lie this far apart.
 POSITION_SLICES = 1 << 31
+#: A row is compared with fewer bounds than this at a time, however many its group has.
+STEP = 32
 
 
 def large_groups(
@@ -24,6 +28,7 @@ def large_groups(
     The cuts are approximate quantiles, so slices hold about equally many rows
     however the positions lie.  The table has at most rows/``group_rows``
     entries, and about as many cuts in all, which is what makes its broadcast safe.
+    It is written once, as the cuts must be the same wherever rows are placed by them.
     """
     value = F.lit(None) if order is None else F.col(order)
     named = df.select(*[F.col(g).alias(f"_g_{g}") for g in group], position.cast("double").alias("_pos"), value.alias("_value"))
@@ -37,12 +42,12 @@ def large_groups(
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_w{k}"))
-    at = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    at = F.expr(f"array({', '.join(f'{k / parts!r}D' for k in range(1, parts))})")  # one call for all of them
     cuts = F.array_distinct(F.percentile_approx("_pos", at, F.lit(min(20 * parts, 1_000_000))))
     rows = named.join(F.broadcast(wanted), same, "left_semi")
     found = rows.groupBy(*keys).agg(cuts.alias("_cuts"))
     if order is None:
-        return found
+        return cut_lineage(found, "cuts")
     piles = (
         rows.groupBy(*keys, "_pos")
         .agg(F.count("*").alias("_n"), F.min("_value").eqNullSafe(F.max("_value")).alias("_one_value"))
@@ -53,7 +58,7 @@ def large_groups(
     at = F.lit(True)
     for k in keys:
         at = at & F.col(k).eqNullSafe(F.col(f"_p{k}"))
-    return found.join(listed, at, "left").select(*keys, "_cuts", "_piles")
+    return cut_lineage(found.join(listed, at, "left").select(*keys, "_cuts", "_piles"), "cuts")
 
 
 def with_slices(
@@ -65,23 +70,53 @@ def with_slices(
     of its own, dealt by the rows' hash into as many as it needs.  Rows of groups
     not in ``large`` get slice 0 (``how="left"``) or drop out (``how="inner"``).
     """
+    at, keys = F.col("_at"), [f"_g_{g}" for g in group]
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    at = position.cast("double")
-    number = F.size(F.filter("_cuts", lambda cut: cut < at))
-    own = F.lit(1)
+    bounds, piles = F.col("_cuts"), None
     if "_piles" in large.columns:
-        piles = F.coalesce("_piles", F.array().cast(large.schema["_piles"].dataType))
+        listed = F.coalesce("_piles", F.array().cast(large.schema["_piles"].dataType))
+        piles = large.select(*keys, F.explode(listed).alias("_pile")).select(*keys, "_pile.pos", "_pile.parts")
         # a piled position lies alone: one step up before it and one behind it
-        number = number + F.size(F.filter(piles, lambda p: p["pos"] <= at)) + F.size(F.filter(piles, lambda p: p["pos"] < at))
-        own = F.coalesce(F.get(F.filter(piles, lambda p: p["pos"].eqNullSafe(at)), 0)["parts"], F.lit(1))
+        piled = F.filter(F.transform(listed, lambda p: p["pos"]), lambda p: p.isNotNull())
+        bounds = F.array_sort(F.concat(F.coalesce("_cuts", F.array().cast("array<double>")), piled, piled))
+    cut = F.col("_cuts").isNotNull().alias("_cut")
+    tree = large.select(*keys, cut, bounds.alias("_bounds"))
+    most = tree.agg(F.max(F.size("_bounds"))).first()[0] or 0
+    width = 1
+    while width * STEP <= most:
+        width *= STEP
+
+    def placed(rows: DataFrame, nodes: DataFrame, on: Column, how: str) -> DataFrame:
+        """``_number`` of a wide stretch of bounds becomes that of a stretch inside it."""
+        below = F.when(F.col("_few").isNull(), 0).otherwise(F.size(F.filter("_few", lambda bound: bound < at)))
+        kept = [c for c in rows.columns if c != "_number"]
+        if "_cut" not in kept:
+            kept.append("_cut")
+        return rows.join(F.broadcast(nodes), on, how).select(*kept, (F.col("_number") * STEP + below).alias("_number"))
+
+    # as in a search tree, a row meets the last bounds of wide stretches first, then those inside its own
+    every = width
+    first = F.filter("_bounds", lambda _, k: (k + 1) % every == 0)
+    rows = df.withColumns({"_at": position.cast("double"), "_number": F.lit(0).cast("bigint")})
+    rows = placed(rows, tree.select(*keys, "_cut", first.alias("_few")), same, how)
+    while width > 1:
+        width //= STEP
+        ranked = tree.select(*keys, F.posexplode("_bounds").alias("_k", "_bound")).withColumn("_k", F.col("_k") + 1)
+        inner = ranked.filter((F.col("_k") % width == 0) & (F.col("_k") % (width * STEP) != 0))
+        node = F.floor(F.col("_k") / (width * STEP)).alias("_node")
+        nodes = inner.groupBy(*keys, node).agg(F.collect_list("_bound").alias("_few"))
+        rows = placed(rows, nodes, same & (F.col("_number") == F.col("_node")), "left")
+    number, own = F.col("_number"), F.lit(1)
+    if piles is not None:
+        rows = rows.join(F.broadcast(piles), same & at.eqNullSafe(F.col("pos")), "left")
+        number = number + F.when(F.col("pos").isNull(), 0).otherwise(1)
+        own = F.coalesce("parts", F.lit(1))
     dealt = F.pmod(F.xxhash64(*df.columns), own)
-    placed = F.when(position.isNull(), 0).otherwise(number + 1).cast("bigint") * POSITION_SLICES + dealt
-    sliced = F.when(F.col("_cuts").isNull(), 0).otherwise(placed)
-    return df.join(F.broadcast(large), same, how).select(
-        *[F.col(c) for c in df.columns], sliced.cast("bigint").alias("_slice")
-    )
+    slot = F.when(at.isNull(), 0).otherwise(number + 1).cast("bigint") * POSITION_SLICES + dealt
+    sliced = F.when(F.coalesce("_cut", F.lit(False)), slot).otherwise(0)
+    return rows.select(*[F.col(c) for c in df.columns], sliced.cast("bigint").alias("_slice"))
 
 
 def with_next(

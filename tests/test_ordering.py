@@ -126,3 +126,25 @@ def test_piles_of_different_values_are_not_dealt_by_hash(spark):
     got = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"), group_rows=50)
     plain = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"))
     assert sorted((r["o"], r["no"] or 0) for r in got.collect()) == sorted((r["o"], r["no"] or 0) for r in plain.collect())
+
+
+def test_many_cuts_are_met_a_few_at_a_time(spark):
+    rows = [("g", n * 7919 % 20_011, n) for n in range(6000)] + [("g", 30_000, n) for n in range(40)]
+    rows += [("g", None, n) for n in range(30)] + [("h", n, n) for n in range(9)] + [("n", None, n) for n in range(20)]
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    large = large_groups(df, ["g"], F.col("o"), 5, "o")
+    found = {r["_g_g"]: r for r in large.collect()}
+    assert len(found["g"]["_cuts"]) > 32 * 32
+    placed = with_slices(df, ["g"], F.col("o"), large, "left")
+    for r in placed.collect():
+        group, o = found[r["g"]], r["o"]
+        piles = {p["pos"] for p in group["_piles"] or []}
+        want = 0 if o is None else 1 + sum(c < o for c in group["_cuts"]) + sum((p <= o) + (p < o) for p in piles if p is not None)
+        assert r["_slice"] >> 31 == (want if group["_cuts"] else 0)
+    # before, every row met all cuts of its group in one join
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 4 and "filter(_cuts" not in plan
+    got = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"), group_rows=5)
+    plain = with_next(df, ["g"], "o", {"no": "o"}, F.col("o"))
+    key = lambda r: str((r["g"], r["o"], r["no"]))
+    assert sorted(map(key, got.collect())) == sorted(map(key, plain.collect()))
