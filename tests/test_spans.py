@@ -9,6 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import lakeworks.sources.spans as spans_module
 from lakeworks.sources import documents, formats
 from lakeworks.sources.spans import spans, switches
 
@@ -130,3 +131,22 @@ def test_other_ranges_are_refused(spark, tmp_path):
 def test_no_files_with_content(spark, ranges, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert spans(spark.read.text(str(tmp_path)), "\n", switches(F.col("value"))).count() == 0
+
+
+def test_a_range_is_taken_in_stretches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spans_module, "STRETCH_BITS", 3)
+    # pieces of records, quotes and depths that cross stretches of eight pieces
+    whole = {
+        "a.json": [{"k": n, "note": '},[{"\\",]' * (n % 5), "keys": list(range(n % 23))} for n in range(120)],
+        "b.json": [[n, "x,y" * (n % 11)] for n in range(70)],
+    }
+    for name, values in whole.items():
+        (tmp_path / name).write_text("\n " + json.dumps(values))
+    rows = documents.read_json_array(spark, str(tmp_path), numbered=True, whole_file_bytes=0)
+    found = rows.select("file_name", "file_row", F.to_json("raw").alias("raw")).collect()
+    got = {(r["file_name"], r["file_row"]): json.loads(r["raw"]) for r in found}
+    assert len(found) == len(got) == 190
+    assert got == {(name, k + 1): v for name, values in whole.items() for k, v in enumerate(values)}
+    # the windows hold a stretch, and no row that is ordered carries its file's name
+    windows = [w for w in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in w]
+    assert windows and all("_stretch" in w and "file_path" not in w for w in windows)
