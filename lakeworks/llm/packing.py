@@ -138,6 +138,7 @@ def pieces(
         for batch in batches:
             for first, last in row_runs(batch.column(1), slice_bytes):
                 yield cut_texts(encode, batch.slice(first, last - first))
+        del encode  # before memory is given back, as the worker is used again
         trim()
 
     def cut_texts(encode: Callable, batch: pa.RecordBatch) -> pa.RecordBatch:
