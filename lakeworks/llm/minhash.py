@@ -8,9 +8,10 @@ connected already is not tested again, and no bucket is expanded into its pairs.
 A bucket too large for one task is dealt into pieces that each meet the same
 centres: members outside the bucket's largest component, about 256 at a time, until
 the bucket is one component or all its members outside the largest were centres.  So
-no pair that could join two components goes untested.  The first bands settle
-most buckets; the others are only looked into where they hold several components.
-Links become components by large-star and small-star steps.
+no pair that could join two components goes untested.  Of buckets with the same
+members one is compared.  The first band settles most buckets; the others are only
+looked into where they hold several components.  Links become components in one task
+while they are few, else by large-star and small-star steps.
 
 With 40 bands of 5 minima a pair at similarity 0.8 shares no bucket with a
 probability of 1e-7.
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.arrays import WORD_BASE, lower_ascii, mix, prefix_sums, slices, spans_hash, text_slices, word_hashes, words
-from lakeworks.llm.components import components
+from lakeworks.llm.components import FEW_LINKS, components
 from lakeworks.llm.names import unused
-from lakeworks.session import cut_lineage
+from lakeworks.session import cut_lineage, filed_by
 
 WORDS, PERCENT = 2, 80
 BANDS, ROWS = 40, 5
@@ -46,7 +47,7 @@ SLICE_BYTES, BROADCAST_NODES = 1 << 20, 1_000_000
 #: Centres of a large bucket in a round, about; members of one piece; shingles that a task compares at once.
 CENTRES, PIECE_MEMBERS, TASK_SHINGLES = 256, 1000, 1 << 22
 #: First band of each group of bands.
-BAND_GROUPS = (0, 1, 5)
+BAND_GROUPS = (0, 1)
 
 
 def shingle_sets(column: pa.Array, n_words: int) -> Iterator[np.ndarray]:
@@ -88,14 +89,13 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set), bands (64-bit keys), signature (low bytes of the minima), text_hash."""
+    """doc_id, n_shingles, node (null for an empty set), bands (64-bit keys), text_hash."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
             ("n_shingles", pa.int64()),
             ("node", pa.int64()),
             ("bands", pa.list_(pa.int64())),
-            ("signature", pa.binary()),
             ("text_hash", pa.int64()),
         ]
     )
@@ -104,11 +104,11 @@ def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands
         family = hash_family(bands * rows)
         salt = np.arange(1, bands + 1, dtype=np.uint64)
         for batch in slices(batches):
-            out: list[list] = [batch.column(0).to_pylist(), [], [], [], [], batch.column(2).to_pylist()]
+            out: list[list] = [batch.column(0).to_pylist(), [], [], [], batch.column(2).to_pylist()]
             for shingles in shingle_sets(batch.column(1), n_words):
                 out[1].append(len(shingles))
                 if not len(shingles):
-                    out[2].append(None), out[3].append(None), out[4].append(None)
+                    out[2].append(None), out[3].append(None)
                     continue
                 least = minima(shingles, family)
                 keys = mix(salt)
@@ -116,18 +116,18 @@ def signatures(docs: DataFrame, key: str, text: str, n_words: int = WORDS, bands
                     keys = mix(keys ^ (part.astype(np.uint64) + np.uint64(0x9E3779B9)))
                 out[2].append(node_of(shingles))
                 out[3].append(keys.view(np.int64))
-                out[4].append((least & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
     content = F.col(text).cast("string")
     source = docs.select(F.col(key).cast("long").alias("doc_id"), content.alias("text"), F.xxhash64(content).alias("text_hash"))
-    return source.mapInArrow(
-        sign, "doc_id long, n_shingles long, node long, bands array<long>, signature binary, text_hash long"
-    )
+    return source.mapInArrow(sign, "doc_id long, n_shingles long, node long, bands array<long>, text_hash long")
+
 
+def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: int, n_hashes: int) -> DataFrame:
+    """(node, signature, shingles) of the wanted nodes, from the text of one document each; ``wanted`` is (node, rep).
 
-def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes, from the text of one document each; ``wanted`` is (node, rep)."""
+    The signature holds the low bytes of the minima.
+    """
     wanted = wanted.withColumnsRenamed({"node": "_node", "rep": "_rep"})
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
@@ -135,15 +135,18 @@ def _sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame, n_words: i
     rows = source.join(wanted, F.col("doc_id") == F.col("_rep")).select("_node", "text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = hash_family(n_hashes)
         for batch in slices(batches):
-            names, sets = [], []
+            names, signs, sets = [], [], []
             for node, shingles in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n_words)):
                 if len(shingles) and node_of(shingles) == node:  # another row of that id may have another text
                     names.append(node)
+                    signs.append((minima(shingles, family) & np.uint32(255)).astype(np.uint8).tobytes())
                     sets.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            columns = [pa.array(names, pa.int64()), pa.array(signs, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "signature", "shingles"])
 
-    return rows.mapInArrow(collect, "node long, shingles binary").dropDuplicates(["node"])
+    return rows.mapInArrow(collect, "node long, signature binary, shingles binary").dropDuplicates(["node"])
 
 
 def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -180,7 +183,7 @@ def forest(
 
 
 def _links(rows: DataFrame, percent: int, n_hashes: int) -> DataFrame:
-    """Confirmed links (a, b) between components, at most one fewer than nodes in each (band, piece).
+    """Confirmed links (a, b) between components, at most one fewer than nodes in each (band, piece); two may give one link.
 
     ``rows``: band, piece, centre, node, component, signature, shingles.  A
     group is compared in the task that holds it, on the full sets.
@@ -212,7 +215,7 @@ def _links(rows: DataFrame, percent: int, n_hashes: int) -> DataFrame:
 
     # the order within a group is fixed, so that a task run again gives the same links
     dealt = rows.repartition("band", "piece").sortWithinPartitions("band", "piece", F.desc("centre"), "node")
-    return dealt.select(*names).mapInArrow(joined, "a long, b long").distinct()
+    return dealt.select(*names).mapInArrow(joined, "a long, b long")
 
 
 def _centres(large: DataFrame, turn: int) -> DataFrame:
@@ -231,6 +234,24 @@ def _centres(large: DataFrame, turn: int) -> DataFrame:
     )
 
 
+def _different(buckets: DataFrame) -> DataFrame:
+    """Of buckets with the same members only the first band's, as its tests settle the others.
+
+    Members are compared by number, least, greatest and 128 bits of their hashes.
+    """
+    mark = F.xxhash64("node")
+    members = F.struct(
+        F.count("*").alias("m"),
+        F.min("node").alias("lo"),
+        F.max("node").alias("hi"),
+        F.bit_xor(mark).alias("marks"),
+        F.bit_xor(F.xxhash64(mark)).alias("again"),
+    )
+    shape = buckets.groupBy("band").agg(F.min("slot").alias("slot"), members.alias("members"))
+    first = shape.groupBy("members").agg(F.min(F.struct("slot", "band")).alias("first")).select("first.band")
+    return buckets.join(first, "band", "left_semi")
+
+
 def _labelled(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     """Entries (band, node, n) with the component each node has by now."""
     if found is None:
@@ -256,10 +277,11 @@ def _open(entries: DataFrame) -> DataFrame:
 
 
 def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Components (node, component) after links between components; only the new links are walked."""
+    """Components (node, component) after links between components; of many only the new links are walked."""
+    known = links if found is None else links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    if found is None or known.count() <= FEW_LINKS:
+        return cut_lineage(components(known), "components")
     joined = cut_lineage(components(links), "merged")
-    if found is None:
-        return joined
     joined = joined.withColumnsRenamed({"node": "_old", "component": "_new"})
     moved = found.join(joined, F.col("component") == F.col("_old"), "left").select(
         "node", F.coalesce("_new", "component").alias("component")
@@ -275,7 +297,8 @@ def linked(buckets: DataFrame, payload: DataFrame, percent: int, n_hashes: int)
 
     ``buckets``: slot, band, node, n; ``payload``: node, signature, shingles.
     Bands are taken in groups, as most buckets are one component after the first
-    ones and need no test any more.
+    and need no test any more.  The payload should be filed by node, as each turn
+    joins it.
     """
     found = None
     for first, last in zip(BAND_GROUPS, (*BAND_GROUPS[1:], None)):
@@ -326,12 +349,13 @@ def near_duplicates(
     entries = linkable.join(reps.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"]).select(
         "node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("bands").alias("slot", "band")
     )
-    shared = entries.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
+    keys = linkable.select("node", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     buckets = cut_lineage(entries.join(shared.select("band"), "band").distinct(), "buckets")
     live = cut_lineage(buckets.select("node").distinct().join(reps, "node"), "live")
-    signs = linkable.join(live.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"]).select("node", "signature")
-    payload = cut_lineage(_sets_of(docs, key, text, live, n_words).join(signs.dropDuplicates(["node"]), "node"), "sets")
-    found = linked(buckets, payload, percent, bands * rows)
+    buckets = cut_lineage(_different(buckets), "buckets")
+    with filed_by(_sets_of(docs, key, text, live, n_words, bands * rows), "node", "sets") as payload:
+        found = linked(buckets, payload, percent, bands * rows)
     if found is None:
         named = reps.select("node", F.col("rep").alias("component_id"))
     else:

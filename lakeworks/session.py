@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,3 +95,22 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def filed_by(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
+    """Write ``df`` once as a table bucketed by ``key``, so that joins on the key do not shuffle its rows again.
+
+    ``df`` should be dealt by the key already, as every task writes a file for each
+    bucket it holds.  What reads the table must be written or collected within the
+    context: at its end the catalog forgets the table, while its files stay like
+    those of :func:`cut_lineage`.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    name = f"{label}_{path.rpartition('-')[2]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from lakeworks.llm import components, minhash
+from lakeworks.session import filed_by
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {k: k + 32 for k in range(65, 91)}
@@ -115,3 +116,54 @@ def test_links_grow_with_the_members():
     assert len(links) == 299 and len({k for link in links for k in link}) == 300
     assert minhash.forest(np.arange(300) // 150, signs, sets, 0, 80) == [(0, 1)]
     assert len(minhash.forest(np.arange(300), signs, sets, 4, 80)) == 299
+
+
+def test_few_links_need_no_rounds(spark, monkeypatch):
+    """Few links are joined without a round; many by rounds, with the same components."""
+    rng = random.Random(3)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(300)] + [(2**62, -(2**62)), (7, 7)]
+    links = spark.createDataFrame(edges, "a long, b long")
+    by_rounds = []
+    with monkeypatch.context() as patch:
+        patch.setattr(components, "FEW_LINKS", 0)
+        cut = components.cut_lineage
+        patch.setattr(components, "cut_lineage", lambda df, label: by_rounds.append(label) or cut(df, label))
+        want = {tuple(r) for r in components.components(links).collect()}
+        assert len(by_rounds) > 2
+        del by_rounds[:]
+        patch.setattr(components, "FEW_LINKS", 1000)
+        found = components.components(links).collect()
+        assert {tuple(r) for r in found} == want and len(found) == len(want) and not by_rounds
+    assert components.components(links.filter("a = b")).collect() == []
+
+
+def test_components_by_rounds(docs_of, monkeypatch):
+    for module in (components, minhash):
+        monkeypatch.setattr(module, "FEW_LINKS", 0)
+    rng = random.Random(11)
+    docs = list(enumerate(variants(rng, 20)))
+    found = minhash.near_duplicates(docs_of(docs)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == groups(docs, 2)
+
+
+def test_buckets_of_equal_members_are_compared_once(docs_of, monkeypatch):
+    """Two sets below the threshold meet in several bands; their sets are brought together once."""
+    base = [f"w{k}" for k in range(200)]
+    other = [f"new{k}" if k in (20, 40, 60, 80, 100, 120, 140, 160, 180, 190, 30, 50) else w for k, w in enumerate(base)]
+    docs = docs_of([(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(other)), (4, "x y z")])
+    met, links = [], minhash._links
+    monkeypatch.setattr(minhash, "_links", lambda rows, *rest: met.append(rows.count()) or links(rows, *rest))
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    shared = minhash.signatures(docs, "doc_id", "text").filter("doc_id < 3").selectExpr("explode(bands) b").groupBy("b").count()
+    assert shared.filter("count = 2").count() > 1
+    assert found == {1: 1, 2: 2, 3: 2, 4: 4} and met == [2]
+
+
+def test_filed_rows_are_not_shuffled_again(spark):
+    rows = spark.range(100).selectExpr("id node", "cast(id as string) value")
+    with filed_by(rows.repartition("node"), "node", "filed") as filed:
+        joined = filed.hint("merge").join(spark.range(0, 200, 2).selectExpr("id node"), "node")
+        assert joined.count() == 50
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("filed")]
