@@ -219,7 +219,7 @@ def _links(rows: DataFrame, percent: int, n_hashes: int) -> DataFrame:
 
 
 def _centres(large: DataFrame, turn: int) -> DataFrame:
-    """Nodes of large buckets outside each one's largest component: all of them if they are few, else a share by hash.
+    """Nodes of large buckets outside each one's largest component: all of them (``last``) if they are few, else a share by hash.
 
     Only partial aggregations touch the buckets, however large.
     """
@@ -230,7 +230,7 @@ def _centres(large: DataFrame, turn: int) -> DataFrame:
     return (
         large.join(largest, "band")
         .filter((F.col("component") != -F.col("top.col2")) & (F.pmod(F.xxhash64("node", F.lit(turn)), shares) == 0))
-        .select("band", "component", "node", "pieces")
+        .select("band", "component", "node", "pieces", (shares == 1).alias("last"))
     )
 
 
@@ -253,13 +253,12 @@ def _different(buckets: DataFrame) -> DataFrame:
 
 
 def _labelled(entries: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Entries (band, node, n) with the component each node has by now."""
+    """Entries (band, node, n) with the component each node has by now; written where it takes a join, as they are read twice."""
     if found is None:
         return entries.withColumn("component", F.col("node"))
     labels = found.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
-    return entries.join(labels, F.col("node") == F.col("_node"), "left").select(
-        "band", "node", "n", F.coalesce("_label", "node").alias("component")
-    )
+    now = entries.join(labels, F.col("node") == F.col("_node"), "left")
+    return cut_lineage(now.select("band", "node", "n", F.coalesce("_label", "node").alias("component")), "labelled")
 
 
 def _open(entries: DataFrame) -> DataFrame:
@@ -327,9 +326,9 @@ def linked(buckets: DataFrame, payload: DataFrame, percent: int, n_hashes: int)
                 found = _merged(found, links)
             if not most:
                 break
-            # a centre was tested against its whole bucket
-            entries = now.filter("pieces > 0").join(centres.select("band", "node"), ["band", "node"], "left_anti")
-            entries = entries.select("band", "node", "n")
+            # a centre was tested against its whole bucket; where all outside the largest component were, it is settled
+            entries = now.filter("pieces > 0").join(centres.filter("last").select("band"), "band", "left_anti")
+            entries = entries.join(centres.select("band", "node"), ["band", "node"], "left_anti").select("band", "node", "n")
     return found
 
 

@@ -167,3 +167,15 @@ def test_filed_rows_are_not_shuffled_again(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("filed")]
+
+
+def test_settled_buckets_take_no_further_turn(docs_of, monkeypatch):
+    """Large buckets whose members outside the largest component were all centres are not looked into again."""
+    monkeypatch.setattr(minhash, "PIECE_MEMBERS", 3)
+    labelled, seen = minhash._labelled, []
+    monkeypatch.setattr(minhash, "_labelled", lambda entries, found: seen.append(entries.count()) or labelled(entries, found))
+    base = [f"w{k}" for k in range(60)]
+    docs = [(k, " ".join([*base[:k], f"new{k}", *base[k + 1 :]])) for k in range(8)]
+    found = minhash.near_duplicates(docs_of(docs)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == groups(docs, 2)
+    assert 0 in seen  # after a turn in which all were centres no entry is left
